@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,11 +27,11 @@ def positional_weights(members: DataFrame, container: list[str], order_by: list,
     return counted.withColumn(weight, F.try_element_at(row, F.col("rn").cast("int"))).drop("n_top")
 
 
-def even_share(costs: DataFrame, members: DataFrame, key: str, cost: str, share: str) -> DataFrame:
-    """Cost of a key split evenly over its members, one row per member."""
+def even_share(costs: DataFrame, members: DataFrame, key: str, shares: Mapping[str, str]) -> DataFrame:
+    """Costs of a key split evenly over its members, one row per member (``shares``: new name to cost)."""
     sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_members"))
-    per_member = costs.join(sizes, key).withColumn(share, safe_divide(cost, "_members")).drop("_members")
-    return per_member.join(members, key)
+    split = {name: safe_divide(cost, "_members") for name, cost in shares.items()}
+    return costs.join(sizes, key).withColumns(split).drop("_members").join(members, key)
 
 
 def daily_rates(rates: DataFrame, date: str = "record_date", rate: str = "exchange_rate") -> DataFrame:

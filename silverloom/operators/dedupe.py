@@ -53,4 +53,6 @@ def mutual_best(df: DataFrame, left: str, right: str) -> DataFrame:
     """
     by_left = df.groupBy(left).agg(F.min(right).alias(right))
     by_right = df.groupBy(right).agg(F.min(left).alias(left))
-    return by_left.join(by_right.select(left, right), [left, right], "inner")
+    other = by_right.select(F.col(left).alias("_left"), F.col(right).alias("_right"))
+    same = F.col(left).eqNullSafe(F.col("_left")) & F.col(right).eqNullSafe(F.col("_right"))
+    return by_left.join(other, same, "left_semi")

@@ -128,7 +128,7 @@ def equality(
 
     def value(table: DataFrame, name: str) -> Column:
         column = table[name]
-        if precision is not None and isinstance(table.schema[column_name(table, name)].dataType, T.NumericType):
+        if precision is not None and isinstance(table.schema[column_name(table, name)].dataType, T.FractionalType):
             return F.round(column.cast("decimal(28,6)"), precision)
         return column
 

@@ -41,7 +41,7 @@ def pat_01(t):
     """
     with cost as (select s_nationkey, sum(s_acctbal::decimal(18,2)) as cost from supplier group by 1),
          size as (select c_nationkey, count(*) as n from customer group by 1)
-    select c_custkey, s_nationkey as nationkey, round(cost::double / nullif(n, 0), 4) as share
+    select c_custkey, s_nationkey as nationkey, cost::double / nullif(n, 0) as share
     from cost join size on s_nationkey = size.c_nationkey join customer c on c.c_nationkey = s_nationkey
     """,
 )
@@ -50,8 +50,8 @@ def pat_02(t):
         F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double").alias("cost")
     )
     members = t.customer.select("c_custkey", F.col("c_nationkey").alias("nationkey"))
-    shared = business.even_share(costs, members, "nationkey", "cost", "share")
-    return shared.select("c_custkey", "nationkey", F.round("share", 4).alias("share"))
+    shared = business.even_share(costs, members, "nationkey", {"share": "cost"})
+    return shared.select("c_custkey", "nationkey", "share")
 
 
 @query(
@@ -200,8 +200,8 @@ def pat_10(t):
 @query(
     "pat_11_ratio_per_unit",
     """
-    select l_suppkey, round(cast(sum(l_extendedprice::decimal(18,2)) as double)
-                            / nullif(sum(case when l_returnflag = 'R' then cast(l_quantity as bigint) else 0 end), 0)::double, 4) as price_per_unit
+    select l_suppkey, cast(sum(l_extendedprice::decimal(18,2)) as double)
+                            / nullif(sum(case when l_returnflag = 'R' then cast(l_quantity as bigint) else 0 end), 0)::double as price_per_unit
     from lineitem group by 1
     """,
 )
@@ -209,7 +209,7 @@ def pat_11(t):
     units = F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("bigint")).otherwise(0))
     amount = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
     sums = t.lineitem.groupBy("l_suppkey").agg(amount.alias("amount"), units.alias("units"))
-    return sums.select("l_suppkey", F.round(safe_divide("amount", "units"), 4).alias("price_per_unit"))
+    return sums.select("l_suppkey", safe_divide("amount", "units").alias("price_per_unit"))
 
 
 @query(
@@ -226,14 +226,14 @@ def pat_12(t):
 @query(
     "pat_13_latest_assignee",
     """
-    with visits as (select user_id, event_id, event_type, case when event_type <> 'signup' or value > 20 then ts end as at from events)
-    select distinct on (user_id) user_id, event_id, event_type, at from visits order by user_id, at desc nulls first, event_id desc
+    with visits as (select user_id, event_id, event_type, case when event_type <> 'signup' or value > 20 then ts end as seen_at from events)
+    select distinct on (user_id) user_id, event_id, event_type, seen_at from visits order by user_id, seen_at desc nulls first, event_id desc
     """,
 )
 def pat_13(t):
     known = (F.col("event_type") != "signup") | (F.col("value") > 20)
-    visits = t.events.select("user_id", "event_id", "event_type", F.when(known, F.col("ts")).alias("at"))
-    return business.latest_per(visits, ["user_id"], "at", F.desc("event_id"))
+    visits = t.events.select("user_id", "event_id", "event_type", F.when(known, F.col("ts")).alias("seen_at"))
+    return business.latest_per(visits, ["user_id"], "seen_at", F.desc("event_id"))
 
 
 @query(

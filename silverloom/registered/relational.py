@@ -154,7 +154,7 @@ def rel_08(t):
     """
     select o_custkey, count(*) as n_orders, count(distinct o_orderpriority) as n_priorities, min(o_orderdate) as first_order,
            max(o_orderdate) as last_order, cast(sum(o_totalprice::decimal(18,2)) as double) as total,
-           round(cast(sum(o_totalprice::decimal(18,2)) as double) / count(*), 4) as mean
+           cast(sum(o_totalprice::decimal(18,2)) as double) / count(*) as mean
     from orders group by 1 having count(*) > 8
     """,
 )
@@ -167,7 +167,7 @@ def rel_09(t):
         F.min("o_orderdate").alias("first_order"),
         F.max("o_orderdate").alias("last_order"),
         total.alias("total"),
-        F.round(total / n, 4).alias("mean"),
+        (total / n).alias("mean"),
     )
     return grouped.where("n_orders > 8")
 

@@ -59,12 +59,12 @@ def scl_03(t):
 @query(
     "scl_04_safe_divide",
     """
-    select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / nullif(l_discount, 0), 4) as ratio
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice / nullif(l_discount, 0) as ratio
     from lineitem
     """,
 )
 def scl_04(t):
-    ratio = F.round(safe.safe_divide("l_extendedprice", "l_discount"), 4)
+    ratio = safe.safe_divide("l_extendedprice", "l_discount")
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ratio.alias("ratio"))
 
 
