@@ -53,11 +53,14 @@ def latest_per(df: DataFrame, entity: list[str], moment: str, *tie: Column) -> D
 
 
 def with_fallback_key(df: DataFrame, own: str, alternate: str, lookup: DataFrame, found: str) -> DataFrame:
-    """Fill a missing ``own`` key from ``lookup`` (alternate, found); rows without any key drop."""
-    other = lookup.select(F.col(alternate).alias("_alt"), F.col(found).alias("_found"))
-    joined = df.join(other, F.col(alternate) == F.col("_alt"), "left")
-    joined = joined.withColumn(own, F.coalesce(F.col(own), F.col("_found"))).drop("_alt", "_found")
-    return joined.where(F.col(own).isNotNull())
+    """Fill a missing ``own`` key from ``lookup`` (alternate, found); rows without any key drop.
+
+    Only rows without a key of their own are joined; the others stay where they are.
+    """
+    filled, missing = df.where(F.col(own).isNotNull()), df.where(F.col(own).isNull())
+    other = lookup.where(F.col(found).isNotNull()).select(F.col(alternate).alias("_alt"), F.col(found).alias("_found"))
+    joined = missing.join(other, F.col(alternate) == F.col("_alt")).withColumn(own, F.col("_found"))
+    return filled.unionByName(joined.select(*df.columns))
 
 
 def usage_status(archived: Column, used: Column, last_used: Column, as_of: Column, names, cold_days: int = 30) -> Column:

@@ -53,7 +53,9 @@ def with_group_count(df: DataFrame, group: list[str], name: str) -> DataFrame:
 
 
 def _numbered_globally(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    keys = [F.col(c) for c in group] + order
+    # Rows that tie on the order still spread over partitions by the hash of the whole row.
+    spread = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    keys = [F.col(c) for c in group] + order + [spread]
     placed = cut_lineage(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_MID, F.monotonically_increasing_id())
     )
@@ -115,17 +117,20 @@ def in_order(
     before: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
     hot: HotGroups = HotGroups(),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add a row number and values of the row before or after, per group and order.
 
     Same result as ``row_number``, ``lag`` and ``lead`` over a window; ``group`` may be
-    empty. ``order`` must be total where the outcome for ties matters.
+    empty. ``order`` must be total where the outcome for ties matters. Hot groups are
+    looked for in ``sizes`` (the group columns of a cheaper table that holds at least as
+    many rows per group) or in ``df`` itself.
     """
     before, after = dict(before or {}), dict(after or {})
     names = [n for n in (number, *before, *after) if n]
     if not group:
         return _hot_way(df, group, order, number, before, after).select(*df.columns, *names)
-    heavy = group_counts(df, group, "_rows").where(F.col("_rows") > hot.rows).drop("_rows")
+    heavy = group_counts(df if sizes is None else sizes, group, "_rows").where(F.col("_rows") > hot.rows).drop("_rows")
     heavy = cut_lineage(heavy)
     if heavy.isEmpty():
         return _window_way(df, group, order, number, before, after)
@@ -137,3 +142,13 @@ def in_order(
     spread = _hot_way(df.join(keyed, on, "left_semi"), group, order, number, before, after)
     columns = [*df.columns, *names]
     return cold.select(*columns).unionByName(spread.select(*columns))
+
+
+def repeat_rows(df: DataFrame, times: Column, chunk: int = 100_000) -> DataFrame:
+    """Each row ``times`` times; long runs are made chunk by chunk over all tasks."""
+    counted = df.withColumn("_times", times.cast("bigint")).where(F.col("_times") > 0)
+    chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_times") - 1) / chunk).cast("bigint"))
+    parts = counted.withColumn("_chunk", F.explode(chunks))
+    spread = parts.repartition(df.sparkSession.sparkContext.defaultParallelism, *df.columns, "_chunk")
+    rest = F.least(F.lit(chunk).cast("bigint"), F.col("_times") - F.col("_chunk") * chunk)
+    return spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), rest))).select(*df.columns)

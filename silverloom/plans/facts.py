@@ -75,7 +75,7 @@ def fact_editing(m):
     uses = m.staging("resource_editings").select("Id", "EditingId", "ResourcesId", "StartTime", "EndTime")
     rows = uses.join(stock, F.col("ResourcesId") == F.col("_resource")).join(edits, F.col("EditingId") == F.col("_edit"))
     order = [F.asc_nulls_last("StartTime"), F.asc_nulls_last("Id")]
-    rows = in_order(rows, ["EditingId"], order, number="position")
+    rows = in_order(rows, ["EditingId"], order, number="position", sizes=uses.select("EditingId"))
     return keyed(
         rows,
         "fact_editing_sk",

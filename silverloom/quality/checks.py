@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import as_column
 from ..functions.text import slug_name
-from ..operators.ordered import HotGroups, in_order
+from ..operators.ordered import HotGroups, in_order, repeat_rows
 
 _ROWS = "*"
 
@@ -170,26 +170,34 @@ def mutually_exclusive_ranges(
     gap_words, gap_holds = _GAPS[gaps]
     length_words = "less_than_or_equal_to" if zero_length_range_allowed else "less_than"
     group = ["partition_by_col"] if partition_by else []
-    rows = df.select(
+    # Equal ranges are kept once with their number, so that no value is too frequent to sort.
+    ranges = df.groupBy(
         *([F.col(partition_by).alias("partition_by_col")] if partition_by else []),
         F.col(lower).alias("lower_bound"),
         F.col(upper).alias("upper_bound"),
-    )
+    ).agg(F.count(_ROWS).alias("_copies"))
     order = [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()]
     follow = {"next_lower_bound": F.col("lower_bound"), "_next": F.lit(True)}
-    ranges = in_order(rows, group, order, after=follow, hot=hot)
-    ranges = ranges.withColumn("is_last_record", F.col("_next").isNull()).drop("_next")
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     length_holds = low <= high if zero_length_range_allowed else low < high
     length_name = f"lower_bound_{length_words}_upper_bound"
     gap_name = f"upper_bound_{gap_words}_next_lower_bound"
-    judged = ranges.withColumns(
-        {
-            length_name: F.coalesce(length_holds, F.lit(False)),
-            gap_name: F.coalesce(gap_holds(high, following), F.col("is_last_record"), F.lit(False)),
-        }
-    )
-    return judged.where(~(F.col(length_name) & F.col(gap_name)))
+
+    def broken(rows: DataFrame) -> DataFrame:
+        judged = rows.withColumns(
+            {
+                length_name: F.coalesce(length_holds, F.lit(False)),
+                gap_name: F.coalesce(gap_holds(high, following), F.col("is_last_record"), F.lit(False)),
+            }
+        )
+        return judged.where(~(F.col(length_name) & F.col(gap_name)))
+
+    placed = in_order(ranges, group, order, after=follow, hot=hot)
+    final = placed.withColumn("is_last_record", F.col("_next").isNull()).drop("_next", "_copies")
+    # All but the last copy of a range are followed by the range itself.
+    doubled = ranges.where("_copies > 1").withColumns({"next_lower_bound": low, "is_last_record": F.lit(False)})
+    copies = repeat_rows(broken(doubled), F.col("_copies") - 1).drop("_copies")
+    return broken(final).unionByName(copies)
 
 
 def not_constant(df: DataFrame, column: str, group_by=()) -> DataFrame:
@@ -232,12 +240,18 @@ def sequential_values(
 ) -> DataFrame:
     """Values that do not follow their predecessor by the interval; the first one passes."""
     previous = f"previous_{slug_name(column)}"
-    rows = df.select(*group_by, column)
-    ranked = in_order(rows, list(group_by), [F.col(column).asc_nulls_last()], before={previous: F.col(column)}, hot=hot)
+    # Equal values are kept once with their number, so that no value is too frequent to sort.
+    values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(F.count(_ROWS).alias("_copies"))
+    ranked = in_order(values, list(group_by), [F.col(column).asc()], before={previous: F.col(column)}, hot=hot)
     if part:
         expected = F.expr(f"timestampadd({part.upper()}, {int(interval)}, cast(`{previous}` as timestamp_ntz))")
-        return ranked.where(F.col(column).cast("timestamp_ntz") != expected)
-    return ranked.where(F.col(column) != F.col(previous) + F.lit(interval))
+        off = F.col(column).cast("timestamp_ntz") != expected
+    else:
+        off = F.col(column) != F.col(previous) + F.lit(interval)
+    first = ranked.where(off).drop("_copies")
+    # All but the first copy of a value follow the value itself.
+    doubled = values.where("_copies > 1").withColumn(previous, F.col(column)).where(off)
+    return first.unionByName(repeat_rows(doubled, F.col("_copies") - 1).drop("_copies"))
 
 
 def unique_combination_of_columns(df: DataFrame, columns) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import SETTINGS
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -14,6 +16,8 @@ class Tables:
     """Driver tables by attribute: ``t.orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+            spark.conf.set(key, SETTINGS[key])
         self.spark = spark
         self.folder = folder
 

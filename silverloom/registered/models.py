@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import NULL_MARK
-from ..plans import dims, facts  # noqa: F401 - they fill MODELS
+from ..plans import contracts, dims, facts  # noqa: F401 - they fill MODELS
 from ..plans.base import MODELS, Models
 from .base import Tables, query
 from .staging_tables import STAGING
@@ -73,13 +74,17 @@ def fields(pairs: dict[str, str]) -> str:
 ORACLE: dict[str, str] = {}
 
 
+def _staged(text: str) -> list[str]:
+    named = set(re.findall(r"\bstg_(\w+)", text))
+    return [n for n in STAGING if n in named]
+
+
 def _with(body: str, *refs: str) -> str:
     """Put the staging tables (``stg_x``) and the models (``ref_x``) a text needs in front of it."""
     parts, text = [], body
     for name in refs:
         text += ORACLE[name]
-    used = [n for n in STAGING if f"stg_{n} " in text + " " or f"stg_{n}\n" in text or f"stg_{n})" in text]
-    parts += [f"stg_{n} as ({STAGING[n].replace('`', chr(34))})" for n in used]
+    parts += [f"stg_{n} as ({STAGING[n].replace('`', chr(34))})" for n in _staged(text)]
     parts += [f"ref_{n} as ({ORACLE[n]})" for n in refs]
     return "with " + ", ".join(parts) + " " + body
 
@@ -450,3 +455,59 @@ _register(
 )
 
 assert set(ORACLE) == set(MODELS), set(MODELS) ^ set(ORACLE)
+
+
+# -- contracts over the built models
+
+
+def _closure(*names: str) -> list[str]:
+    """Models in an order where each comes after those it reads."""
+    out: list[str] = []
+
+    def add(name: str) -> None:
+        for other in re.findall(r"\bref_(\w+)", ORACLE[name]):
+            add(other)
+        if name not in out:
+            out.append(name)
+
+    for name in names:
+        add(name)
+    return out
+
+
+def _nested(name: str) -> str:
+    """A model's SQL as a CTE body; texts that start with further CTEs get their WITH."""
+    body = ORACLE[name].strip()
+    return "with " + body[1:] if body.startswith(",") else body
+
+
+def _report(parts: list[str], names: list[str]) -> str:
+    used = _closure(*names)
+    staged = _staged(" ".join(ORACLE[n] for n in used))
+    ctes = [f"stg_{n} as ({STAGING[n].replace('`', chr(34))})" for n in staged]
+    ctes += [f"ref_{n} as ({_nested(n)})" for n in used]
+    return "with " + ", ".join(ctes) + " " + " union all ".join(parts)
+
+
+_KEY_PARTS = []
+for _name in contracts.KEYED:
+    _KEY_PARTS.append(
+        f"select '{_name}' as model, 'unique' as check_name, (select count(*) from (select {_name}_sk from ref_{_name} group by 1 having count(*) > 1)) as failures"
+    )
+    _KEY_PARTS.append(f"select '{_name}', 'not_null', (select count(*) from ref_{_name} where {_name}_sk is null)")
+
+
+@query("dq_24_model_keys", _report(_KEY_PARTS, contracts.KEYED))
+def dq_24(t):
+    return contracts.key_report(models_over(t))
+
+
+_REF_PARTS = [
+    f"select '{a}' as model, '{c}_in_{b}' as check_name, (select count(*) from ref_{a} where {c} is not null and {c} not in (select {f} from ref_{b} where {f} is not null)) as failures"
+    for a, c, b, f in contracts.REFERENCES
+]
+
+
+@query("dq_04_model_references", _report(_REF_PARTS, [n for a, _, b, _ in contracts.REFERENCES for n in (a, b)]))
+def dq_04_models(t):
+    return contracts.reference_report(models_over(t))
