@@ -93,7 +93,8 @@ def _count_pairs(df: DataFrame, other: DataFrame, group_by, left: str, right: st
     on = F.lit(True)
     for c in group_by:
         on = on & (F.col(f"{c}_a") == F.col(f"{c}_b"))
-    return a.join(b, on, "full")
+    keys = [f"{c}_{side}" for c in group_by for side in ("a", "b")]
+    return a.join(b, on, "full").select(*keys, left, right)
 
 
 def equal_rowcount(df: DataFrame, other: DataFrame, group_by=()) -> DataFrame:
