@@ -43,12 +43,20 @@ def _counted(rows: DataFrame, model: str, check: str) -> DataFrame:
 
 
 def key_report(m: Models, names=tuple(KEYED)) -> DataFrame:
-    """Repeated and missing keys per model."""
+    """Repeated and missing keys per model, both from one grouping of its keys."""
     parts = []
     for name in names:
-        key = f"{name}_sk"
-        keys = m.ref(name).select(key)
-        parts += [_counted(checks.unique(keys, key), name, "unique"), _counted(checks.not_null(keys, key), name, "not_null")]
+        key = F.col(f"{name}_sk")
+        counts = m.ref(name).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        found = counts.agg(
+            F.count_if(key.isNotNull() & (F.col("n") > 1)).alias("repeated"),
+            F.coalesce(F.sum(F.when(key.isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("missing"),
+        )
+        cells = [
+            F.struct(F.lit(name).alias("model"), F.lit(check).alias("check_name"), F.col(c).alias("failures"))
+            for check, c in (("unique", "repeated"), ("not_null", "missing"))
+        ]
+        parts.append(found.select(F.inline(F.array(*cells))))
     return reduce(DataFrame.unionAll, parts)
 
 

@@ -313,7 +313,7 @@ def stg_03(t):
 
 
 def _warehouse(t, label: str) -> Warehouse:
-    return Warehouse(t.spark, scratch_dir(t.spark, label))
+    return Warehouse(t.spark, scratch_dir(t.spark, label), buckets=8)
 
 
 @query("snk_01_land_batch", "select *, (select count(*) from orders) as rows, (select max(o_orderdate)::varchar from orders) as mark from orders")

@@ -33,10 +33,10 @@ STAGING = {
                'SONG' || cast(o_orderkey as string) as name,
                case o_orderstatus when 'F' then 'approved' when 'O' then 'draft' else 'cancelled' end as state,
                cast(month(o_orderdate) % 8 as int) as produce_state,
-               case when o_orderpriority = '5-LOW' then ' ' else cast(cast(o_totalprice / 1000 as decimal(18,2)) as string) end as review_score,
+               case when o_orderpriority = '5-LOW' then ' ' else cast(cast(o_totalprice as decimal(18,2)) as string) end as review_score,
                cast(o_totalprice as decimal(18,2)) as review_price, o_orderdate as review_date,
                case when o_orderstatus = 'F' then 'HGFA' || cast(o_custkey as string) else '' end as hg_code,
-               case when o_orderpriority = '3-MEDIUM' then ' ' else 'IS' || cast(o_custkey % 900 as string) end as isrc,
+               case when o_orderpriority = '3-MEDIUM' then ' ' else 'IS' || cast(o_custkey as string) end as isrc,
                'cid' || o_orderstatus as cid_state, 'net' || o_orderstatus as net_cid, 'http://stock/' || cast(o_orderkey as string) as hg_link,
                case when o_orderstatus = 'P' then null else o_orderpriority end as release_state, ' distro ' as distro,
                case when o_orderstatus = 'P' then null else o_orderdate + interval 2 day end as ytb_sent_date,
@@ -64,7 +64,7 @@ STAGING = {
                case when o_orderstatus = 'P' and o_orderpriority = '5-LOW' then ' ' else 'HGFA' || cast(o_custkey as string) end as `ResourceFileId`,
                case when o_orderpriority = '1-URGENT' then 'take.WAV' when o_orderpriority = '2-HIGH' then null
                     else 'mix ' || cast(o_orderkey as string) || '.mp3' end as `Title`,
-               case when o_orderstatus = 'O' then ' ' else 'IS' || cast(o_custkey % 900 as string) end as `ISRC`,
+               case when o_orderstatus = 'O' then ' ' else 'IS' || cast(o_custkey as string) end as `ISRC`,
                o_orderdate as `CreatedDate` from orders""",
     "distribution_media_history": """
         select 'D' || cast(o_orderkey as string) as `Id`, case when o_orderstatus = 'P' then 'lost' else 'RF' || cast(o_orderkey as string) end as `ResourceFileInfoId`,
@@ -118,7 +118,7 @@ STAGING = {
                cast(cast(l_extendedprice as decimal(18,2)) as string) as `EstimatedRevenue` from lineitem""",
     "review": """
         select 'R' || cast(o_orderkey as string) as `Id`, 'U' || cast(o_custkey % 120 as string) as `CreatedByUserId`, 'RV' || cast(o_orderkey + 3 as string) as `RecordingSoundVersionId`,
-               o_orderstatus as `Concluding`, cast(cast(o_totalprice / 100000 as decimal(18,2)) as string) as `Rating`,
+               o_orderstatus as `Concluding`, cast(cast(o_totalprice as decimal(18,2)) as string) as `Rating`,
                case when o_orderpriority = '1-URGENT' then '{"Comment": "fine ' || o_orderstatus || '", "x": 1}' when o_orderpriority = '2-HIGH' then '{"Other": 1}'
                     when o_orderpriority = '5-LOW' then null else 'plain ' || o_orderpriority end as `Comment`, o_orderdate as `CreatedDate` from orders""",
     "recording_sound": "select 'SD' || cast(c_custkey as string) as `Id`, 'SONG' || cast(c_custkey as string) as `SongCode` from customer",
@@ -126,22 +126,22 @@ STAGING = {
     "version_needs_comment": "select 'VN' || cast(o_orderkey as string) as `Id`, 'RV' || cast(o_orderkey as string) as `RecordingSoundVersionId` from orders where o_orderstatus <> 'P'",
     "user_comment_version": "select 'VN' || cast(l_orderkey as string) as `VersionNeedsCommentId`, 'U' || cast(l_suppkey as string) as `UserId`, l_linenumber as `Rating` from lineitem",
     "partners": """
-        select case when s_acctbal < -900 then ' ' else ' Partner ' || cast(s_nationkey as string) || ' ' end as `Tên đối tác`,
-               case when s_acctbal > 9000 then '' else 'Repo ' || cast(s_suppkey % 40 as string) || ' ' end as `Tên kho trên HG Stock`,
+        select case when s_acctbal < -900 then ' ' else ' Partner ' || cast(cast(floor(s_suppkey / 4) as bigint) as string) || ' ' end as `Tên đối tác`,
+               case when s_acctbal > 9000 then '' else 'Repo ' || cast(s_suppkey as string) || ' ' end as `Tên kho trên HG Stock`,
                'signed ' || cast(s_nationkey as string) as `Ngày ký HĐ`, 'fixed' as `Cách tính giá`, '2024' as `_year` from supplier""",
     "purchased_resource": """
-        select case when p_type = 'SMALL' then ' not a code' else ' HG' || upper(substr(md5(cast(p_partkey % 1500 as string)), 1, 10)) end as `Mã`,
-               p_name as `Tiêu đề`, p_brand as `Nghệ sĩ bài hát`, ' Repo ' || cast(p_partkey % 50 as string) as `Repository` from part""",
+        select case when p_type = 'SMALL' then ' not a code' else ' HG' || upper(substr(md5(cast(cast(floor(p_partkey / 2) as bigint) as string)), 1, 10)) end as `Mã`,
+               p_name as `Tiêu đề`, p_brand as `Nghệ sĩ bài hát`, ' Repo ' || cast(cast(floor(p_partkey / 20) as bigint) as string) as `Repository` from part""",
     "purchase_cost": f"""
-        select 'Partner ' || cast(s_nationkey as string) as `Tên đối tác`, {_MONTHS},
+        select 'Partner ' || cast(cast(floor(s_suppkey / 4) as bigint) as string) as `Tên đối tác`, {_MONTHS},
                case when s_acctbal > 5000 then null else cast(cast(floor(s_acctbal) as bigint) * 12 as string) || ' total' end as `Total năm`, '2023' as `_year` from supplier""",
     "resource_before_odoo": """
         select case when c_mktsegment = 'BUILDING' then '#N/A' when c_mktsegment = 'MACHINERY' then ' ' else ' IS' || cast(c_custkey % 400 as string) || ' ' end as `ISRC`,
-               c_name as `Mã bài`, cast(cast(c_acctbal / 1000 as decimal(18,2)) as string) as `Điểm trung bình`, case when c_acctbal > 0 then '12.5' else 'none' end as `Chi phí đv: $`,
+               c_name as `Mã bài`, cast(cast(c_acctbal as decimal(18,2)) as string) as `Điểm trung bình`, case when c_acctbal > 0 then '12.5' else 'none' end as `Chi phí đv: $`,
                ' ' || c_mktsegment as `A&R phụ trách`, '' as `Nghệ sỹ` from customer""",
     "sale": f"""
         select case when l_returnflag = 'N' and l_linestatus = 'F' then ' ' else 'Shop ' || l_returnflag end as retailer,
-               case when l_linenumber = 7 then '' else 'IS' || cast(l_partkey % 900 as string) end as `iSRC`,
+               case when l_linenumber = 7 then '' else 'IS' || cast(l_partkey as string) end as `iSRC`,
                case when l_returnflag = 'A' then ' ' else ' Artist ' || cast(l_suppkey % 10 as string) end as artist,
                substr(cast(l_shipdate as string), 1, 10) as `reportingPeriod`, {_AMOUNT} as earnings from lineitem""",
     "stream_distro": """

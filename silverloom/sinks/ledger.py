@@ -30,22 +30,31 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
-        spark.createDataFrame([], EVENTS).write.mode("ignore").parquet(path)
+        self._filled(spark.range(0, 0, 1, 1)).write.mode("ignore").parquet(path)
 
     # -- writing
 
     def append(self, events: DataFrame) -> None:
         """Add events; columns they lack are null."""
-        filled = [
-            (F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in EVENTS.fields
-        ]
-        events.select(*filled).write.mode("append").parquet(self.path)
+        self._filled(events).write.mode("append").parquet(self.path)
+
+    @staticmethod
+    def _filled(events: DataFrame) -> DataFrame:
+        return events.select(
+            *[
+                (F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in EVENTS.fields
+            ]
+        )
 
     def _event(self, at: dt.datetime | None, **values) -> None:
         at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = {f.name: None for f in EVENTS.fields} | values | {"event_no": time.time_ns(), "event_at": at}
-        self.append(self.spark.createDataFrame([tuple(row[f.name] for f in EVENTS.fields)], EVENTS).coalesce(1))
+        paths = values.pop("table_paths", None)
+        cells = values | {"event_no": time.time_ns(), "event_at": at.isoformat(sep=" ")}
+        columns = {name: F.lit(value) for name, value in cells.items()}
+        if paths is not None:
+            columns["table_paths"] = F.array(*[F.lit(p) for p in paths])
+        self.append(self.spark.range(0, 1, 1, 1).select(*[c.alias(name) for name, c in columns.items()]))
 
     def register(self, source_id: str, batch_id: str, path: str, row_count: int, at=None, **details) -> None:
         """A landed batch: path, rows, and its checksum or watermark."""
