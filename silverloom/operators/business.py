@@ -12,6 +12,7 @@ from .dedupe import deduplicate, top_per_group
 
 # Tenths of the measure for positions 1.., by number of members (5 = five or more).
 POSITION_WEIGHTS = {1: [10], 2: [7, 3], 3: [6, 3, 1], 4: [6, 2, 1, 1], 5: [5, 2, 1, 1, 1]}
+CREDITED = max(POSITION_WEIGHTS)
 
 
 def positional_weights(members: DataFrame, container: list[str], order_by: list, weight: str = "w") -> DataFrame:
@@ -20,7 +21,7 @@ def positional_weights(members: DataFrame, container: list[str], order_by: list,
     Only the first five rows per container leave the map side, and counting them gives
     min(members, 5), which is all the weights depend on.
     """
-    top = top_per_group(members, container, order_by, 5, "rn")
+    top = top_per_group(members, container, order_by, CREDITED, "rn")
     counted = top.withColumn("n_top", F.count(F.lit(1)).over(Window.partitionBy(*container)))
     table = F.array(*[F.array(*[F.lit(w) for w in POSITION_WEIGHTS[n]]) for n in sorted(POSITION_WEIGHTS)])
     row = F.element_at(table, F.col("n_top").cast("int"))
@@ -36,7 +37,7 @@ def even_share(costs: DataFrame, members: DataFrame, key: str, shares: Mapping[s
 
 def daily_rates(rates: DataFrame, date: str = "record_date", rate: str = "exchange_rate") -> DataFrame:
     """One rate per date (the smallest where a date has several)."""
-    return deduplicate(rates.select(date, rate), [date], [F.col(rate).asc_nulls_last()])
+    return rates.groupBy(date).agg(F.min(rate).alias(rate))
 
 
 def with_rate(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_end, month_label
 from ..functions.safe import safe_divide
 from ..functions.text import blank_to_null, digits_number, grouped_number, json_or_text, typed
-from ..operators.business import even_share, first_match_links, positional_weights, with_fallback_key, with_rate
-from ..operators.dedupe import deduplicate
+from ..operators.business import CREDITED, even_share, first_match_links, positional_weights, with_fallback_key, with_rate
+from ..operators.dedupe import deduplicate, top_per_group
 from ..operators.lists import list_to_names
 from ..operators.ordered import in_order
 from ..operators.reshape import unpivot
@@ -246,9 +246,11 @@ def fact_revenue_by_resources(m):
         F.col("EstimatedRevenue").cast(NUMBER).alias("_revenue"),
         F.col("Views").cast(NUMBER).alias("_views"),
     )
+    order = [F.asc_nulls_last("position"), F.asc_nulls_last("hg_stock_id")]
+    # Only the first five resources of an edit can get credit, so only they meet its videos.
     uses = m.ref("fact_editing").select("editing_code", "hg_stock_id", "position")
+    uses = top_per_group(uses, ["editing_code"], order, CREDITED, "_place").drop("_place")
     members = m.ref("bridge_bt_vid").select("video_id", "editing_code").join(uses, "editing_code")
-    order = [F.asc_nulls_last("position"), F.asc_nulls_last("hg_stock_id")]
     weighted = positional_weights(members, ["video_id", "editing_code"], order)
     rows = with_rate(weighted.join(figures, "video_id"), F.col("_day"), m.ref("dim_usd"))
     return keyed(
