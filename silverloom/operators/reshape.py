@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import operator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,15 @@ def column_values(
     return [r["value"] for r in rows] if rows else default
 
 
+def table_column_values(spark: SparkSession, table: str, column: str, default=None, **options) -> list:
+    """:func:`column_values` of a catalogue table; ``default`` when there is no such table."""
+    if spark.catalog.tableExists(table):
+        return column_values(spark.table(table), column, default=default, **options)
+    if default is None:
+        raise LookupError(f"table {table} does not exist and there is no default")
+    return default
+
+
 def column_frequencies(df: DataFrame, column: str, order_by=None, max_records=None, where=None) -> DataFrame:
     chosen = df if where is None else df.where(where)
     counted = chosen.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))

@@ -37,11 +37,6 @@ REFERENCES = [
 ]
 
 
-def _counted(rows: DataFrame, model: str, check: str) -> DataFrame:
-    n = rows.agg(F.count(F.lit(1)).alias("failures"))
-    return n.select(F.lit(model).alias("model"), F.lit(check).alias("check_name"), "failures")
-
-
 def key_report(m: Models, names=tuple(KEYED)) -> DataFrame:
     """Repeated and missing keys per model, both from one grouping of its keys."""
     parts = []
@@ -64,6 +59,7 @@ def reference_report(m: Models, references=tuple(REFERENCES)) -> DataFrame:
     """Rows whose reference is unknown, per reference."""
     parts = []
     for model, column, to, field in references:
-        orphans = checks.relationships(m.ref(model), column, m.ref(to), field)
-        parts.append(_counted(orphans, model, f"{column}_in_{to}"))
+        orphans = checks.orphan_counts(m.ref(model), column, m.ref(to), field)
+        n = orphans.agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("bigint").alias("failures"))
+        parts.append(n.select(F.lit(model).alias("model"), F.lit(f"{column}_in_{to}").alias("check_name"), "failures"))
     return reduce(DataFrame.unionAll, parts)

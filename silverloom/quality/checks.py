@@ -34,15 +34,25 @@ def not_accepted_values(df: DataFrame, column: str, values) -> DataFrame:
     return df.where(F.col(column).isin(*values)).select(F.col(column).alias("value_field")).distinct()
 
 
-def relationships(df: DataFrame, column: str, to: DataFrame, field: str, from_where=None, to_where=None) -> DataFrame:
-    """Filled keys without a partner, one row per offending row."""
+def orphan_counts(df: DataFrame, column: str, to: DataFrame, field: str, from_where=None, to_where=None) -> DataFrame:
+    """Filled keys without a partner and how many rows hold each.
+
+    Keys are counted before the join, so a frequent key crosses the network once per task.
+    """
     left = df if from_where is None else df.where(from_where)
     right = to if to_where is None else to.where(to_where)
-    ids = left.where(F.col(column).isNotNull()).select(F.col(column).alias("id"))
+    filled = left.where(F.col(column).isNotNull())
+    ids = filled.groupBy(F.col(column).alias("id")).agg(F.count(_ROWS).alias("n_records"))
     known = right.where(F.col(field).isNotNull()).select(F.col(field).alias("id")).distinct()
     return ids.join(known, "id", "left_anti")
 
 
+def relationships(df: DataFrame, column: str, to: DataFrame, field: str, from_where=None, to_where=None) -> DataFrame:
+    """Filled keys without a partner, one row per offending row."""
+    orphans = orphan_counts(df, column, to, field, from_where, to_where)
+    return repeat_rows(orphans, F.col("n_records")).drop("n_records")
+
+
 def accepted_range(df: DataFrame, column, low=None, high=None, inclusive: bool = True) -> DataFrame:
     """Values outside the bounds (literals or columns); null is no violation."""
     return df.where(_outside(as_column(column), low, high, inclusive))

@@ -137,16 +137,22 @@ _LIST_ORACLE = f"""
 """
 
 
-@query("rel_08_lateral_list_lookup", _LIST_ORACLE)
+@query(
+    "rel_08_lateral_list_lookup",
+    """
+    with rows as (select o_orderkey, case when o_orderstatus = 'P' then null
+                         else concat_ws(',', (o_custkey % 30)::varchar, ' ' || month(o_orderdate)::varchar, '', o_orderpriority) end as ids from orders)
+    select o_orderkey, ids, (select string_agg(n_name, ', ' order by place)
+        from unnest(string_split(ids, ',')) with ordinality as u(item, place) join nation on trim(item) = n_nationkey::varchar) as names
+    from rows
+    """,
+)
 def rel_08(t):
-    """Per-row form: the cell is split and looked up for every row."""
-    rows = t.customer.select("c_custkey", _id_list().alias("ids"))
-    items = rows.select("c_custkey", F.posexplode(F.split("ids", ",")).alias("at", "item"))
-    names = t.nation.select(F.col("n_nationkey").cast("string").alias("item"), "n_name")
-    found = items.withColumn("item", F.trim("item")).join(names, "item")
-    joined = found.groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("at", "n_name"))).alias("found"))
-    joined = joined.select("c_custkey", F.array_join("found.n_name", ", ").alias("names"))
-    return rows.join(joined, "c_custkey", "left")
+    """A correlated lookup per row becomes a lookup per distinct cell."""
+    month = F.concat(F.lit(" "), F.month("o_orderdate").cast("string"))
+    cell = F.concat_ws(",", (F.col("o_custkey") % 30).cast("string"), month, F.lit(""), F.col("o_orderpriority"))
+    rows = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", cell).alias("ids"))
+    return list_to_names(rows, "ids", t.nation, "n_nationkey", "n_name", "names")
 
 
 @query(

@@ -59,6 +59,11 @@ def test_column_values(spark):
     assert reshape.column_values(df, "f") == ["b", "a", "c"]
     assert reshape.column_values(df, "f", where="c = 1", order_by=[F.desc("value")], max_records=1) == ["b"]
     assert reshape.column_values(df, "f", where="c = 9", default=["z"]) == ["z"]
+    df.createOrReplaceTempView("valued")
+    assert reshape.table_column_values(spark, "valued", "f", where="c = 1") == ["a", "b"]
+    assert reshape.table_column_values(spark, "no_such_table", "f", default=["z"]) == ["z"]
+    with pytest.raises(LookupError):
+        reshape.table_column_values(spark, "no_such_table", "f")
     many = spark.range(reshape.MAX_VALUES + 1).select(F.col("id").alias("f"))
     with pytest.raises(ValueError):
         reshape.column_values(many, "f")
