@@ -12,10 +12,11 @@ from silverloom.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
