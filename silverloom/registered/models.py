@@ -21,13 +21,16 @@ _DRIVER = "region nation customer supplier part orders lineitem".split()
 
 
 def models_over(t: Tables) -> Models:
-    for name in _DRIVER:
-        getattr(t, name).createOrReplaceTempView(f"driver_{name}")
+    views: set[str] = set()
 
     def staging(name: str) -> DataFrame:
         text = STAGING[name]
         for table in _DRIVER:
-            text = text.replace(f"from {table}", f"from driver_{table}")
+            if f"from {table}" in text:
+                if table not in views:
+                    getattr(t, table).createOrReplaceTempView(f"driver_{table}")
+                    views.add(table)
+                text = text.replace(f"from {table}", f"from driver_{table}")
         return t.spark.sql(text)
 
     return Models(staging, AS_OF, REVIEWER)
