@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from silverloom.registered import load
 from tools.compare import TABLES, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are absent")
 
@@ -24,6 +25,7 @@ def sql():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
