@@ -41,7 +41,7 @@ def chosen(doc_id: Column, rows: int, bound: int) -> Column:
 def row_order(df: DataFrame, *first: str) -> list[Column]:
     """A total order of rows: ``first``, then every other column of a type that can be ordered."""
     rest = [f.name for f in df.schema.fields if f.name not in first and isinstance(f.dataType, AtomicType)]
-    return [df[c] for c in (*first, *rest)]
+    return [F.col(f"`{c}`") for c in (*first, *rest)]
 
 
 def map_rows(df: DataFrame, columns: Callable[[pa.RecordBatch], list], schema: StructType) -> DataFrame:

@@ -12,7 +12,9 @@ from ..registered.base import Tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("simhash",)
+MODULES = (
+    "secrets", "decontaminate", "line_dedup", "packing", "simhash", "language", "mixing", "order_minhash", "quality", "toxicity",
+)
 
 
 def query(name: str, sql: str | None = None):
