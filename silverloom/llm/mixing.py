@@ -134,7 +134,7 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(repeats)))).otherwise(0.0)
     units = sized.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).withColumn("rate", rate)
     near = F.abs(F.col("rate") - F.round("rate")) < 1e-9
-    units = units.withColumn("whole", F.when(near, F.round("rate")).otherwise(F.floor("rate")).cast("int"))
+    units = units.withColumn("whole", F.when(F.col("size") == 0, 0).when(near, F.round("rate")).otherwise(F.floor("rate")).cast("int"))
     part = F.when(near | (F.col("size") == 0), 0.0).otherwise(F.col("rate") - F.col("whole"))
     key = F.xxhash64("doc_id", "row", "size")
     units = units.select("row", "doc_id", key.alias("key"), "nth", "size", "source_size", "target", "whole", part.alias("part"))
