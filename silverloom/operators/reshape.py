@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,6 @@ from pyspark.sql import types as T
 from ..functions.keys import as_column
 from ..functions.text import slug_name
 
-MAX_VALUES = 10_000
-
 _COMPARE = {
     "=": operator.eq, "!=": operator.ne, "<>": operator.ne,
     "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge,
@@ -61,10 +60,17 @@ def unpivot(
     return cast.unpivot([_named(c) for c in ids], [_named(c) for c in values], field_name, value_name)
 
 
+def _aggregate(agg) -> tuple:
+    """An aggregate and its form over distinct values, where there is one."""
+    if callable(agg):
+        return agg, agg
+    return _AGGREGATES.get(agg.lower(), (lambda c: F.call_function(agg, c), None))
+
+
 def pivot_columns(
     column,
     values,
-    agg: str = "sum",
+    agg: str | Callable[[Column], Column] = "sum",
     cmp: str = "=",
     prefix: str = "",
     suffix: str = "",
@@ -76,9 +82,12 @@ def pivot_columns(
 ) -> list[Column]:
     """One aggregate per value, to be used in a single ``groupBy(...).agg(*...)``.
 
-    ``quote`` keeps the value as the column name; otherwise its slug is the name.
+    ``agg`` is the name of any aggregate function of one column, or a function from Column to
+    Column. ``quote`` keeps the value as the column name; otherwise its slug is the name.
     """
-    plain, unique = _AGGREGATES[agg]
+    plain, unique = _aggregate(agg)
+    if distinct and unique is None:
+        raise ValueError(f"give {agg!r} over distinct values as a function")
     compare, tested = _COMPARE[cmp], as_column(column)
 
     def item(v):
@@ -94,24 +103,22 @@ def pivot_columns(
 
 
 def column_values(
-    df: DataFrame, column: str, order_by=None, max_records: int | None = None, default=None, where=None
+    df: DataFrame, column: str, max_records: int, order_by=None, default=None, where=None
 ) -> list:
     """Distinct values, most frequent first (ties by value); ``default`` when there is none.
 
-    The list is meant to become columns or literals, so it is brought to the driver. A
-    column with more than ``MAX_VALUES`` values is an error, not a silent cut.
+    The list is meant to become columns or literals, so it is brought to the driver, and
+    ``max_records`` says how many values that may be. :func:`column_frequencies` is the
+    same as a DataFrame, without a bound.
     """
-    bound = MAX_VALUES + 1 if max_records is None else max_records
-    rows = column_frequencies(df, column, order_by, bound, where).select("value").collect()
-    if max_records is None and len(rows) > MAX_VALUES:
-        raise ValueError(f"{column} has more than {MAX_VALUES} values; give max_records")
+    rows = column_frequencies(df, column, order_by, max_records, where).select("value").collect()
     return [r["value"] for r in rows] if rows else default
 
 
-def table_column_values(spark: SparkSession, table: str, column: str, default=None, **options) -> list:
+def table_column_values(spark: SparkSession, table: str, column: str, max_records: int, default=None, **options) -> list:
     """:func:`column_values` of a catalogue table; ``default`` when there is no such table."""
     if spark.catalog.tableExists(table):
-        return column_values(spark.table(table), column, default=default, **options)
+        return column_values(spark.table(table), column, max_records, default=default, **options)
     if default is None:
         raise LookupError(f"table {table} does not exist and there is no default")
     return default

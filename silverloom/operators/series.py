@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_PARTS = ("minute", "hour", "day", "week", "month", "quarter", "year")
+_PARTS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
 
 
 def number_series(spark: SparkSession, upper: int) -> DataFrame:
@@ -37,7 +37,10 @@ def periods_between(start: dt.date, end: dt.date, part: str) -> int:
     hours = days * 24 + getattr(end, "hour", 0) - getattr(start, "hour", 0)
     if part == "hour":
         return hours
-    return hours * 60 + getattr(end, "minute", 0) - getattr(start, "minute", 0)
+    minutes = hours * 60 + getattr(end, "minute", 0) - getattr(start, "minute", 0)
+    if part == "minute":
+        return minutes
+    return minutes * 60 + getattr(end, "second", 0) - getattr(start, "second", 0)
 
 
 def date_spine(spark: SparkSession, part: str, start: dt.date, end: dt.date) -> DataFrame:
@@ -46,8 +49,9 @@ def date_spine(spark: SparkSession, part: str, start: dt.date, end: dt.date) ->
     if n <= 0:
         raise ValueError("end must lie after start")
     is_moment = isinstance(start, dt.datetime)
-    kind = "timestamp_ntz" if is_moment or part in ("hour", "minute") else "date"
+    kind = "timestamp_ntz" if is_moment or part in ("hour", "minute", "second") else "date"
     first = f"cast('{start.isoformat(sep=' ') if is_moment else start.isoformat()}' as timestamp_ntz)"
-    moment = F.expr(f"timestampadd({part.upper()}, cast(id as int), {first})").cast(kind)
+    added = f"{first} + id * interval '1' second" if part == "second" else f"timestampadd({part.upper()}, cast(id as int), {first})"
+    moment = F.expr(added).cast(kind)
     last = F.lit(end.isoformat()).cast(kind)
     return spark.range(n).select(moment.alias(f"date_{part}")).where(F.col(f"date_{part}") <= last)

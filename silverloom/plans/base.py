@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import defaultdict
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +15,20 @@ from ..functions.text import blank_to_null
 
 MODELS: dict[str, Callable[[Models], DataFrame]] = {}
 
+
+@dataclass(frozen=True)
+class Kind:
+    """How a model's rows are kept: ``view``, ``table``, or ``incremental`` by key and date."""
+
+    kept: str = "table"
+    key: tuple[str, ...] = ()
+    newer_by: str | None = None
+
+
+KINDS: defaultdict[str, Kind] = defaultdict(Kind)
+
 NUMBER = "decimal(38,6)"  # a number without stated precision
+RATIO = "decimal(38,12)"  # a quotient
 MONEY = "decimal(18,2)"
 MOMENT = "timestamp_ntz"
 
@@ -42,10 +57,21 @@ class Models:
 
 
 def model(fn):
+    """Register a model that is kept as a table."""
     MODELS[fn.__name__] = fn
     return fn
 
 
+def incremental(key: str, newer_by: str):
+    """Register a model that is kept incrementally: later loads add rows after the newest ``newer_by``."""
+
+    def register(fn):
+        KINDS[fn.__name__] = Kind("incremental", (key,), newer_by)
+        return model(fn)
+
+    return register
+
+
 def keyed(df: DataFrame, key_name: str, key, fields: dict) -> DataFrame:
     """Hashed key over ``key`` and one output column per field.
 

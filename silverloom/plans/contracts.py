@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import blank_to_null
 from ..quality import checks
 from .base import Models
 
@@ -36,6 +37,30 @@ REFERENCES = [
     ("bridge_bt_vid", "video_id", "dim_video", "video_id"),
 ]
 
+# Staging table, text column, type that a model gives it. Text of another form becomes null.
+TYPED = [
+    ("resource_before_odoo", "Điểm trung bình", "decimal(18,2)"),
+    ("resource_before_odoo", "Chi phí đv: $", "decimal(18,2)"),
+    ("x_music_song", "review_score", "decimal(18,2)"),
+    ("sale_order_line", "x_expected_score", "decimal(18,2)"),
+    ("stream_distro", "reportingDate", "date"),
+]
+
+
+def lost_value_report(m: Models, typed=tuple(TYPED)) -> DataFrame:
+    """Filled cells that a model's cast loses, per column; a table is scanned once for all its columns."""
+    parts = []
+    for table in dict.fromkeys(t for t, _, _ in typed):
+        columns = [(c, kind) for t, c, kind in typed if t == table]
+        texts = [blank_to_null(F.col(f"`{c}`")) for c, _ in columns]
+        lost = [F.count_if(x.isNotNull() & x.try_cast(kind).isNull()) for x, (_, kind) in zip(texts, columns)]
+        counts = m.staging(table).agg(*[n.alias(f"_{i}") for i, n in enumerate(lost)])
+        cells = [
+            F.struct(F.lit(table).alias("staging"), F.lit(c).alias("column_name"), F.col(f"_{i}").alias("failures")) for i, (c, _) in enumerate(columns)
+        ]
+        parts.append(counts.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionAll, parts)
+
 
 def key_report(m: Models, names=tuple(KEYED)) -> DataFrame:
     """Repeated and missing keys per model, both from one grouping of its keys."""

@@ -9,10 +9,10 @@ from ..functions.safe import safe_divide
 from ..functions.text import blank_to_null, digits_number, grouped_number, json_or_text, typed
 from ..operators.business import CREDITED, even_share, first_match_links, positional_weights, with_fallback_key, with_rate
 from ..operators.dedupe import deduplicate, top_per_group
-from ..operators.lists import list_to_names
+from ..operators.lists import IdList, lists_to_names
 from ..operators.ordered import in_order
 from ..operators.reshape import unpivot
-from .base import MOMENT, MONEY, NUMBER, keyed, model
+from .base import MOMENT, MONEY, NUMBER, RATIO, incremental, keyed, model
 
 # Form of an edit code inside a description, and prefix of stock files.
 EDIT_CODE = "(HG[A-Z0-9]{30,34})"
@@ -38,17 +38,17 @@ def fact_artist_assignment(m):
 SHARED_USE = "Dùng chung"
 
 
-@model
+@incremental("fact_distribution_sk", "distribution_date")
 def fact_distribution(m):
     """Distributions with the names behind their three id lists."""
     files = m.staging("resource_file_info").select(F.col("Id").alias("_file"), F.col("ResourceFileId").alias("_stock"))
     rows = m.staging("distribution_media_history").join(files, F.col("ResourceFileInfoId") == F.col("_file"), "left")
-    for cell, table, name, result in (
-        ("DepartmentData", "department", "Name", "_departments"),
-        ("GroupData", "groups", "Name", "_teams"),
-        ("UserData", "users", "DisplayName", "_employees"),
-    ):
-        rows = list_to_names(rows, cell, m.staging(table), "Id", name, result)
+    lists = [
+        IdList("DepartmentData", m.staging("department"), "Id", "Name", "_departments"),
+        IdList("GroupData", m.staging("groups"), "Id", "Name", "_teams"),
+        IdList("UserData", m.staging("users"), "Id", "DisplayName", "_employees"),
+    ]
+    rows = lists_to_names(rows, lists)
     return keyed(
         rows,
         "fact_distribution_sk",
@@ -114,7 +114,7 @@ def fact_khsx_detail(m):
     )
 
 
-@model
+@incremental("fact_label_operation_sk", "release_date")
 def fact_label_operation(m):
     """Active songs with a recording code, the lowest id per code, and their certificate."""
     songs = m.staging("x_music_song").where(blank_to_null("isrc").isNotNull() & F.col("active"))
@@ -138,7 +138,7 @@ def fact_label_operation(m):
     )
 
 
-@model
+@incremental("music_evaluation_id", "review_date")
 def fact_music_evaluation(m):
     """Reviews with the version of the recording and the mean rating of its listeners."""
     versions = in_order(
@@ -186,7 +186,7 @@ def fact_po_detail(m):
     return keyed(m.staging("purchase_order_line"), "fact_po_detail_sk", "id", fields)
 
 
-@model
+@incremental("cost_id", "incurred_datetime")
 def fact_purchase_cost(m):
     """Monthly cost of a partner, spread evenly over the recordings of its repositories."""
     costs = m.staging("purchase_cost")
@@ -197,7 +197,8 @@ def fact_purchase_cost(m):
         *[F.col(f"CP tháng {n}").alias(str(n)) for n in range(1, 13)],
     )
     long = unpivot(wide, ["_partner", "_year", "_total"], field_name="_month", value_name="_cost")
-    long = long.withColumns({"_total": digits_number("_total"), "_cost": digits_number("_cost")})
+    # 18 digits of a cost leave a quotient its 12 decimal places.
+    long = long.withColumns({"_total": digits_number("_total", "decimal(18,0)"), "_cost": digits_number("_cost", "decimal(18,0)")})
     stores = m.staging("partners").where(blank_to_null("Tên kho trên HG Stock").isNotNull())
     stores = stores.select(F.trim("Tên đối tác").alias("_partner"), F.trim("Tên kho trên HG Stock").alias("repository")).distinct()
     per_store = long.where(F.col("_cost").isNotNull()).join(stores, "_partner")
@@ -209,8 +210,8 @@ def fact_purchase_cost(m):
         ["hg_stock_id", "_year", "_month"],
         {
             "resource_id": F.col("hg_stock_id"),
-            "total_cost": F.col("total_cost").cast(NUMBER),
-            "additional_cost": F.col("additional_cost").cast(NUMBER),
+            "total_cost": F.col("total_cost").cast(RATIO),
+            "additional_cost": F.col("additional_cost").cast(RATIO),
             "incurred_datetime": month_end("_year", "_month"),
         },
     )
@@ -268,7 +269,7 @@ def fact_revenue_by_resources(m):
     )
 
 
-@model
+@incremental("fact_revenue_distro_sk", "revenue_month")
 def fact_revenue_distro(m):
     """Monthly sales by retailer, recording and artist, with the rate of the first day sold."""
     day = F.col("reportingPeriod").cast("date")
@@ -328,7 +329,7 @@ def fact_so_detail(m):
     )
 
 
-@model
+@incremental("fact_view_stream_distro_sk", "recorded_date")
 def fact_view_stream_distro(m):
     """Daily streams with each retailer that sells the recording."""
     shops = m.staging("sale").where(blank_to_null("iSRC").isNotNull()).select("iSRC", "retailer").distinct()
@@ -349,7 +350,7 @@ def fact_view_stream_distro(m):
     )
 
 
-@model
+@incremental("fact_view_yt_sk", "recorded_date")
 def fact_view_yt(m):
     figures = member_metrics(m, "not_left").where(F.trim("YoutubeVideoId") != "")
     views, revenue = F.col("Views").cast(NUMBER), F.col("EstimatedRevenue").cast(NUMBER)
@@ -361,12 +362,12 @@ def fact_view_yt(m):
             "video_id": F.col("YoutubeVideoId"),
             "view_count": views,
             "recorded_date": F.col("Date").cast(MOMENT),
-            "rpm": safe_divide(revenue, views).cast(NUMBER),
+            "rpm": safe_divide(revenue.cast("decimal(20,6)"), views.cast("decimal(18,0)")).cast(RATIO),
         },
     )
 
 
-@model
+@incremental("fact_youtube_operation_sk", "submitted_date")
 def fact_youtube_operation(m):
     """Songs on the video platform by stock id; a missing id is looked up by recording code."""
     songs = m.staging("x_music_song").select(

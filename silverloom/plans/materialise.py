@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sinks.warehouse import Warehouse
+from .base import KINDS, MODELS, Models
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -17,16 +19,43 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 def as_table(wh: Warehouse, name: str, df: DataFrame) -> DataFrame:
     """Replace a table in one step: the new rows are written first, then named."""
-    wh.commit(f"{name}-{uuid.uuid4().hex[:8]}", name, wh.truncate(name, df))
+    wh.log.commit(wh.truncate(name, df))
     return wh.table(name)
 
 
 def as_incremental(wh: Warehouse, name: str, df: DataFrame, key: list[str], newer_by: str | None = None) -> DataFrame:
-    """Add rows newer than the table's newest, replacing rows of the same key."""
+    """Add rows newer than the table's newest. Rows of the same keys go first; rows that share a key all stay."""
     if newer_by and wh.exists(name):
         newest = wh.table(name).agg(F.max(newer_by)).first()[0]
         if newest is not None:
             df = df.where(F.col(newer_by) > F.lit(newest).cast(df.schema[newer_by].dataType))
-    order = [F.col(newer_by).desc_nulls_last()] if newer_by else None
-    wh.commit(f"{name}-{uuid.uuid4().hex[:8]}", name, wh.upsert(name, df, key, order))
+    wh.log.commit(wh.upsert(name, df, key, keep_all=True))
     return wh.table(name)
+
+
+def keep(wh: Warehouse, name: str, df: DataFrame) -> DataFrame:
+    """Store a model's rows the way its record states and read them back."""
+    kind = KINDS[name]
+    if kind.kept == "view":
+        return as_view(df, name)
+    if kind.kept == "incremental":
+        return as_incremental(wh, name, df, list(kind.key), kind.newer_by)
+    return as_table(wh, name, df)
+
+
+class StoredModels(Models):
+    """Builds each model once and stores it; a model that reads another reads what is stored."""
+
+    def __init__(self, wh: Warehouse, staging: Callable[[str], DataFrame], as_of: dt.date, internal_reviewer: str | None = None):
+        super().__init__(staging, as_of, internal_reviewer)
+        self.wh = wh
+
+    def ref(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = keep(self.wh, name, MODELS[name](self))
+        return self._built[name]
+
+    def build(self, names: Iterable[str] | None = None) -> None:
+        """Store models (all of them); those they read come first."""
+        for name in MODELS if names is None else names:
+            self.ref(name)

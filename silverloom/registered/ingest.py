@@ -98,6 +98,16 @@ def src_06(t):
     return csv.read_csv(t.spark, path)
 
 
+@query("src_06_csv_headers", "select n_nationkey::varchar as n_nationkey, n_name || chr(10) || 'next line' as n_name from nation")
+def src_06_headers(t):
+    """Files of one folder with their columns in two orders, and line breaks inside quotes."""
+    path = scratch_dir(t.spark, "csv")
+    rows = t.nation.select(F.col("n_nationkey").cast("string"), F.concat("n_name", F.lit("\nnext line")).alias("n_name"))
+    for columns, part in ((["n_nationkey", "n_name"], "n_nationkey < 10"), (["n_name", "n_nationkey"], "n_nationkey >= 10")):
+        rows.where(part).select(*columns).coalesce(1).write.mode("append").option("header", "true").option("quoteAll", "true").csv(path)
+    return csv.read_csv(t.spark, path)
+
+
 @query(
     "src_07_document_scan",
     """
@@ -209,6 +219,20 @@ def src_11(t):
     return grid.promote_by_marker(cells, "code", ["Code", "Title", "Artist"])
 
 
+@query("src_11_two_sheets", "select n_name as \"Name\", n_nationkey::varchar as \"Key\", 'book' as \"Repository\" from nation where n_regionkey < 2")
+def src_11_sheets(t):
+    """Sheets of one file have their headers in other rows and orders; one has none."""
+    region, key = F.col("n_regionkey"), F.col("n_nationkey").cast("string")
+    rows = t.nation.select(F.lit("book.xlsx").alias("file"), F.concat(F.lit("s"), region).alias("sheet"), "*")
+    body = rows.select("file", "sheet", (F.col("n_nationkey") + 10).cast("bigint").alias("row_no"), F.when(region == 0, F.array("n_name", key)).otherwise(F.array(key, "n_name")).alias("cells"))
+    heads = rows.select("file", "sheet", "n_regionkey").distinct().where("n_regionkey < 2")
+    header = heads.select(
+        "file", "sheet", (F.col("n_regionkey") + 2).cast("bigint").alias("row_no"),
+        F.when(F.col("n_regionkey") == 0, F.array(F.lit("name"), F.lit("KEY"))).otherwise(F.array(F.lit("Key"), F.lit(" Name"))).alias("cells"),
+    )
+    return grid.promote_by_marker(header.unionAll(body), "name", ["Name", "Key"])
+
+
 # -- change tests
 
 
@@ -268,6 +292,11 @@ def stg_01(t):
     return staging.clean_names(raw)
 
 
+@query("stg_01_clashing_names", 'select r_regionkey as "a", r_name as "a_1", r_regionkey as "a_1_1" from region')
+def stg_01_clash(t):
+    return staging.clean_names(t.region.select("r_regionkey", "r_name", F.col("r_regionkey")).toDF("a", "a", "a_1"))
+
+
 @query("stg_01_field_mapping", "select p_partkey as id, p_name as title from part")
 def stg_01_mapping(t):
     return staging.map_fields(t.part, {"p_partkey": "id", "p_name": "title", "absent": "gone"})
@@ -425,6 +454,69 @@ def snk_08(t):
     return materialise.as_incremental(wh, "fact", t.orders, ["o_orderkey"], "o_orderdate")
 
 
+@query("snk_03_new_column", "select c_custkey, case when c_custkey % 2 = 1 then c_mktsegment end as c_mktsegment from customer")
+def snk_03_new_column(t):
+    """The second append brings a column the first lacks."""
+    wh = _warehouse(t, "wider")
+    wh.commit("b0", "customer", wh.load("customer", t.customer.where("c_custkey % 2 = 0").select("c_custkey"), "append"))
+    wh.commit("b1", "customer", wh.load("customer", t.customer.where("c_custkey % 2 = 1").select("c_mktsegment", "c_custkey"), "append"))
+    return wh.table("customer")
+
+
+@query("snk_03_interleaved", "select o_orderkey, o_orderstatus from orders")
+def snk_03_interleaved(t):
+    """Appends written at the same time and committed in the other order keep all rows."""
+    wh = _warehouse(t, "interleaved")
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    written = [wh.load("orders", rows.where(F.col("o_orderstatus") == s), "append") for s in "FOP"]
+    for i, change in enumerate(reversed(written)):
+        wh.commit(f"b{i}", "orders", change)
+    return wh.table("orders")
+
+
+@query("snk_04_widened", "select o_orderkey, floor(o_totalprice) + case when o_orderkey % 3 = 0 then 0.75::double else 0 end as price from orders")
+def snk_04_widened(t):
+    """A delta of doubles into a column of ints widens the column."""
+    wh = _warehouse(t, "widened")
+    whole = F.floor(F.col("o_totalprice").cast("double")).cast("int")
+    wh.commit("b0", "prices", wh.load("prices", t.orders.select("o_orderkey", whole.alias("price")), "upsert", ["o_orderkey"]))
+    delta = t.orders.where("o_orderkey % 3 = 0").select("o_orderkey", (whole.cast("double") + 0.75).alias("price"))
+    wh.commit("b1", "prices", wh.load("prices", delta, "upsert", ["o_orderkey"]))
+    return wh.table("prices")
+
+
+@query(
+    "snk_05_delete_insert",
+    """
+    with delta as (select l_orderkey, l_linenumber from lineitem where l_orderkey % 5 = 0 and l_linenumber <= 2)
+    select l_orderkey, l_linenumber, 'old' as version from lineitem where l_orderkey not in (select l_orderkey from delta)
+    union all select *, 'new' from delta
+    """,
+)
+def snk_05_delete_insert(t):
+    """Rows of the delta's keys go, then the whole delta is added, equal keys included; twice changes nothing."""
+    wh = _warehouse(t, "delete_insert")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber")
+    wh.commit("b0", "lines", wh.load("lines", rows.withColumn("version", F.lit("old")), "append"))
+    delta = rows.where("l_orderkey % 5 = 0 and l_linenumber <= 2").withColumn("version", F.lit("new"))
+    for i in (1, 2):
+        wh.commit(f"b{i}", "lines", wh.load("lines", delta, "delete_insert", ["l_orderkey"]))
+    return wh.table("lines")
+
+
+@query("snk_06_restart", "select event_id, ts, event_type from events")
+def snk_06_restart(t):
+    """The stream's progress is lost while its folder grows: the first epoch of the new run holds other rows and counts."""
+    landing = scratch_dir(t.spark, "arrivals")
+    slim = t.events.select("event_id", "ts", "event_type")
+    wh = _warehouse(t, "stream")
+    for part in ("event_id % 2 = 0", "event_id % 2 = 1"):
+        slim.where(part).write.mode("append").parquet(landing)
+        stream = t.spark.readStream.schema(slim.schema).parquet(landing)
+        stream_upsert(wh, stream, "events", ["event_id"], "events", scratch_dir(t.spark, "progress"), "ts").awaitTermination()
+    return wh.table("events")
+
+
 # -- ledger
 
 
@@ -563,3 +655,46 @@ def led_06_rollback(t):
         pass
     rollback(wh, spec("1999-01-01"), "2024-01-03")
     return wh.table("orders").drop("_batch_id", "_loaded_at", "_source_id")
+
+
+@query("led_06_truncate_watermark", "select *, cast(1 as bigint) as skipped from orders")
+def led_06_truncate(t):
+    """A source with a mark whose loads replace the table: each load holds all of it, not the delta."""
+    wh = _warehouse(t, "replaced")
+    skipped = 0
+    for until in ("1997-01-01", "1997-01-01", "2003-01-01"):
+        spec = SourceSpec(
+            "orders",
+            lambda spark, until=until: t.orders.where(F.col("o_orderdate") < _at(until)),
+            watermark_column="o_orderdate",
+            upsert_key=("o_orderkey",),
+            load_mode="truncate",
+            columns=tuple(c for c in t.orders.columns),
+        )
+        skipped += run_source(wh, spec, at=_DAY) is None
+    rows = wh.table("orders").withColumn("skipped", F.lit(skipped).cast("bigint"))
+    return rows.drop("_batch_id", "_loaded_at", "_source_id")
+
+
+@query("led_06_mark_not_kept", "select o_orderkey as id from orders")
+def led_06_mark(t):
+    """The mapping leaves out the watermark column: the mark is taken before, and nothing loads twice."""
+    wh = _warehouse(t, "mapped")
+    for until in ("1997-01-01", "2003-01-01", "2003-01-01"):
+        spec = SourceSpec(
+            "orders", lambda spark, until=until: t.orders.where(F.col("o_orderdate") < _at(until)),
+            watermark_column="o_orderdate", field_mapping={"o_orderkey": "id"},
+        )
+        run_source(wh, spec, at=_DAY)
+    return wh.table("orders").select("id")
+
+
+@query("led_05_rollback_deltas", "select * from orders")
+def led_05_rollback(t):
+    """Three deltas, back to the second, one more run: the table is the source again."""
+    wh = _warehouse(t, "rollback")
+    for day, until in ((1, "1995-01-01"), (2, "1997-01-01"), (3, "1999-01-01")):
+        run_source(wh, _growing(t, until), at=dt.datetime(2024, 1, day, 6))
+    rollback(wh, _growing(t, "1999-01-01"), "2024-01-02")
+    run_source(wh, _growing(t, "2003-01-01"), at=dt.datetime(2024, 1, 4, 6))
+    return wh.table("orders").drop("_batch_id", "_loaded_at", "_source_id", "_source_connection")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions.keys import NULL_MARK, surrogate_key
@@ -47,7 +49,7 @@ def flagship(t):
         F.col("ts").alias("last_ts"),
         F.col("event_type").alias("last_type"),
     )
-    types = sorted(column_values(t.events, "event_type", default=[]))
+    types = sorted(column_values(t.events, "event_type", 100, default=[]))
     counts = t.events.groupBy("user_id").agg(*pivot_columns("event_type", types))
     return latest.join(counts, "user_id").select(
         surrogate_key("user_id", "last_type").alias("profile_key"), *latest.columns, *types
@@ -104,7 +106,7 @@ def tbl_02_text(t):
 
 @query("tbl_03_pivot", f"select user_id, {_COUNTS} from events group by user_id")
 def tbl_03(t):
-    types = column_values(t.events, "event_type", default=[])
+    types = column_values(t.events, "event_type", 100, default=[])
     return t.events.groupBy("user_id").agg(*pivot_columns("event_type", types))
 
 
@@ -130,6 +132,24 @@ def tbl_03_options(t):
     return t.lineitem.groupBy("l_suppkey").agg(*parts, *quantity)
 
 
+@query(
+    "tbl_03_pivot_any_aggregate",
+    """
+    select l_suppkey, round(stddev_samp(case when l_returnflag = 'A' then l_quantity end), 6) as sd_a,
+           round(stddev_samp(case when l_returnflag = 'N' then l_quantity end), 6) as sd_n,
+           max(case when l_linestatus = 'F' then l_shipdate end) as last_f
+    from lineitem group by l_suppkey
+    """,
+)
+def tbl_03_any(t):
+    def spread(c):
+        return F.round(F.stddev(c), 6)
+
+    sd = pivot_columns("l_returnflag", ["A", "N"], agg=spread, prefix="sd ", quote=False, then_value=F.col("l_quantity"), else_value=None)
+    last = pivot_columns("l_linestatus", ["F"], agg="max", prefix="last ", quote=False, then_value=F.col("l_shipdate"), else_value=None)
+    return t.lineitem.groupBy("l_suppkey").agg(*sd, *last)
+
+
 @query(
     "tbl_04_column_values",
     "select p_type as value, count(*) as n from part where p_size > 10 group by 1 order by n desc, value limit 3",
@@ -235,6 +255,23 @@ def tbl_08(t):
     return days.join(per_day, "date_day", "left").select("date_day", F.coalesce("n", F.lit(0)).alias("n_large"))
 
 
+@query(
+    "tbl_08_second_spine",
+    """
+    with bounds as (select date_trunc('second', min(ts)) as lo from events)
+    select lo + to_seconds(i) as date_second, count(event_id) as n_events
+    from bounds, unnest(range(0, 90000)) as u(i) left join events on date_trunc('second', ts) = lo + to_seconds(i)
+    group by all
+    """,
+)
+def tbl_08_second(t):
+    low = t.events.agg(F.date_trunc("second", F.min("ts")).cast("timestamp_ntz")).first()[0]
+    per_second = t.events.groupBy(F.date_trunc("second", "ts").cast("timestamp_ntz").alias("_at")).agg(F.count(F.lit(1)).alias("n"))
+    seconds = date_spine(t.spark, "second", low, low + dt.timedelta(seconds=90_000))
+    joined = seconds.join(per_second, F.col("date_second") == F.col("_at"), "left")
+    return joined.select("date_second", F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
 @query(
     "tbl_08_month_spine",
     """

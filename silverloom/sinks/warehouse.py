@@ -1,9 +1,8 @@
 """Landed batches and staging tables.
 
-A table is the set of immutable folders named by its last ledger event. A load writes
-new folders and then one event, so a reader sees all of a load or nothing of it, and a
-crashed load leaves the table as it was. An upsert rewrites only the key buckets the
-delta touches.
+A table is the set of immutable folders its commits name. A load writes new folders and
+then one commit, so a reader sees all of a load or nothing of it, and a crashed load
+leaves the table as it was. An upsert rewrites only the key buckets the delta touches.
 """
 
 from __future__ import annotations
@@ -11,25 +10,35 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, StructType
 
 from ..operators.dedupe import deduplicate
+from ..sources.change import fingerprint_columns
+from . import files
+from .commits import Change, CommitLog, State, merged
 from .ledger import Ledger
 
 _BUCKET = "_bucket"
 BUCKETS = 32
+BUCKET_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
 class Batch:
+    """A landed batch. ``newer``: it holds a mark after the one asked about."""
+
     batch_id: str
     path: str
     rows: int
     watermark: str | None = None
+    checksum: str | None = None
+    newer: bool = True
 
 
 def new_batch_id(source_id: str, at: dt.datetime | None = None) -> str:
@@ -39,105 +48,177 @@ def new_batch_id(source_id: str, at: dt.datetime | None = None) -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+    """``buckets`` is the least number of key buckets; more are made as a table passes ``bucket_rows`` rows for each."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS, bucket_rows: int = BUCKET_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.bucket_rows = bucket_rows
         self.ledger = Ledger(spark, f"{self.root}/ledger")
+        self.log = CommitLog(spark, f"{self.root}/commits")
 
     # -- raw batches
 
-    def land(self, df: DataFrame, kind: str, key: str, batch_id: str, watermark: str | None = None) -> Batch:
-        """Write a raw batch; its row count and highest watermark come from the same pass."""
+    def land(
+        self,
+        df: DataFrame,
+        kind: str,
+        key: str,
+        batch_id: str,
+        watermark: str | None = None,
+        shape: Callable[[DataFrame], DataFrame] | None = None,
+        checksum: bool = False,
+        after=None,
+    ) -> Batch:
+        """Write a raw batch, its columns as ``shape`` makes them.
+
+        Row count, highest watermark, whether that is past ``after``, and the checksum come
+        from the same pass over the rows as they were read.
+        """
         path = f"{self.root}/raw/{kind}/{key}/{batch_id}"
         seen = Observation()
-        mark = F.max(F.col(watermark) if watermark else F.lit(None).cast("string")).cast("string")
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), mark.alias("mark")).write.parquet(path)
+        mark = F.max(F.col(watermark)) if watermark else F.lit(None)
+        newer = mark > F.lit(after).cast(df.schema[watermark].dataType) if watermark and after is not None else F.lit(True)
+        measures = {
+            "rows": F.count(F.lit(1)),
+            "mark": F.max(mark.cast("string")) if not watermark else mark.cast("string"),
+            "newer": F.coalesce(newer, F.lit(False)) if watermark and after is not None else F.max(F.lit(True)),
+            "checksum": fingerprint_columns(df) if checksum else F.max(F.lit(None).cast("string")),
+        }
+        seen_rows = df.observe(seen, *[m.alias(name) for name, m in measures.items()])
+        (shape(seen_rows) if shape else seen_rows).write.parquet(path)
         found = seen.get
-        return Batch(batch_id, path, found["rows"], found["mark"])
+        return Batch(batch_id, path, found["rows"], found["mark"], found["checksum"], bool(found["newer"]))
+
+    def forget(self, batch: Batch) -> None:
+        """Remove a landed batch that is not going to be registered."""
+        files.delete(self.spark, batch.path)
 
     def read_batch(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
 
     # -- tables
 
-    def table(self, name: str) -> DataFrame:
-        paths = self.ledger.table_paths(name)
-        if not paths:
+    def table(self, name: str, version: int | None = None) -> DataFrame:
+        state = self.log.state(name, version)
+        if not state.paths:
             raise LookupError(f"table {name} has no load yet")
-        return self.spark.read.parquet(*paths)
+        return self._read(state.paths, state.schema)
 
     def exists(self, name: str) -> bool:
-        return bool(self.ledger.table_paths(name))
+        return bool(self.log.state(name).paths)
+
+    def _read(self, paths, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/tables/{table}/{uuid.uuid4().hex}"
 
-    def truncate(self, table: str, df: DataFrame) -> list[str]:
-        """Folders of a table replaced by ``df``."""
-        folder = self._folder(table)
-        df.write.parquet(folder)
-        return [folder]
-
-    def append(self, table: str, df: DataFrame) -> list[str]:
-        current = self.ledger.table_paths(table)
-        if current:
-            df = df.select(*[F.col(f"`{c}`") for c in self.spark.read.parquet(*current).columns])
-        return [*current, *self.truncate(table, df)]
-
-    def _bucket(self, key) -> Column:
-        return F.pmod(F.xxhash64(*key), F.lit(self.buckets)).cast("int")
-
-    def upsert(self, table: str, delta: DataFrame, key, newest_first: list[Column] | None = None) -> list[str]:
-        """Folders of a table after replacing and adding rows by key.
-
-        A key that occurs twice in the delta keeps its newest row. Buckets without a
-        delta row keep their folders.
+    def _written(self, table: str, df: DataFrame) -> tuple[str, int]:
+        folder, seen = self._folder(table), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        return folder, seen.get["rows"]
+
+    def truncate(self, table: str, df: DataFrame) -> Change:
+        """A table replaced by ``df``."""
+        base = self.log.state(table).version
+        folder, rows = self._written(table, df)
+        return Change(table, base, (folder,), df.schema, rows, reset=True)
+
+    def append(self, table: str, df: DataFrame) -> Change:
+        """Rows added; new columns are null in older rows, types widen or the load fails."""
+        schema = merged(self.log.state(table).schema, df.schema)
+        folder, rows = self._written(table, _conformed(df, schema))
+        return Change(table, None, (folder,), df.schema, rows)
+
+    def _bucket(self, key, n: int) -> Column:
+        return F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+
+    def _buckets_for(self, rows: int) -> int:
+        need = -(-rows // self.bucket_rows)
+        return max(self.buckets, 1 << max(0, need - 1).bit_length())
+
+    def upsert(self, table: str, delta: DataFrame, key, newest_first: list[Column] | None = None, keep_all: bool = False) -> Change:
+        """A table after replacing and adding rows by key.
+
+        A key that occurs twice in the delta keeps its newest row; further columns decide
+        between equals, so the same delta always leaves the same row. With ``keep_all`` all rows
+        of the delta stay: the table's rows of its keys go, then the delta is added. Buckets
+        without a delta row keep their folders; when the table has outgrown its buckets it
+        is laid out anew.
         """
         if not key:
             raise ValueError("an upsert needs a key")
         key = list(key)
-        current = self.ledger.table_paths(table)
-        if current:
-            delta = self._like_table(delta, current)
-        bucket = self._bucket(key)
-        touched = {r[0] for r in delta.select(bucket.alias("b")).distinct().collect()}
+        state = self.log.state(table)
+        schema = merged(state.schema, delta.schema)
+        delta = _conformed(delta, schema)
+        old_key = [f.dataType for f in state.schema.fields if f.name in key]
+        same_key = state.buckets is not None and tuple(key) == state.key and old_key == [f.dataType for f in schema.fields if f.name in key]
+        n = max(self.buckets, state.buckets or 0)
+        touched = self._touched(delta, key, n)
+        wanted = self._buckets_for(state.row_bound + sum(touched.values()))
+        if wanted > n:
+            n, touched = wanted, self._touched(delta, key, wanted)
         if not touched:
-            return current
-        latest = deduplicate(delta, key, newest_first or [F.col(c).asc() for c in key])
-        layout = re.compile(rf"\.{self.buckets}/{_BUCKET}=(\d+)$")
-        numbers = {p: layout.search(p) for p in current}
-        in_layout = all(numbers.values())
-        stale = [p for p in current if int(numbers[p][1]) in touched] if in_layout else current
-        merged = latest
+            return Change(table, None, (), delta.schema, 0) if state.paths else self.truncate(table, delta)
+        anew = not same_key or n != state.buckets
+        numbers = {p: re.search(rf"{_BUCKET}=(\d+)$", p) for p in state.paths}
+        stale = [p for p, b in numbers.items() if anew or int(b[1]) in touched]
+        latest = delta
+        if not keep_all:
+            rest = [F.col(f"`{f.name}`").desc_nulls_last() for f in delta.schema.fields if isinstance(f.dataType, AtomicType)]
+            latest = deduplicate(delta, key, [*(newest_first or []), *rest])
+        result = latest
         if stale:
-            base = self.spark.read.parquet(*stale)
+            base = self._read(stale, state.schema)
             keys = delta.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(key)])
             same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(key)])
-            merged = base.join(keys, same, "left_anti").unionByName(latest, allowMissingColumns=True)
-        folder = f"{self._folder(table)}.{self.buckets}"
+            result = _conformed(base.join(keys, same, "left_anti"), schema).unionByName(latest, allowMissingColumns=True)
+        folder = self._folder(table)
         # The rebalance hint gathers a bucket into few files but splits a bucket that is too large.
-        merged.withColumn(_BUCKET, bucket).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(folder)
-        written = touched
-        if not in_layout:  # rows of an unbucketed table may fall into any bucket
+        result.withColumn(_BUCKET, self._bucket(key, n)).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(folder)
+        written = set(touched)
+        if anew and stale:  # rows of the old layout may fall into any bucket
             written = {r[0] for r in self.spark.read.parquet(folder).select(_BUCKET).distinct().collect()}
-        kept = [p for p in current if p not in set(stale)]
-        return [*kept, *[f"{folder}/{_BUCKET}={b}" for b in sorted(written)]]
+        added = tuple(f"{folder}/{_BUCKET}={b}" for b in sorted(written))
+        rows = state.row_bound + sum(touched.values())
+        return Change(table, state.version, added, schema, rows, tuple(stale), anew, n, tuple(key))
 
-    def _like_table(self, delta: DataFrame, paths: list[str]) -> DataFrame:
-        """Delta columns in the table's types: the bucket of a key depends on its type."""
-        types = {f.name: f.dataType for f in self.spark.read.parquet(paths[0]).schema.fields}
-        return delta.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in delta.columns])
+    def _touched(self, delta: DataFrame, key, n: int) -> dict[int, int]:
+        """Rows of the delta by bucket (as many rows as there are buckets at most)."""
+        return dict(delta.groupBy(self._bucket(key, n)).count().collect())
 
-    def load(self, table: str, df: DataFrame, mode: str, key=(), newest_first=None) -> list[str]:
+    def load(self, table: str, df: DataFrame, mode: str, key=(), newest_first=None) -> Change:
         if mode == "truncate":
             return self.truncate(table, df)
         if mode == "append":
             return self.append(table, df)
         if mode == "upsert":
             return self.upsert(table, df, key, newest_first)
+        if mode == "delete_insert":
+            return self.upsert(table, df, key, keep_all=True)
         raise ValueError(f"unknown load mode {mode!r}")
 
-    def commit(self, batch_id: str, table: str, paths: list[str], at=None) -> None:
-        self.ledger.mark_loaded(batch_id, table, paths, at)
+    def commit(self, batch_id: str, table: str, change: Change, at=None, source_id: str | None = None) -> int:
+        version = self.log.commit(change, batch_id)
+        self.ledger.mark_loaded(batch_id, table, version, at, source_id)
+        return version
+
+    def restore(self, table: str, version: int) -> Change:
+        """The table as it was at a version; nothing is written but the commit."""
+        old: State = self.log.state(table, version)
+        return Change(table, self.log.state(table).version, old.paths, old.schema, old.row_bound, reset=True, buckets=old.buckets, key=old.key)
+
+    def compact(self, table: str) -> Change:
+        """The same rows in one folder, in place of many small loads."""
+        state = self.log.state(table)
+        folder, rows = self._written(table, self._read(state.paths, state.schema).hint("rebalance"))
+        return Change(table, state.version, (folder,), state.schema, rows, reset=True)
+
 
+def _conformed(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of ``df`` in the types of ``schema``."""
+    types = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in df.columns])

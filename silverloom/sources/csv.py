@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks import files
+
 # Cell texts that mean "no value".
 NULL_WORDS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -16,25 +19,51 @@ NULL_WORDS = (
 _DAMAGED = "_damaged_line"
 
 
-def read_csv(
-    spark: SparkSession, path: str, sep: str = ",", quote: str = '"', null_words: tuple[str, ...] = NULL_WORDS
-) -> DataFrame:
-    """Trimmed header names; lines with too many fields are left out, short ones filled with null."""
-    options = {"header": "true", "sep": sep, "quote": quote, "escape": quote}
-    header = spark.read.options(**options).csv(path).columns  # reads the first line only
+def _read_alike(spark, paths: list[str], header: list[str], options: dict, null_words) -> DataFrame:
+    """Files of one header, columns in its order."""
     fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
     schema = T.StructType([*fields, T.StructField(_DAMAGED, T.StringType())])
     lines = (
         spark.read.schema(schema)
         .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_DAMAGED, enforceSchema="true")
-        .csv(path)
+        .csv(paths)
     )
-    q = re.escape(quote)
+    q = re.escape(options["quote"])
     unquoted = F.regexp_replace(_DAMAGED, f"{q}[^{q}]*{q}", "")
-    n_fields = F.size(F.split(unquoted, r"\Q" + sep + r"\E"))
+    n_fields = F.size(F.split(unquoted, r"\Q" + options["sep"] + r"\E"))
     kept = lines.where(F.col(_DAMAGED).isNull() | (n_fields <= len(header)))
     cells = []
     for i, name in enumerate(header):
         cell = F.col(f"c{i}")
-        cells.append(F.when(~cell.isin(*null_words), cell).alias(name.strip()))
+        cells.append(F.when(~cell.isin(*null_words), cell).alias(name))
     return kept.select(*cells)
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    quote: str = '"',
+    null_words: tuple[str, ...] = NULL_WORDS,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Trimmed header names; lines with too many fields are left out, short ones filled with null.
+
+    Each file of a folder has its own header; columns are matched by name, and a file with
+    other names is an error. ``multi_line`` allows line breaks inside quotes; a file is then
+    read by one task, so switch it off for large files that have none.
+    """
+    options = {"header": "true", "sep": sep, "quote": quote, "escape": quote, "multiLine": str(multi_line).lower()}
+    first_line = spark.read.options(**options | {"multiLine": "false"})  # reads no more than the header
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files.data_files(spark, path):
+        by_header.setdefault(tuple(n.strip() for n in first_line.csv(file).columns), []).append(file)
+    if not by_header:
+        raise FileNotFoundError(f"no file in {path}")
+    by_header = {h: f for h, f in by_header.items() if h} or by_header  # empty files have no header
+    names = next(iter(by_header))
+    for header, found in by_header.items():
+        if sorted(header) != sorted(names):
+            raise ValueError(f"{found[0]} has columns {list(header)}, others have {list(names)}")
+    parts = [_read_alike(spark, found, list(header), options, null_words) for header, found in by_header.items()]
+    return reduce(DataFrame.unionByName, parts)

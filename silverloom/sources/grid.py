@@ -5,6 +5,7 @@ Rows of all sheets are handled at once; a sheet's header row is joined back to i
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -52,14 +53,13 @@ def promote_columns(
 
 
 def unique_names(names: list[str]) -> list[str]:
-    """Blank names to ``col_<i>``, repeats to ``<name>_<k>``; line breaks to blanks."""
-    seen: dict[str, int] = {}
-    out = []
+    """Blank names become ``col_<i>``, line breaks blanks; a name that is taken gets the first free ``_<k>``."""
+    taken: dict[str, None] = {}  # in order
     for i, name in enumerate(names):
-        name = str(name).replace("\n", " ").strip() or f"col_{i}"
-        seen[name] = seen.get(name, -1) + 1
-        out.append(f"{name}_{seen[name]}" if seen[name] else name)
-    return out
+        wanted = str(name).replace("\n", " ").strip() or f"col_{i}"
+        options = itertools.chain([wanted], (f"{wanted}_{k}" for k in itertools.count(1)))
+        taken[next(o for o in options if o not in taken)] = None
+    return list(taken)
 
 
 def promote_header(grid: DataFrame, header_row: int, data_start_row: int | None = None) -> DataFrame:
@@ -76,20 +76,22 @@ def promote_header(grid: DataFrame, header_row: int, data_start_row: int | None
 
 
 def promote_by_marker(grid: DataFrame, marker: str, columns: list[str], stem: str = "Repository") -> DataFrame:
-    """Per file: the first row holding the marker is the header; the file name is kept without its ending.
+    """Per sheet of a file: the first row holding the marker is the header; the file name is kept without its ending.
 
-    Cells are trimmed, names compared in lower case; files without a marker and rows blank
-    in all wanted columns drop.
+    Cells are trimmed, names compared in lower case; sheets without a marker and rows blank
+    in all wanted columns drop. A grid without sheet names has one sheet per file.
     """
-    trimmed = grid.select("file", "row_no", F.transform("cells", lambda c: F.coalesce(F.trim(c), F.lit(""))).alias("cells"))
+    where = [c for c in ("file", "sheet") if c in grid.columns]
+    trimmed = grid.select(*where, "row_no", F.transform("cells", lambda c: F.coalesce(F.trim(c), F.lit(""))).alias("cells"))
     lowered = trimmed.withColumn("_lower", F.transform("cells", F.lower))
     marked = lowered.where(F.array_contains("_lower", marker.lower()))
-    header = marked.groupBy(F.col("file").alias("_file")).agg(
+    header = marked.groupBy(*[F.col(c).alias(f"_{c}") for c in where]).agg(
         F.min("row_no").alias("_at"), F.min_by("_lower", "row_no").alias("_header")
     )
     positions = [F.array_position("_header", c.lower()).cast("int").alias(f"_p{i}") for i, c in enumerate(columns)]
-    header = header.select("_file", "_at", *positions)
-    rows = trimmed.join(header, (F.col("file") == F.col("_file")) & (F.col("row_no") > F.col("_at")))
+    header = header.select(*[f"_{c}" for c in where], "_at", *positions)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in where])
+    rows = trimmed.join(header, same & (F.col("row_no") > F.col("_at")))
     cells = [_cell(F.col("cells"), F.col(f"_p{i}")) for i in range(len(columns))]
     picked = rows.select(
         *[c.alias(n) for c, n in zip(cells, columns)], F.regexp_replace("file", r"\.[^.]*$", "").alias(stem)

@@ -26,25 +26,27 @@ def stream_upsert(
     watermark: str | None = None,
     newest_first: list[Column] | None = None,
 ) -> StreamingQuery:
-    """Each micro-batch lands, is registered and upserted under the id ``<stream>-<epoch>``.
+    """Each micro-batch lands, is registered and upserted under the id ``<stream>-<epoch>-<checksum>``.
 
-    A micro-batch that Spark repeats after a failure is skipped when its id is already
-    loaded, and upserted again (with the same outcome) when it is not.
+    The checksum of its rows is taken while it lands. A micro-batch that Spark repeats after a
+    failure has the same id and is dropped when that is already loaded; one with other rows
+    (a stream started over) has another id and is upserted, whatever its epoch.
     """
 
     def apply(rows: DataFrame, epoch: int) -> None:
-        batch_id = f"{stream_id}-{epoch}"
-        if wh.ledger.status(batch_id) == "loaded":
+        batch = wh.land(rows, "stream", stream_id, f"{stream_id}-{epoch}-{uuid.uuid4().hex[:8]}", watermark, checksum=True)
+        batch_id = f"{stream_id}-{epoch}-{batch.checksum[:16]}"
+        if wh.ledger.status(batch_id, stream_id) == "loaded":
+            wh.forget(batch)
             return
-        attempt = f"{batch_id}-{uuid.uuid4().hex[:8]}"
-        batch = wh.land(rows, "stream", stream_id, attempt, watermark)
-        wh.ledger.register(stream_id, batch_id, batch.path, batch.rows, source_type="stream", watermark_value=batch.watermark)
+        wh.ledger.register(
+            stream_id, batch_id, batch.path, batch.rows, source_type="stream", watermark_value=batch.watermark, checksum=batch.checksum
+        )
         if batch.rows:
             order = newest_first or ([F.col(watermark).desc_nulls_last()] if watermark else None)
-            paths = wh.upsert(table, wh.read_batch(batch.path), key, order)
-            wh.commit(batch_id, table, paths)
+            wh.commit(batch_id, table, wh.upsert(table, wh.read_batch(batch.path), key, order), source_id=stream_id)
         else:
-            wh.ledger.mark_loaded(batch_id)
+            wh.ledger.mark_loaded(batch_id, source_id=stream_id)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverloom.plans import materialise
-from silverloom.plans.workflow import rollback, run_source
+from silverloom.plans.workflow import extract, rollback, run_source
+from silverloom.sinks import commits, files
+from silverloom.sinks.commits import ConflictError
 from silverloom.sinks.ledger import Ledger
 from silverloom.sinks.warehouse import Warehouse, new_batch_id
 from silverloom.sources.spec import SourceSpec
@@ -82,15 +84,76 @@ def test_upsert(spark, wh, rows):
 
 def test_upsert_rewrites_only_touched_buckets(spark, wh):
     put(wh, "t", spark.range(100), "upsert", ["id"])
-    before = wh.ledger.table_paths("t")
+    before = wh.log.state("t").paths
     put(wh, "t", spark.range(1), "upsert", ["id"])
-    after = wh.ledger.table_paths("t")
+    after = wh.log.state("t").paths
     assert len(before) == 4 and len(set(before) & set(after)) == 3 and len(after) == 4
     put(wh, "t", spark.range(0), "upsert", ["id"])
-    assert wh.ledger.table_paths("t") == after
+    assert wh.log.state("t").paths == after
     wider = Warehouse(spark, wh.root, buckets=7)  # another layout: everything is laid out anew
     put(wider, "t", spark.range(150), "upsert", ["id"])
-    assert wider.table("t").count() == 150 and not set(wider.ledger.table_paths("t")) & set(after)
+    assert wider.table("t").count() == 150 and not set(wider.log.state("t").paths) & set(after)
+
+
+def test_buckets_follow_the_table(spark, wh):
+    grown = Warehouse(spark, wh.root, buckets=2, bucket_rows=10)
+    put(grown, "t", spark.range(15), "upsert", ["id"])
+    assert grown.log.state("t").buckets == 2
+    put(grown, "t", spark.range(10, 75), "upsert", ["id"])
+    assert grown.log.state("t").buckets == 8 and grown.table("t").count() == 75
+
+
+def test_commits(spark, wh, rows):
+    one, two = wh.load("t", spark.range(2), "append"), wh.load("t", spark.range(2, 5), "append")
+    put_two, put_one = (wh.commit(n, "t", c) for n, c in (("two", two), ("one", one)))
+    assert (put_two, put_one) == (1, 2) and wh.table("t").count() == 5
+    stale = wh.load("t", spark.range(1), "truncate")
+    put(wh, "t", spark.range(5, 6), "append")
+    with pytest.raises(ConflictError):
+        wh.commit("late", "t", stale)
+    assert wh.table("t").count() == 6 and wh.table("t", 1).count() == 3
+    before = wh.log.state("t")
+    wh.commit("small", "t", wh.compact("t"))
+    assert len(before.paths) == 3 and len(wh.log.state("t").paths) == 1 and wh.table("t").count() == 6
+    wh.commit("back", "t", wh.restore("t", 2))
+    assert sorted(r[0] for r in wh.table("t").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_many_commits_read_few(spark, wh, monkeypatch):
+    monkeypatch.setattr(commits, "SNAPSHOT", 4)
+    for i in range(10):
+        put(wh, "t", spark.range(i, i + 1), "append")
+    assert sorted(r[0] for r in wh.table("t").collect()) == list(range(10))
+    assert wh.table("t", 6).count() == 6 and wh.log.state("t").row_bound == 10
+    monkeypatch.setattr(files, "exists", lambda *a: False)  # a writer that does not see the others' commits
+    assert wh.log.state("t").version == 0
+    monkeypatch.undo()
+    assert not files.create_once(spark, f"{wh.root}/commits/t/{10:012d}.json", "{}")
+
+
+def test_schema_change(spark, wh, rows):
+    put(wh, "t", spark.createDataFrame([(1, 5)], "k int, v int"), "append")
+    put(wh, "t", spark.createDataFrame([(2, 10.75, "x")], "k int, v double, w string"), "append")
+    put(wh, "t", spark.createDataFrame([(3, 2)], "k int, v int"), "upsert", ["k"])
+    assert rows(wh.table("t"), "k", "v", "w") == [(1, 5.0, None), (2, 10.75, "x"), (3, 2.0, None)]
+    with pytest.raises(TypeError):
+        wh.load("t", spark.createDataFrame([("a",)], "v string"), "append")
+    put(wh, "t", spark.createDataFrame([(1, 7.5)], "k bigint, v double"), "upsert", ["k"])  # the key widens: laid out anew
+    assert rows(wh.table("t"), "k", "v") == [(1, 7.5), (2, 10.75), (3, 2.0)]
+
+
+def test_ties_have_one_winner(spark, wh, rows):
+    delta = [(1, "2024-01-01", v) for v in "bca"]
+    for order in (delta, delta[::-1]):
+        put(wh, "t", spark.createDataFrame(order, "k int, at string, v string"), "upsert", ["k"], [F.desc("at")])
+        assert rows(wh.table("t"), "v") == [("c",)]
+
+
+def test_delete_insert_keeps_equal_keys(spark, wh, rows):
+    put(wh, "t", spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string"), "append")
+    for _ in range(2):
+        put(wh, "t", spark.createDataFrame([(1, "d"), (1, "d"), (None, "e")], "k int, v string"), "delete_insert", ["k"])
+        assert rows(wh.table("t"), "v") == [("c",), ("d",), ("d",), ("e",)]
 
 
 def test_uncommitted_load_is_invisible(spark, wh):
@@ -144,6 +207,40 @@ def test_rollback(spark, wh, rows):
     assert [r["status"] for r in wh.ledger.batches().collect()] == ["loaded"] * 3
 
 
+def test_rollback_of_deltas(spark, wh, rows):
+    grown = [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")]
+    for n in (1, 2, 3):
+        run_source(wh, source(spark, grown[:n]), at=DAY + dt.timedelta(days=n))
+    written = wh.log.state("s")
+    assert rollback(wh, source(spark, grown), "2024-01-03").startswith("s_20240103")
+    assert rows(wh.table("s"), "id") == [(1,), (2,)] and set(wh.log.state("s").paths) <= set(wh.log.state("s", 2).paths)
+    assert wh.ledger.last_success("s")["watermark_value"].startswith("2024-01-02")
+    run_source(wh, source(spark, [*grown, (4, "2024-01-04")]), at=DAY + dt.timedelta(days=9))
+    assert rows(wh.table("s"), "id") == [(1,), (2,), (3,), (4,)] and written.version == 3
+
+
+def test_truncate_with_watermark_holds_all(spark, wh, rows):
+    grown = [(i, f"2024-01-{i:02d}") for i in range(1, 12)]
+    for values in (grown[:10], grown):
+        assert run_source(wh, source(spark, values, load_mode="truncate"), at=DAY).rows == len(values)
+    assert run_source(wh, source(spark, grown, load_mode="truncate"), at=DAY) is None
+    assert wh.table("s").count() == 11
+
+
+def test_mark_outlives_the_mapping(spark, wh):
+    for _ in range(2):
+        run_source(wh, source(spark, [(1, "2024-01-01")], field_mapping={"id": "key"}, upsert_key=()), at=DAY)
+    assert wh.table("s").count() == 1 and wh.table("s").columns[0] == "key"
+
+
+def test_load_that_died_before_its_mark(spark, wh):
+    spec = source(spark, [(1, "2024-01-01")], upsert_key=())
+    batch = extract(wh, spec, at=DAY)
+    wh.log.commit(wh.load("s", wh.read_batch(batch.path), "append"), batch.batch_id)  # the ledger is not told
+    assert run_source(wh, spec, at=DAY) is None
+    assert wh.table("s").count() == 1 and wh.ledger.status(batch.batch_id, "s") == "loaded"
+
+
 def test_materialise(spark, wh, rows):
     df = spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(4)")
     assert materialise.as_view(df, "some_view").count() == 4
@@ -173,12 +270,12 @@ def test_stream_equals_batch_and_resumes(spark, wh, tmp_path, rows):
     assert wh.ledger.batches().where("status = 'loaded'").count() == 4
 
 
-def test_repeated_micro_batch_is_skipped(spark, wh, tmp_path):
-    """The stream's progress is lost, the ledger is not: the same epochs add nothing."""
+def test_restarted_stream(spark, wh, tmp_path):
+    """The stream's progress is lost, the ledger is not: equal batches add nothing, grown ones do."""
     landing = str(tmp_path / "in")
-    spark.range(10).write.parquet(landing)
-    for attempt in ("a", "b"):
+    for attempt, grown, batches in (("a", 10, 1), ("b", 10, 1), ("c", 15, 2)):
+        if attempt != "b":
+            spark.range(grown - 5 if attempt == "c" else 0, grown).write.mode("append").parquet(landing)
         stream = spark.readStream.schema("id bigint").parquet(landing)
         stream_upsert(wh, stream, "t", ["id"], "s", str(tmp_path / attempt)).awaitTermination()
-    assert wh.table("t").count() == 10
-    assert wh.ledger.batches().count() == 1
+        assert wh.table("t").count() == grown and wh.ledger.batches().count() == batches

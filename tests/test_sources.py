@@ -25,6 +25,23 @@ def test_csv_separator(spark, tmp_path, rows):
     assert rows(csv.read_csv(spark, str(path), sep="|")) == [("1,5", "2")]
 
 
+def test_csv_folder(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text('a,b\n1,"two\nlines"\n', encoding="utf-8")
+    (tmp_path / "in" / "2.csv").write_text(" b , a\nx,2\n", encoding="utf-8")
+    (tmp_path / "in" / "_ignored.csv").write_text("z\n1\n", encoding="utf-8")
+    assert rows(csv.read_csv(spark, str(tmp_path / "in"))) == [("1", "two\nlines"), ("2", "x")]
+    (tmp_path / "in" / "3.csv").write_text("a,c\n1,2\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="3.csv"):
+        csv.read_csv(spark, str(tmp_path / "in"))
+    with pytest.raises(FileNotFoundError):
+        csv.read_csv(spark, str(tmp_path / "none*"))
+
+
+def test_unique_names():
+    assert grid.unique_names(["a", "a", "a_1", "", "col_3", "a"]) == ["a", "a_1", "a_1_1", "col_3", "col_3_1", "a_2"]
+
+
 def test_documents(spark, tmp_path, rows):
     docs = [
         {"_id": "a", "_source": {"Date": "2024-01-01T00:00:00", "x": {"y": 1}, "tags": ["é", "b"]}},
