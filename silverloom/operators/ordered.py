@@ -1,34 +1,25 @@
 """Row numbers, neighbours and counts within groups that may be very large.
 
-A window function sorts a whole group in one task. That is right for ordinary groups,
-but not for one that holds a third of all rows, nor for a whole table without groups.
-Here such hot groups (found by a pre-aggregated count) take another way: one range
-shuffle over (group, order) spreads them over all tasks, each row gets its global
-position from its place in its partition plus the sizes of the partitions before it,
-and a neighbour is the row at the next position, found by an equi-join.
+A window function sorts a whole group in one task. That is right for ordinary groups, but
+not for one that holds a third of all rows, nor for a whole table without groups. Here
+groups are cut into chunks of their order. The cuts are rows that a hash of the row picks,
+about one in ``SPACING``, so a small group has none and is one chunk, and a large one has
+many. A window numbers the rows of each chunk; the sizes and ends of the chunks, a row
+for each, carry numbers and neighbours over the cuts. It is one lazy plan for groups of
+every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
-_POS = "_silverloom_pos"
-_START = "_silverloom_start"
-_MID = "_silverloom_mid"
-_LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
-
-
-@dataclass(frozen=True)
-class HotGroups:
-    """A group with more than ``rows`` rows is spread over tasks."""
-
-    rows: int = 5_000_000
+SPACING = 10_000
+MARKS = 4096  # most cuts of a group
+_STEP = 64  # every so many marks is looked at first
+_PLACE, _CHUNK, _MARKS, _STEPS = "_sl_place", "_sl_chunk", "_sl_marks", "_sl_steps"
 
 
 def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -42,106 +33,92 @@ def group_counts(df: DataFrame, group: list[str], name: str) -> DataFrame:
     return df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
 
 
-def with_group_count(df: DataFrame, group: list[str], name: str) -> DataFrame:
-    """``count(*) over (partition by group)`` as a pre-aggregated count joined back."""
-    counts = group_counts(df, group, name)
-    keyed = counts.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(group)], name)
-    on = F.lit(True)
+def _renamed(df: DataFrame, group: list[str]) -> tuple[DataFrame, Column]:
+    """``df`` with its group columns out of the way, and the condition that a row belongs to its group."""
+    out, on = df, F.lit(True)
     for i, c in enumerate(group):
+        out = out.withColumnRenamed(c, f"_k_{i}")
         on = on & F.col(c).eqNullSafe(F.col(f"_k_{i}"))
+    return out, on
+
+
+def with_group_count(df: DataFrame, group: list[str], name: str) -> DataFrame:
+    """``count(*) over (partition by group)`` as a pre-aggregated count joined back."""
+    keyed, on = _renamed(group_counts(df, group, name), group)
     return df.join(keyed, on, "inner").select(*df.columns, name)
 
 
-def _numbered_globally(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    # Rows that tie on the order still spread over partitions by the hash of the whole row.
-    spread = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
-    keys = [F.col(c) for c in group] + order + [spread]
-    placed = cut_lineage(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(_MID, F.monotonically_increasing_id())
-    )
-    partition = F.shiftright(F.col(_MID), _LOCAL_BITS)
-    # One row per range partition, so the ungrouped window below is small.
-    sizes = placed.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    local = F.col(_MID).bitwiseAND((1 << _LOCAL_BITS) - 1)
-    numbered = placed.withColumn("_part", partition).join(F.broadcast(offsets), "_part")
-    return numbered.withColumn(_POS, F.col("_before") + local + 1).drop("_part", "_before", _MID)
-
-
-def _hot_way(df, group, order, number, before, after):
-    out = _numbered_globally(df, group, order)
-    if number:
-        if group:
-            starts = out.groupBy(*group).agg(F.min(_POS).alias(_START))
-            keyed = starts.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(group)], _START)
-            on = F.lit(True)
-            for i, c in enumerate(group):
-                on = on & F.col(c).eqNullSafe(F.col(f"_k_{i}"))
-            out = out.join(keyed, on).withColumn(number, F.col(_POS) - F.col(_START) + 1)
-            out = out.drop(_START, *[f"_k_{i}" for i in range(len(group))])
-        else:
-            out = out.withColumn(number, F.col(_POS))
-    for shift, wanted in ((1, before), (-1, after)):
-        if not wanted:
-            continue
-        other = out.select(
-            (F.col(_POS) + shift).alias("_at"),
-            *[F.col(c).alias(f"_k_{i}") for i, c in enumerate(group)],
-            *[value.alias(f"_v_{name}") for name, value in wanted.items()],
-        )
-        on = F.col(_POS) == F.col("_at")
-        for i, c in enumerate(group):
-            on = on & F.col(c).eqNullSafe(F.col(f"_k_{i}"))
-        out = out.join(other, on, "left").drop("_at", *[f"_k_{i}" for i in range(len(group))])
-        for name in wanted:
-            out = out.withColumnRenamed(f"_v_{name}", name)
-    return out.drop(_POS)
-
-
-def _window_way(df, group, order, number, before, after):
-    window = Window.partitionBy(*group).orderBy(*order)
-    columns = {}
-    if number:
-        columns[number] = F.row_number().over(window).cast("bigint")
-    columns.update({name: F.lag(value).over(window) for name, value in before.items()})
-    columns.update({name: F.lead(value).over(window) for name, value in after.items()})
-    return df.withColumns(columns)
+def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
+    """Add ``_CHUNK``, the number of its group's marks up to the row, and ``_MARKS`` (null where there is none)."""
+    draw = F.xxhash64(*group, _PLACE)
+    drawn = rows.select(*group, _PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
+    marks = F.sort_array(F.collect_list(_PLACE)).alias(_MARKS)
+    if group:
+        # The first by hash are a fair sample; the limit is applied in every task before the shuffle.
+        first = Window.partitionBy(*group).orderBy("_draw")
+        drawn = drawn.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= MARKS)
+        found = drawn.groupBy(*group).agg(marks)
+        keyed, on = _renamed(found, group)
+        marked = rows.join(keyed, on, "left").select(*rows.columns, _MARKS)
+    else:
+        first = drawn.orderBy("_draw").limit(MARKS)
+        marked = rows.withColumn(_MARKS, F.nullif(first.agg(marks).scalar(), F.array().cast(first.agg(marks).schema[0].dataType)))
+    marked = marked.withColumn(_STEPS, F.filter(_MARKS, lambda m, i: i % _STEP == 0))
+    steps = F.size(F.filter(_STEPS, lambda m: m <= F.col(_PLACE)))
+    start = (steps - 1) * _STEP
+    near = F.size(F.filter(F.slice(_MARKS, F.greatest(start, F.lit(0)) + 1, F.lit(_STEP)), lambda m: m <= F.col(_PLACE)))
+    chunk = F.when(F.col(_MARKS).isNull() | (steps <= 0), 0).otherwise(start + near)
+    return marked.withColumn(_CHUNK, chunk).drop(_STEPS)
 
 
 def in_order(
     df: DataFrame,
     group: list[str],
-    order: list[Column],
+    order: list[str],
     number: str | None = None,
     before: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
-    hot: HotGroups = HotGroups(),
-    sizes: DataFrame | None = None,
+    spacing: int = SPACING,
 ) -> DataFrame:
-    """Add a row number and values of the row before or after, per group and order.
+    """Add a row number and values of the row before or after, per group, by ascending ``order``, nulls last.
 
     Same result as ``row_number``, ``lag`` and ``lead`` over a window; ``group`` may be
-    empty. ``order`` must be total where the outcome for ties matters. Hot groups are
-    looked for in ``sizes`` (the group columns of a cheaper table that holds at least as
-    many rows per group) or in ``df`` itself.
+    empty. Rows that tie on the order follow a hash of the row.
     """
     before, after = dict(before or {}), dict(after or {})
     names = [n for n in (number, *before, *after) if n]
-    if not group:
-        return _hot_way(df, group, order, number, before, after).select(*df.columns, *names)
-    heavy = group_counts(df if sizes is None else sizes, group, "_rows").where(F.col("_rows") > hot.rows).drop("_rows")
-    if heavy.isEmpty():
-        return _window_way(df, group, order, number, before, after)
-    heavy = cut_lineage(heavy)
-    keyed = heavy.select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(group)])
-    on = F.lit(True)
-    for i, c in enumerate(group):
-        on = on & F.col(c).eqNullSafe(F.col(f"_k_{i}"))
-    cold = _window_way(df.join(keyed, on, "left_anti"), group, order, number, before, after)
-    spread = _hot_way(df.join(keyed, on, "left_semi"), group, order, number, before, after)
-    columns = [*df.columns, *names]
-    return cold.select(*columns).unionByName(spread.select(*columns))
+    spread = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    place = F.struct(*[F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")).alias(f"o{i}") for i, c in enumerate(order)], spread.alias("tie"))
+    earlier = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in before.items()])
+    later = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in after.items()])
+    rows = df.withColumns({_PLACE: place, "_sl_earlier": earlier, "_sl_later": later})
+    rows = _with_chunks(rows, group, spacing)
+
+    ends = rows.where(F.col(_MARKS).isNotNull()).groupBy(*group, _CHUNK).agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by("_sl_earlier", _PLACE).alias("_last"), F.min_by("_sl_later", _PLACE).alias("_first")
+    )
+    chunks = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_CHUNK)
+    carried = ends.select(
+        *group,
+        _CHUNK,
+        F.coalesce(F.sum("_n").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.lag("_last").over(chunks).alias("_carried_earlier"),
+        F.lead("_first").over(chunks).alias("_carried_later"),
+    )
+    inside = Window.partitionBy(*group, _CHUNK).orderBy(_PLACE)
+    placed = rows.withColumns(
+        {
+            "_sl_number": F.row_number().over(inside).cast("bigint"),
+            "_sl_earlier": F.lag("_sl_earlier").over(inside),
+            "_sl_later": F.lead("_sl_later").over(inside),
+        }
+    )
+    keyed, on = _renamed(carried.withColumnRenamed(_CHUNK, "_sl_at"), group)
+    joined = placed.join(keyed, on & (F.col(_CHUNK) == F.col("_sl_at")), "left")
+    previous, following = F.coalesce("_sl_earlier", "_carried_earlier"), F.coalesce("_sl_later", "_carried_later")
+    columns = [(F.col("_sl_number") + F.coalesce("_before", F.lit(0))).alias(number)] if number else []
+    columns += [previous[n].alias(n) for n in before] + [following[n].alias(n) for n in after]
+    return joined.select(*df.columns, *columns).select(*df.columns, *names)
 
 
 def repeat_rows(df: DataFrame, times: Column, chunk: int = 100_000) -> DataFrame:

@@ -74,8 +74,7 @@ def fact_editing(m):
     stock = stock.select(F.col("Id").alias("_resource"), "ResourceFileId")
     uses = m.staging("resource_editings").select("Id", "EditingId", "ResourcesId", "StartTime", "EndTime")
     rows = uses.join(stock, F.col("ResourcesId") == F.col("_resource")).join(edits, F.col("EditingId") == F.col("_edit"))
-    order = [F.asc_nulls_last("StartTime"), F.asc_nulls_last("Id")]
-    rows = in_order(rows, ["EditingId"], order, number="position", sizes=uses.select("EditingId"))
+    rows = in_order(rows, ["EditingId"], ["StartTime", "Id"], number="position")
     return keyed(
         rows,
         "fact_editing_sk",
@@ -144,7 +143,7 @@ def fact_music_evaluation(m):
     versions = in_order(
         m.staging("recording_sound_version").select("Id", "RecordingSoundId", "CreatedDate"),
         ["RecordingSoundId"],
-        [F.asc_nulls_last("CreatedDate"), F.asc_nulls_last("Id")],
+        ["CreatedDate", "Id"],
         number="_version_no",
     )
     versions = versions.select(

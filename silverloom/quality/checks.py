@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import as_column
 from ..functions.text import slug_name
-from ..operators.ordered import HotGroups, in_order, repeat_rows
+from ..operators.ordered import SPACING, in_order, repeat_rows
 
 _ROWS = "*"
 
@@ -173,7 +173,7 @@ def mutually_exclusive_ranges(
     partition_by: str | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    hot: HotGroups = HotGroups(),
+    spacing: int = SPACING,
 ) -> DataFrame:
     """Ranges that are empty, reversed, or clash with the next range of their group."""
     if gaps not in _GAPS:
@@ -187,7 +187,7 @@ def mutually_exclusive_ranges(
         F.col(lower).alias("lower_bound"),
         F.col(upper).alias("upper_bound"),
     ).agg(F.count(_ROWS).alias("_copies"))
-    order = [F.col("lower_bound").asc_nulls_last(), F.col("upper_bound").asc_nulls_last()]
+    order = ["lower_bound", "upper_bound"]
     follow = {"next_lower_bound": F.col("lower_bound"), "_next": F.lit(True)}
     low, high, following = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     length_holds = low <= high if zero_length_range_allowed else low < high
@@ -203,7 +203,7 @@ def mutually_exclusive_ranges(
         )
         return judged.where(~(F.col(length_name) & F.col(gap_name)))
 
-    placed = in_order(ranges, group, order, after=follow, hot=hot)
+    placed = in_order(ranges, group, order, after=follow, spacing=spacing)
     final = placed.withColumn("is_last_record", F.col("_next").isNull()).drop("_next", "_copies")
     # All but the last copy of a range are followed by the range itself.
     doubled = ranges.where("_copies > 1").withColumns({"next_lower_bound": low, "is_last_record": F.lit(False)})
@@ -247,13 +247,13 @@ def recency(
 
 
 def sequential_values(
-    df: DataFrame, column: str, interval: int = 1, part: str | None = None, group_by=(), hot: HotGroups = HotGroups()
+    df: DataFrame, column: str, interval: int = 1, part: str | None = None, group_by=(), spacing: int = SPACING
 ) -> DataFrame:
     """Values that do not follow their predecessor by the interval; the first one passes."""
     previous = f"previous_{slug_name(column)}"
     # Equal values are kept once with their number, so that no value is too frequent to sort.
     values = df.where(F.col(column).isNotNull()).groupBy(*group_by, column).agg(F.count(_ROWS).alias("_copies"))
-    ranked = in_order(values, list(group_by), [F.col(column).asc()], before={previous: F.col(column)}, hot=hot)
+    ranked = in_order(values, list(group_by), [column], before={previous: F.col(column)}, spacing=spacing)
     if part:
         expected = F.expr(f"timestampadd({part.upper()}, {int(interval)}, cast(`{previous}` as timestamp_ntz))")
         off = F.col(column).cast("timestamp_ntz") != expected

@@ -217,10 +217,8 @@ def pat_11(t):
     "select o_orderkey, o_custkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as version_no from orders",
 )
 def pat_12(t):
-    order = [F.col("o_orderdate").asc_nulls_last(), F.col("o_orderkey").asc()]
-    return in_order(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], order, number="version_no").drop(
-        "o_orderdate"
-    )
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return in_order(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], number="version_no").drop("o_orderdate")
 
 
 @query(

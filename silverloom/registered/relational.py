@@ -215,7 +215,7 @@ def rel_13(t):
     rows = in_order(
         t.orders,
         ["o_custkey"],
-        [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()],
+        ["o_orderdate", "o_orderkey"],
         number="order_no",
         before={"previous_date": F.col("o_orderdate")},
         after={"next_price": F.col("o_totalprice")},

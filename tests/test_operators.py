@@ -140,31 +140,44 @@ def _skewed(spark):
     return spark.createDataFrame(data, "k string, v int, id int").repartition(5)
 
 
-@pytest.mark.parametrize("limit", [1, 10, 10**6])
-def test_in_order_equals_window(spark, rows, limit):
+@pytest.mark.parametrize("spacing", [1, 3, 20, ordered.SPACING])
+def test_in_order_equals_window(spark, rows, spacing):
     df = _skewed(spark)
     order = [F.asc_nulls_last("v"), F.asc("id")]
-    got = ordered.in_order(
-        df, ["k"], order, "n", before={"p": F.col("id")}, after={"f": F.col("v")}, hot=ordered.HotGroups(limit)
-    )
+    got = ordered.in_order(df, ["k"], ["v", "id"], "n", before={"p": F.col("id")}, after={"f": F.col("v")}, spacing=spacing)
     w = Window.partitionBy("k").orderBy(*order)
     want = df.select("*", F.row_number().over(w).alias("n"), F.lag("id").over(w).alias("p"), F.lead("v").over(w).alias("f"))
     assert rows(got) == rows(want)
 
 
-def test_in_order_without_groups(spark, rows):
+@pytest.mark.parametrize("spacing", [1, 7, ordered.SPACING])
+def test_in_order_without_groups(spark, rows, spacing):
     df = _skewed(spark).withColumn("k", F.coalesce("k", F.lit("-")))
-    got = ordered.in_order(df, [], [F.asc("id")], "n", before={"p": F.col("id")})
+    got = ordered.in_order(df, [], ["id"], "n", before={"p": F.col("id")}, spacing=spacing)
     w = Window.orderBy("id")
     assert rows(got) == rows(df.select("*", F.row_number().over(w).alias("n"), F.lag("id").over(w).alias("p")))
 
 
-def test_in_order_finds_hot_groups_in_a_cheaper_table(spark, rows):
-    df = _skewed(spark)
-    order = [F.asc_nulls_last("v"), F.asc("id")]
-    direct = ordered.in_order(df, ["k"], order, "n", hot=ordered.HotGroups(10))
-    given = ordered.in_order(df, ["k"], order, "n", hot=ordered.HotGroups(10), sizes=df.select("k").unionAll(df.select("k")))
-    assert rows(direct) == rows(given)
+def test_in_order_cuts_a_large_group(spark, rows, monkeypatch):
+    """Also with more marks than are kept and equal order values, the rows of one group meet in many chunks."""
+    df = spark.range(4000).select(F.lit(1).alias("g"), (F.col("id") % 7).alias("v"), "id")
+    sizes = ordered._with_chunks(
+        df.withColumn(ordered._PLACE, F.struct("v", F.xxhash64("id").alias("tie"))), ["g"], 20
+    ).groupBy(ordered._CHUNK).count()
+    assert sizes.count() > 100 and sizes.agg(F.max("count")).first()[0] < 200
+    monkeypatch.setattr(ordered, "MARKS", 8)
+    got = ordered.in_order(df, ["g"], ["v"], "n", before={"p": F.col("v")}, spacing=20)
+    assert sorted(r["n"] for r in got.collect()) == list(range(1, 4001))
+    assert all(r["p"] is None or r["p"] <= r["v"] for r in got.collect())
+    assert [tuple(r) for r in got.groupBy("v").agg(F.min("n"), F.max("n")).orderBy("v").collect()][0] == (0, 1, 572)
+
+
+def test_in_order_runs_no_job_before_the_action(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    ordered.in_order(_skewed(spark), ["k"], ["v", "id"], "n", before={"p": F.col("id")})
+    assert tracker.getJobIdsForGroup("planning") == []
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_with_group_count(spark, rows):

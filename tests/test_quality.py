@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from silverloom.operators.ordered import HotGroups
+from silverloom.operators.ordered import SPACING
 from silverloom.quality import checks, suite
 
 
@@ -87,7 +87,7 @@ def test_equality(spark, rows):
 RANGES = [("a", 1, 3), ("a", 3, 5), ("a", 7, 9), ("b", 1, 1), ("b", 2, 1), ("c", 1, 5), ("c", 4, 6), ("d", None, 3), ("d", 5, None)]
 
 
-@pytest.mark.parametrize("hot", [HotGroups(), HotGroups(1)])
+@pytest.mark.parametrize("spacing", [SPACING, 1])
 @pytest.mark.parametrize(
     "gaps, zero, bad",
     [
@@ -96,9 +96,9 @@ RANGES = [("a", 1, 3), ("a", 3, 5), ("a", 7, 9), ("b", 1, 1), ("b", 2, 1), ("c",
         ("required", True, {("a", 1, 3), ("b", 2, 1), ("c", 1, 5), ("d", None, 3), ("d", 5, None)}),
     ],
 )
-def test_mutually_exclusive_ranges(spark, rows, gaps, zero, bad, hot):
+def test_mutually_exclusive_ranges(spark, rows, gaps, zero, bad, spacing):
     df = frame(spark, "k string, lo int, hi int", *RANGES)
-    got = checks.mutually_exclusive_ranges(df, "lo", "hi", "k", gaps, zero, hot)
+    got = checks.mutually_exclusive_ranges(df, "lo", "hi", "k", gaps, zero, spacing)
     assert set(rows(got, "partition_by_col", "lower_bound", "upper_bound")) == bad
 
 
@@ -110,10 +110,10 @@ def test_repeated_ranges_each_break_the_rule(spark, rows):
         checks.mutually_exclusive_ranges(df, "lo", "hi", gaps="maybe")
 
 
-@pytest.mark.parametrize("hot", [HotGroups(), HotGroups(1)])
-def test_sequential_values(spark, rows, hot):
+@pytest.mark.parametrize("spacing", [SPACING, 1])
+def test_sequential_values(spark, rows, spacing):
     df = frame(spark, "g string, n int", ("a", 2), ("a", 4), ("a", 8), ("b", 4), ("b", 4), ("b", 4), ("b", None))
-    got = checks.sequential_values(df, "n", 2, group_by=["g"], hot=hot)
+    got = checks.sequential_values(df, "n", 2, group_by=["g"], spacing=spacing)
     assert rows(got) == [("a", 8, 4), ("b", 4, 4), ("b", 4, 4)]
     assert rows(checks.sequential_values(df.where("g = 'a'").select("n"), "n", 2)) == [(8, 4)]
 
