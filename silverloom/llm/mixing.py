@@ -23,14 +23,14 @@ def size_of(text: Column) -> Column:
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """(nth, source, source_size, target) from one row per source (source, source_size).
+    """The rows of ``sources``, one per source (source, source_size), with nth and target.
 
     Sources in code point order, missing one last, take the weights in turn. A target is
     min(repeats * size, rate * weight), with the rate that makes the targets add up to all
     sizes: resharing what is above a limit by weight ends at that rate.
     """
     everything = Window.orderBy(F.asc_nulls_last("source"))
-    numbered = sources.select("source", "source_size", F.row_number().over(everything).alias("nth"))
+    numbered = sources.select("*", F.row_number().over(everything).alias("nth"))
     choice = F.array(*[F.lit(float(w)) for w in weights])
     weighed = numbered.withColumn("weight", F.element_at(choice, (F.col("nth") - 1) % len(weights) + 1))
     weighed = weighed.withColumn("limit", F.col("source_size").cast("double") * repeats)
@@ -42,7 +42,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
     final = F.min(F.when(F.col("open"), F.struct(F.col("limit") / F.col("weight"), F.col("nth"), F.col("rate")))).over(whole)
     rated = rated.withColumn("final", final["rate"])
     share = F.least(F.col("limit"), F.coalesce(F.col("final"), F.lit(float("inf"))) * F.col("weight"))
-    return rated.select("nth", "source", "source_size", share.alias("target"))
+    return rated.select("nth", *sources.columns, share.alias("target"))
 
 
 def flight(size: np.ndarray, part: np.ndarray, seed: int, land: bool) -> np.ndarray:
@@ -91,17 +91,19 @@ def flight(size: np.ndarray, part: np.ndarray, seed: int, land: bool) -> np.ndar
 
 def _fly(table: pa.Table) -> pa.Table:
     table = table.sort_by([("key", "ascending"), ("row", "ascending"), ("size", "ascending")])
-    nth, block, blocks = (table.column(c)[0].as_py() for c in ("nth", "block", "blocks"))
+    nth, block, blocks, limit = (table.column(c)[0].as_py() for c in ("nth", "block", "blocks", "block_rows"))
     size = table.column("size").to_numpy()
     seed = np.random.SeedSequence([nth, block, int(size.sum())]).generate_state(1)[0]
     part = flight(size, table.column("part").to_numpy(), seed, land=blocks == 1)
-    kept = table.drop_columns(["part", "block", "blocks"])
-    return kept.append_column("part", pa.array(part, pa.float64())).select(_NAMES)
+    kept = table.drop_columns(["part", "blocks"]).append_column("part", pa.array(part, pa.float64()))
+    # At most two rows of each block stay open.
+    rest = pa.array([-(-2 * blocks // limit)] * len(table), pa.int64())
+    return kept.append_column("blocks", rest).select(_NAMES)
 
 
-_NAMES = ["row", "doc_id", "key", "nth", "size", "source_size", "target", "whole", "part"]
+_NAMES = ["row", "doc_id", "key", "nth", "size", "source_size", "target", "whole", "part", "blocks"]
 _OPEN = "part > 0 and part < 1"
-_FIELDS = "row long, doc_id {id}, key long, nth int, size long, source_size long, target double, whole int, part double"
+_FIELDS = "row long, doc_id {id}, key long, nth int, size long, source_size long, target double, whole int, part double, blocks long"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -129,7 +131,8 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
     """
     kind = sized.schema["doc_id"].dataType.simpleString()
     sized = stored(sized.select("row", "doc_id", "source", "size"), "sizes")
-    goals = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats)
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("filled"))
+    goals = targets(totals, weights, repeats)
     goals = stored(goals.withColumnRenamed("source", "goal_source"), "targets")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(repeats)))).otherwise(0.0)
     units = sized.join(goals, F.col("source").eqNullSafe(F.col("goal_source"))).withColumn("rate", rate)
@@ -137,14 +140,13 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
     units = units.withColumn("whole", F.when(F.col("size") == 0, 0).when(near, F.round("rate")).otherwise(F.floor("rate")).cast("int"))
     part = F.when(near | (F.col("size") == 0), 0.0).otherwise(F.col("rate") - F.col("whole"))
     key = F.xxhash64("doc_id", "row", "size")
-    units = units.select("row", "doc_id", key.alias("key"), "nth", "size", "source_size", "target", "whole", part.alias("part"))
+    blocks = F.ceil(F.col("filled") / block_rows).cast("long")
+    units = units.select("row", "doc_id", key.alias("key"), "nth", "size", "source_size", "target", "whole", part.alias("part"), blocks.alias("blocks"))
     done = [units.where(f"not ({_OPEN})")]
     open_, turn = units.where(_OPEN), 0
     while True:
-        blocks = open_.groupBy("nth").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
-        dealt = open_.join(blocks, "nth")
-        dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key", F.lit(turn)), F.col("blocks")))
-        flown = stored(dealt.select(*_NAMES, "block", "blocks").groupBy("nth", "block").applyInArrow(_fly, _FIELDS.format(id=kind)), "flight")
+        dealt = open_.withColumn("block", F.pmod(F.xxhash64("key", F.lit(turn)), F.col("blocks"))).withColumn("block_rows", F.lit(block_rows))
+        flown = stored(dealt.groupBy("nth", "block").applyInArrow(_fly, _FIELDS.format(id=kind)), "flight")
         done.append(flown.where(f"not ({_OPEN})"))
         open_, turn = flown.where(_OPEN), turn + 1
         if open_.isEmpty():
