@@ -145,7 +145,8 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
     suspects = docs.select("doc_id", "text").mapInArrow(suspect, StructType([StructField("key", BinaryType()), id_field]))
     suspects = stored(suspects, "suspects")
     confirmed = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
-    return suspects, confirmed.select("key", "last")
+    # Stored, so that the join's two sides are plain shuffles and a frequent key can be split.
+    return suspects, stored(confirmed.select("key", "last"), "confirmed")
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
