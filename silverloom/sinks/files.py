@@ -32,6 +32,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    place, fs = _place(spark, path)
+    out = fs.create(place, True)
+    out.write(bytearray(content))
+    out.close()
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Write a whole small file unless there is one; False if another writer was first."""
     place, fs = _place(spark, path)
