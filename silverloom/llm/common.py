@@ -2,20 +2,49 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, StructType
 
 from ..session import scratch_dir
+from ..sinks.files import write_bytes
 
 # Fixed value: white space of the text contracts, as a Java character class body.
 SPACES = r"\x20\x09-\x0D"
 FOLDS = 5
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of an application, wherever they run and start from."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    path = f"{scratch_dir(spark, 'code')}/{top.name}.zip"
+    write_bytes(spark, path, packed.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
+def in_tasks(df: DataFrame, run: Callable, schema: StructType) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back: later steps start there."""
     path = scratch_dir(df.sparkSession, label)
@@ -57,4 +86,4 @@ def map_rows(df: DataFrame, columns: Callable[[pa.RecordBatch], list], schema: S
                 [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(made, target)], schema=target
             )
 
-    return df.mapInArrow(run, schema)
+    return in_tasks(df, run, schema)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from .common import in_tasks
 from .registry import query
 
 ERROR_RATE = 0.06
@@ -145,7 +146,7 @@ def _mark_block(docs: DataFrame, items: list, rate: float, piece_chars: int) ->
                 found.append(old.as_py() + new if new else old.as_py())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, before.type)], names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_tasks(docs, run, docs.schema)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from .common import chosen, held_out
+from .common import chosen, held_out, in_tasks
 from .registry import query
 
 # First and last code point of the letters of each script.
@@ -224,7 +224,7 @@ def train(docs: DataFrame, bound: int = SAMPLE_DOCS, penalty: float = SWITCH_PEN
                 [pa.array([lang] * len(used)), pa.array(used, pa.int32()), pa.array(mine[used], pa.int64())], names=["lang", "bucket", "n"]
             )
 
-    table = rows.mapInArrow(count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = in_tasks(rows, count, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     number = {x: i for i, x in enumerate(langs)}
     counts = np.zeros((len(langs), BUCKETS + _OTHER + 1))
@@ -261,7 +261,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     yield _labelled(batch.slice(begin, k + 1 - begin), shared.value.label(texts))
                     begin, chars, texts = k + 1, 0, []
 
-    return kept.mapInArrow(run, schema)
+    return in_tasks(kept, run, schema)
 
 
 def _labelled(batch: pa.RecordBatch, found: list) -> pa.RecordBatch:

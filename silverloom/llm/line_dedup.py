@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from .common import stored
+from .common import in_tasks, stored
 from .registry import query
 
 MIN_CHARS = 40
@@ -109,7 +109,7 @@ def twice_seen(docs: DataFrame, bits: int, min_chars: int = MIN_CHARS) -> np.nda
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([b""]), pa.array([packed(twice)])], names=schema.names)
 
     out = np.zeros(bits, bool)
-    shards = docs.select("text").mapInArrow(fill, schema).repartition("shard").mapInArrow(merge, schema)
+    shards = in_tasks(in_tasks(docs.select("text"), fill, schema).repartition("shard"), merge, schema)
     for row in shards.toLocalIterator():  # at most MOST_BITS bits in all
         out[row["shard"] * size : (row["shard"] + 1) * size] = unpacked(bytes(row["twice"]))
     return np.packbits(out)
@@ -142,7 +142,7 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
                 ids = batch.column(0).take(pa.array(np.array(rows)[hit]))
                 yield pa.RecordBatch.from_arrays([digests, ids], names=["key", "doc_id"])
 
-    suspects = docs.select("doc_id", "text").mapInArrow(suspect, StructType([StructField("key", BinaryType()), id_field]))
+    suspects = in_tasks(docs.select("doc_id", "text"), suspect, StructType([StructField("key", BinaryType()), id_field]))
     suspects = stored(suspects, "suspects")
     confirmed = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
     # Stored, so that the join's two sides are plain shuffles and a frequent key can be split.
@@ -185,7 +185,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
             columns = [pa.array(kept, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=schema.names)
 
-    return joined.withColumn("__lost", F.col("__lost").cast(ArrayType(BinaryType()))).mapInArrow(cut, schema)
+    return in_tasks(joined.withColumn("__lost", F.col("__lost").cast(ArrayType(BinaryType()))), cut, schema)
 
 
 @query("op3_line_dedup", sql=r"""

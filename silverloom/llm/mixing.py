@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, row_order, stored
+from .common import SPACES, row_order, ship, stored
 from .registry import query
 
 WEIGHTS = (5, 2, 1)
@@ -130,6 +130,7 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
     never taken; an empty table gives an empty result.
     """
     kind = sized.schema["doc_id"].dataType.simpleString()
+    ship(sized.sparkSession)
     sized = stored(sized.select("row", "doc_id", "source", "size"), "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("filled"))
     goals = targets(totals, weights, repeats)

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from .common import in_tasks
 from .registry import query
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -197,7 +198,7 @@ def pack(
         if pieces:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return in_tasks(docs.select("doc_id", "text"), run, schema)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:

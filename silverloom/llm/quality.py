@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from .common import held_out
+from .common import held_out, in_tasks
 from .labelled import SAMPLE_DOCS, sample
 from .registry import query
 
@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> Addit
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_matrix(batch.column(0)).tolist(), pa.list_(pa.float64())), batch.column(1)], names=["x", "label"])
 
-    table = rows.mapInArrow(run, schema).toArrow()
+    table = in_tasks(rows, run, schema).toArrow()
     x = np.array(table.column("x").to_pylist(), float).reshape(table.num_rows, len(FEATURES))
     order = np.lexsort([table.column("label").to_numpy(), *x.T[::-1]])  # sums must not depend on the order of rows
     return fit(x[order], table.column("label").to_numpy()[order].astype(float))
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: AdditiveModel, threshold: float = THRESHOLD) -
             found = shared.value.score(_matrix(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return in_tasks(docs.select("doc_id", "text"), run, schema)
 
 
 @query("op9_quality")

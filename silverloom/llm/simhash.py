@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import map_rows, row_order, stored
+from .common import in_tasks, map_rows, row_order, stored
 from .components import components
 from .registry import query
 
@@ -176,7 +176,7 @@ def links(values: DataFrame, radius: int = RADIUS, group_rows: int = GROUP_ROWS)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([_signed(x[k]) for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return groups.mapInArrow(compare, schema)
+    return in_tasks(groups, compare, schema)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from .common import held_out
+from .common import held_out, in_tasks
 from .labelled import SAMPLE_DOCS, sample
 from .registry import query
 
@@ -40,6 +40,7 @@ LOOKALIKES = {
 LEVEL = 2.5
 SUPPORT = 4
 PREFIXES = range(4, 9)
+SHARED = 1.5
 EXCEPTION_DOCS = 3
 THRESHOLD = 0.5
 _WORD = re.compile(r"[^\W_]+")
@@ -167,14 +168,15 @@ def _counted(rows: DataFrame, items) -> DataFrame:
                 [pa.array(names, pa.string()), *(pa.array([seen[k][g] for g in names], pa.int64()) for k in (1, 0))], names=schema.names
             )
 
-    return rows.mapInArrow(run, schema).groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    return in_tasks(rows, run, schema).groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
 
 
 def learn_lexicon(rows: DataFrame) -> Lexicon:
     """Entries and exceptions from stored (text, label) rows.
 
     An entry is a word or a word's beginning in at least ``SUPPORT`` toxic texts whose smoothed log
-    ratio of shares is ``LEVEL`` or more; a longer one is left out where a shorter one
+    ratio of shares is ``LEVEL`` or more; a beginning must be in ``SHARED`` times as many toxic
+    texts as any one word with it, and a longer entry is left out where a shorter one
     weighs nearly as much. The given insults are entries as well. An exception is an entry
     with the word before or after it, seen in ``EXCEPTION_DOCS`` other texts and no toxic one.
     """
@@ -182,7 +184,17 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     toxic, plain = totals.get(1, 0), totals.get(0, 0)
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("plain") + 0.5) / (plain + 1))
     found = _counted(rows, lambda t: grams(folded(t))).withColumn("w", weight).where((F.col("toxic") >= SUPPORT) & (F.col("w") >= LEVEL))
-    learned = {r["gram"]: r["w"] for r in found.select("gram", "w").collect()}
+    rows_ = found.select("gram", "w", "toxic").collect()
+    learned = {r["gram"]: r["w"] for r in rows_}
+    # A word's beginning says more than the word only where several words share it.
+    alone: Counter = Counter()
+    for r in rows_:
+        if r["gram"].endswith(" "):
+            for k in PREFIXES:
+                alone[r["gram"][: k + 1]] = max(alone[r["gram"][: k + 1]], r["toxic"])
+    for r in rows_:
+        if not r["gram"].endswith(" ") and r["toxic"] < SHARED * alone[r["gram"]]:
+            del learned[r["gram"]]
     entries: dict[str, float] = {}
     for gram in sorted(learned, key=lambda g: (len(g), g)):
         shorter = [entries[gram[:k]] for k in range(2, len(gram)) if gram[:k] in entries]
@@ -219,7 +231,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_DOCS) -> Score
             x = [lexicon.features(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "label"])
 
-    table = rows.mapInArrow(run, schema).toArrow()
+    table = in_tasks(rows, run, schema).toArrow()
     x = np.array(table.column("x").to_pylist(), float).reshape(table.num_rows, 3)
     y = table.column("label").to_numpy().astype(float)
     order = np.lexsort([y, *x.T])  # sums must not depend on the order of rows
@@ -236,7 +248,7 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Data
             found = shared.value.score(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return in_tasks(docs.select("doc_id", "text"), run, schema)
 
 
 @query("op10_toxicity")
