@@ -15,6 +15,7 @@ from .registry import query
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 BLOCK_ROWS = 4096
+EXCHANGES = 16
 
 
 def size_of(text: Column) -> Column:
@@ -50,11 +51,14 @@ def flight(size: np.ndarray, part: np.ndarray, seed: int, land: bool) -> np.ndar
 
     Three open units at a time lie in a one-dimensional null space of the two constraints;
     a step along it closes at least one. At most two units stay open (they cannot move
-    without changing a total); ``land`` closes these by the outcome nearest to both totals.
+    without changing a total); ``land`` closes these by the outcome nearest to both totals
+    and makes up for what is left of the sizes by exchanging taken and untaken units.
     """
     random = np.random.default_rng(seed)
     part = part.astype(float).copy()
-    todo = [int(i) for i in np.flatnonzero((part > 0) & (part < 1))]
+    free = np.flatnonzero((part > 0) & (part < 1))
+    wanted = float((part * size)[free].sum())
+    todo = [int(i) for i in free]
     window: list[int] = []
     while True:
         while todo and len(window) < 3:
@@ -86,9 +90,29 @@ def flight(size: np.ndarray, part: np.ndarray, seed: int, land: bool) -> np.ndar
 
         for i, o in zip(window, min(product((0, 1), repeat=len(window)), key=off)):
             part[i] = float(o)
+    if land:
+        _exchange(size, part, free, wanted)
     return part
 
 
+def _exchange(size: np.ndarray, part: np.ndarray, free: np.ndarray, wanted: float) -> None:
+    """Exchange a taken for an untaken unit as long as that brings the taken sizes nearer to ``wanted``; their number stays."""
+    for _ in range(EXCHANGES):
+        taken, rest = free[part[free] == 1], free[part[free] == 0]
+        short = wanted - float(size[taken].sum())
+        if not len(taken) or not len(rest):
+            return
+        taken = taken[np.argsort(size[taken], kind="stable")]
+        # Taking i for j changes the sum by size[i] - size[j], which should be what is missing.
+        at = np.searchsorted(size[taken], size[rest] - short)
+        near = np.stack([np.clip(at - 1, 0, len(taken) - 1), np.clip(at, 0, len(taken) - 1)])
+        off = np.abs(short - (size[rest] - size[taken][near]))
+        side, i = np.unravel_index(int(off.argmin()), off.shape)
+        if off[side, i] > abs(short) - 1:
+            return
+        part[rest[i]], part[taken[near[side, i]]] = 1.0, 0.0
+
+
 def _fly(table: pa.Table) -> pa.Table:
     table = table.sort_by([("key", "ascending"), ("row", "ascending"), ("size", "ascending")])
     nth, block, blocks, limit = (table.column(c)[0].as_py() for c in ("nth", "block", "blocks", "block_rows"))

@@ -167,6 +167,10 @@ def test_flight_keeps_totals():
         landed = mixing.flight(size, part, 1, land=True)
         assert set(landed) <= {0.0, 1.0}
     assert set(mixing.flight(np.full(9, 4), np.full(9, 1 / 3), 5, land=True)) <= {0.0, 1.0}
+    sizes = np.append(rng.integers(1, 300, 200), [9000, 12000])
+    for seed in range(5):
+        landed = mixing.flight(sizes, np.full(202, 0.4), seed, land=True)
+        assert abs((landed * sizes).sum() - 0.4 * sizes.sum()) <= 2 and abs(landed.sum() - 0.4 * 202) <= 1
 
 
 def test_flight_follows_probabilities():
