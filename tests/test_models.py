@@ -299,3 +299,53 @@ def test_dim_resource_key_is_the_song(build, rows):
         ("3", "Đang sản xuất", 7.46, None),
         ("4", None, 7.46, None),
     ]
+
+
+def test_stored_models_are_built_once_and_read_back(spark, tmp_path):
+    """A model that reads others reads their tables, not their staging tables."""
+    from silverloom.plans.materialise import StoredModels
+    from silverloom.registered.base import Tables
+    from silverloom.registered.models import AS_OF as DAY
+    from silverloom.registered.models import REVIEWER, models_over
+    from silverloom.sinks.warehouse import Warehouse
+
+    over = models_over(Tables(spark, "/root/testdata/sf0.001"))
+    read = []
+
+    def staging(name):
+        read.append(name)
+        return over.staging(name)
+
+    m = StoredModels(Warehouse(spark, str(tmp_path / "wh"), buckets=2), staging, DAY, REVIEWER)
+    m.build(["dim_video", "bridge_bt_vid", "fact_editing", "dim_usd"])
+    m.build(["fact_editing"])
+    assert read.count("resource_editings") == 1
+    own = {
+        "dim_stock": {"resource_file_info", "resource_storage_history"},
+        "fact_revenue_by_resources": {"channel", "channel_company", "channel_deal", "channel_video_info", "channel_video_metric"},
+    }
+    for name, tables in own.items():
+        read.clear()
+        MODELS[name](m)
+        assert set(read) == tables
+    assert m.ref("fact_editing").inputFiles()[0].count("/tables/fact_editing/") == 1
+
+
+def test_kinds_of_facts():
+    from silverloom.plans.base import KINDS
+
+    assert KINDS["dim_ar"].kept == KINDS["fact_po_detail"].kept == KINDS["fact_revenue_yt"].kept == "table"
+    assert KINDS["fact_revenue_distro"].kept == "incremental" and KINDS["fact_revenue_distro"].newer_by == "revenue_month"
+
+
+def test_fact_distribution_shuffles(spark):
+    from silverloom.registered.base import Tables
+    from silverloom.registered.models import models_over
+
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = models_over(Tables(spark, "/root/testdata/sf0.001")).ref("fact_distribution")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert plan.count("Exchange hashpartitioning") <= 8
