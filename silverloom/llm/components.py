@@ -9,8 +9,12 @@ from .common import stored
 
 
 def _lowest(links: DataFrame) -> DataFrame:
-    """For each node ``u`` of the directed links (u, v): the least of u and its neighbours."""
-    return links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """For each node ``u`` of the directed links (u, v): the least of u and its neighbours.
+
+    Stored, so that joining it back is a plain shuffle join, in which a node that holds a
+    large part of all links can be split.
+    """
+    return stored(links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest")
 
 
 def components(links: DataFrame) -> DataFrame:
