@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -271,19 +272,38 @@ def unique_combination_of_columns(df: DataFrame, columns) -> DataFrame:
 
 
 def columns_match_set(tables: dict[str, DataFrame], columns, upper: bool = True) -> DataFrame:
-    """Columns that a table lacks or has in excess, per table; names compared in one case."""
-    spark = next(iter(tables.values())).sparkSession
+    """Columns that a table lacks or has in excess, per table; names compared in one case.
+
+    ``n_rows`` is how many rows that concerns: all of a table that lacks a column, those
+    with a value in an excess one. A table is scanned once, if it differs.
+    """
 
     def fold(name: str) -> str:
         return name.upper() if upper else name.lower()
 
     expected = {fold(c) for c in columns}
-    rows = []
+    parts = []
     for table, df in tables.items():
-        found = {fold(c) for c in df.columns}
-        rows += [(table, None, c) for c in sorted(expected - found)]
-        rows += [(table, c, None) for c in sorted(found - expected)]
-    return spark.createDataFrame(rows, "relation string, relation_column string, input_column string")
+        excess = [c for c in df.columns if fold(c) not in expected]
+        lacking = sorted(expected - {fold(c) for c in df.columns})
+        if not excess and not lacking:
+            continue
+        counts = df.agg(F.count(_ROWS).alias("_rows"), *[F.count(f"`{c}`").alias(f"_{i}") for i, c in enumerate(excess)])
+        found = [(None, c, F.col("_rows")) for c in lacking] + [(fold(c), None, F.col(f"_{i}")) for i, c in enumerate(excess)]
+        cells = [
+            F.struct(
+                F.lit(table).alias("relation"),
+                F.lit(own).cast("string").alias("relation_column"),
+                F.lit(wanted).cast("string").alias("input_column"),
+                n.alias("n_rows"),
+            )
+            for own, wanted, n in found
+        ]
+        parts.append(counts.select(F.inline(F.array(*cells))))
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "relation string, relation_column string, input_column string, n_rows bigint")
+    return reduce(DataFrame.unionAll, parts)
 
 
 def assert_equal(df: DataFrame, actual: str, expected: str) -> DataFrame:

@@ -329,9 +329,12 @@ def dq_20(t):
     with wanted(c) as (values ('O_ORDERKEY'), ('O_CUSTKEY'), ('O_TOTALPRICE'), ('O_CLERK')),
     found(relation, c) as (select 'orders', upper(column_name) from (describe orders)
                            union all select 'customer', upper(column_name) from (describe customer))
-    select relation, c as relation_column, cast(null as varchar) as input_column from found where c not in (select c from wanted)
+    select relation, c as relation_column, cast(null as varchar) as input_column,
+           case relation when 'orders' then (select count(*) from orders) else (select count(*) from customer) end as n_rows
+    from found where c not in (select c from wanted)
     union all
-    select r.relation, null, w.c from (values ('orders'), ('customer')) r(relation), wanted w
+    select r.relation, null, w.c, case r.relation when 'orders' then (select count(*) from orders) else (select count(*) from customer) end
+    from (values ('orders'), ('customer')) r(relation), wanted w
     where not exists (select 1 from found f where f.relation = r.relation and f.c = w.c)
     """,
 )

@@ -136,8 +136,8 @@ def test_recency(spark, rows):
 
 def test_columns_match_set(spark, rows):
     tables = {"x": spark.sql("select 1 as A, 2 as b"), "y": spark.sql("select 1 as a")}
-    assert rows(checks.columns_match_set(tables, ["a", "B"])) == [("y", None, "B")]
-    assert rows(checks.columns_match_set(tables, ["a"], upper=False)) == [("x", "b", None)]
+    assert rows(checks.columns_match_set(tables, ["a", "B"])) == [("y", None, "B", 1)]
+    assert rows(checks.columns_match_set(tables, ["a"], upper=False)) == [("x", "b", None, 1)]
 
 
 def test_assert_equal(spark, rows):
