@@ -131,14 +131,14 @@ _FIELDS = "row long, doc_id {id}, key long, nth int, size long, source_size long
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` (with __hash of the text) and ``__row``, which numbers the rows that share a doc_id."""
-    rest = [x for x in row_order(docs, "source", "__hash")[2:]]
-    same = Window.partitionBy("doc_id").orderBy("source", "__hash", *rest)
-    return docs.withColumn("__row", F.row_number().over(same).cast("long"))
+    """``docs`` (with __hash of the text) with ``__key``, a hash of the doc_id, and ``__row``, which numbers the rows of a key."""
+    rest = row_order(docs, "doc_id", "source", "__hash")
+    same = Window.partitionBy("__key").orderBy(*rest)
+    return docs.withColumn("__key", F.xxhash64("doc_id")).withColumn("__row", F.row_number().over(same).cast("long"))
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, source, size) of every row; (doc_id, row) names a row, up to rows of equal source and text."""
+    """(row, doc_id, source, size) of every row; a hash of doc_id and row name a row, up to rows of equal source and text."""
     marked = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("__hash"))
     return _numbered(marked).select(F.col("__row").alias("row"), "doc_id", "source", "size")
 
@@ -185,9 +185,10 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
 def repeat_mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """``docs`` with every row as often as the mix takes it, in the columns of ``docs``."""
     taken = mix(sizes(docs), weights, repeats).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("row").alias("__nth"), F.col("copies").alias("__copies"))
+    taken = taken.select(F.xxhash64("doc_id").alias("__taken"), F.col("row").alias("__nth"), F.col("copies").alias("__copies"))
     numbered = _numbered(docs.withColumn("__hash", F.xxhash64("text")))
-    found = numbered.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__nth")))
+    # The key alone is joined on, so that the texts are shuffled once, for numbering and join.
+    found = numbered.join(taken, (F.col("__key") == F.col("__taken")) & (F.col("__row") - F.col("__nth") == 0))
     again = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return again.select(*docs.columns)
 
