@@ -29,7 +29,7 @@ from .registry import query
 GIVEN = ("idiot", "moron", "stupid", "imbecile", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "clown", "dumbass", "jerk", "retard")
 GIVEN_WEIGHT = 3.0
 # Phrases in which such a word is harmless.
-GIVEN_EXCEPTIONS = ("trash can", "trash bin", "clown fish", "class clown", "jerk chicken", "beef jerk", "sore loser board")
+GIVEN_EXCEPTIONS = ("trash can", "trash bin", "clown fish", "jerk chicken", "knee jerk")
 # Letters that look like Latin ones, digits and signs used for letters.
 LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m",
