@@ -32,6 +32,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file whole."""
+    place, fs = _place(spark, path)
+    stream = fs.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     place, fs = _place(spark, path)
     out = fs.create(place, True)

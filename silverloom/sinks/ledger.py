@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import files
+
 ERROR_CHARS = 2000  # fixed value: stored length of an error text
 HISTORY_ROWS = 20  # fixed value: default length of a history
 
@@ -36,7 +38,6 @@ class Ledger:
         self.spark = spark
         self.path = path
         self._last = 0
-        self._logged(spark.range(0, 0, 1, 1)).write.mode("ignore").partitionBy(_LOG).parquet(path)
 
     # -- writing
 
@@ -77,7 +78,9 @@ class Ledger:
     # -- reading
 
     def events(self, source_id: str | None = None) -> DataFrame:
-        """All events, or those that may belong to a source."""
+        """All events, or those that may belong to a source; none before the first is written."""
+        if not files.exists(self.spark, self.path):
+            return self.spark.createDataFrame([], EVENTS)
         found = self.spark.read.schema(T.StructType([*EVENTS.fields, T.StructField(_LOG, _TEXT)])).parquet(self.path)
         return (found if source_id is None else found.where(F.col(_LOG).isin(source_id, _NO_SOURCE))).drop(_LOG)
 
