@@ -277,6 +277,62 @@ def test_order_minhash(spark):
             assert sorted(r["signature"]) == plain_signature(r["text"] or "")
 
 
+def plain_numbered(text, words=2):
+    """k-mer hashes of a text, and hash of k-mer and occurrence number for each place."""
+    trimmed = text.strip(" \t\n\x0b\x0c\r")
+    units = re.split(r"[\x20\x09-\x0D]+", trimmed)
+    if len(trimmed) > len(units) * 40:
+        units = list(trimmed)
+    hashes = [xx(*[("s", units[i + k] if i + k < len(units) else None) for k in range(words)]) for i in range(len(units))]
+    seen, dealt = Counter(), []
+    for h in hashes:
+        key = (h & (1 << 64) - 1) >> 26
+        dealt.append(xx(("l", key), ("i", seen[key])) & (1 << 64) - 1)
+        seen[key] += 1
+    return hashes, dealt
+
+
+def plain_orders(text, buckets=64, size=2):
+    hashes, dealt = plain_numbered(text)
+    out = []
+    for b in range(buckets):
+        ranks = [(g >> 58 != b, g >> 26 if g >> 58 == b else xx(("l", g >> 26), ("l", b)) >> 26, p) for p, g in enumerate(dealt)]
+        out.append(b << 32 | xx(*[("l", hashes[p]) for p in sorted(r[2] for r in sorted(ranks)[:size])]) & 0xFFFFFFFF)
+    return out
+
+
+def textbook_orders(text, orders=64, size=2):
+    hashes, dealt = plain_numbered(text)
+    least = [sorted(sorted(range(len(dealt)), key=lambda p: xx(("l", dealt[p] >> 1), ("i", -k)))[:size]) for k in range(1, orders + 1)]
+    return [(k, *[hashes[p] for p in places]) for k, places in enumerate(least)]
+
+
+def test_order_minhash_whole_orders(spark):
+    for docs in (documents(spark).where("length(text) < 2000"), odd(spark)):
+        got = docs.select("text", order_minhash.orders(F.coalesce("text", F.lit(""))).alias("o"), order_minhash.signatures(F.coalesce("text", F.lit(""))).alias("s")).collect()
+        for r in got:
+            assert sorted(r["o"]) == sorted(r["s"]["orders"]) == plain_orders(r["text"] or "")
+            assert sorted(r["s"]["dealt"]) == plain_signature(r["text"] or "")
+    found = QUERIES["op8_order_minhash"](spark, FOLDER).collect()
+    assert all(len(r[c]) == 64 * 10 for r in found for c in ("order_fingerprint", "edited_order_fingerprint"))
+    assert all(0 <= r[c] <= 1 for r in found for c in ("order_near_edited", "order_near_next"))
+
+
+@pytest.mark.parametrize("words", [10, 50, 150])
+def test_order_minhash_moved_blocks(spark, words):
+    """A text and the same with its four quarters in reverse order are as alike as with 64 textbook orders."""
+    rng = np.random.default_rng(words)
+    rows = []
+    for _ in range(40):
+        units = [f"w{x}" for x in rng.integers(0, 5000, words)]
+        cut = [words * k // 4 for k in range(5)]
+        rows.append((" ".join(units), " ".join(x for k in (3, 2, 1, 0) for x in units[cut[k] : cut[k + 1]])))
+    moved = spark.createDataFrame(rows, "a string, b string")
+    mine = moved.select(order_minhash.likeness(order_minhash.orders(F.col("a")), order_minhash.orders(F.col("b")))).collect()
+    want = [len(set(textbook_orders(a)) & set(textbook_orders(b))) / 64 for a, b in rows]
+    assert abs(np.mean([r[0] for r in mine]) - np.mean(want)) < 0.03
+
+
 def test_order_minhash_query(spark):
     got = {r["doc_id"]: r for r in QUERIES["op8_order_minhash"](spark, FOLDER).collect()}
     rows = sorted(((r["doc_id"], r["text"] or "") for r in documents(spark).collect()), reverse=True)
