@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -16,6 +17,8 @@ from .registry import query
 ERROR_RATE = 0.06
 PIECE_CHARS = 16
 BLOCK_CHARS = 1 << 20
+SHINGLE_WORDS = 5
+KEPT_SHINGLES = 0.8
 
 
 def plain(text: str | None) -> str:
@@ -34,6 +37,17 @@ def pieces(item: str, errors: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cut, cut[1:])]
 
 
+def cores(item: str) -> list[str]:
+    """The shortest beginning and end of ``item`` that keep ``KEPT_SHINGLES`` of its runs of five words, if shorter than it.
+
+    A copy that lost whole words at one end, but keeps that share, has one of them whole.
+    """
+    words = item.split(" ")
+    runs = len(words) - SHINGLE_WORDS + 1
+    kept = math.ceil(runs * KEPT_SHINGLES) + SHINGLE_WORDS - 1
+    return [" ".join(words[:kept]), " ".join(words[-kept:])] if runs > 1 and kept < len(words) else []
+
+
 def distance(item: str, text: str) -> tuple[int, int]:
     """Least edit distance of ``item`` to any part of ``text``, and where the first such part ends.
 
@@ -74,12 +88,15 @@ class Matcher:
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = plain(text)
-            if len(text) < piece_chars:
+            if len(text) < piece_chars and " " not in text:
                 continue
-            errors = budget(len(text), rate, piece_chars)
-            for start, piece in pieces(text, errors):
-                places.setdefault(piece, []).append((len(self.items), start))
-            self.items.append((item_id, text, errors))
+            whole = len(self.items)
+            parts = [x for x in cores(text) if len(x) >= piece_chars]
+            for part in [text, *parts]:
+                errors = budget(len(part), rate, piece_chars)
+                for start, piece in pieces(part, errors):
+                    places.setdefault(piece, []).append((len(self.items), start))
+                self.items.append((item_id, part, errors, whole, len(text) < piece_chars))
         self.machine = ahocorasick.Automaton()
         for piece, at in places.items():
             self.machine.add_word(piece, (len(piece), at))
@@ -87,7 +104,10 @@ class Matcher:
             self.machine.make_automaton()
 
     def find(self, text: str | None) -> list[tuple[object, int, int]]:
-        """(item_id, distance, end) of each item within its budget: its nearest place, the first of equals."""
+        """(item_id, distance, end) of each item found: its nearest place, the first of equals.
+
+        Where only a core is within its budget, the distance is that of the whole item at that place.
+        """
         if not self.items or not text:
             return []
         text = plain(text)
@@ -95,7 +115,7 @@ class Matcher:
         tried: dict[int, set[int]] = {}
         for last, (length, places) in self.machine.iter(text):
             for k, start in places:
-                _, item, errors = self.items[k]
+                _, item, errors, _, short = self.items[k]
                 if k in best and best[k][0] == 0:
                     continue
                 begin = last - length + 1 - start
@@ -103,11 +123,22 @@ class Matcher:
                 if begin in diagonals:
                     continue
                 diagonals.add(begin)
+                if short and (text[begin - 1 : begin].isalnum() or text[last + 1 : last + 2].isalnum()):
+                    continue
                 low = max(0, begin - errors)
                 near, end = distance(item, text[low : begin + len(item) + errors])
                 if near <= errors and (k not in best or (near, low + end) < best[k]):
                     best[k] = near, low + end
-        return [(self.items[k][0], near, end) for k, (near, end) in sorted(best.items())]
+        found: dict[int, tuple[int, int]] = {k: v for k, v in best.items() if self.items[k][3] == k}
+        partly: dict[int, tuple[int, int]] = {}
+        for k, (_, end) in best.items():
+            _, part, errors, whole, _ = self.items[k]
+            if whole not in found:
+                item = self.items[whole][1]
+                low = max(0, end - len(item) - errors)
+                near, at = distance(item, text[low : end + len(item) - len(part) + errors])
+                partly[whole] = min(partly.get(whole, (near, low + at)), (near, low + at))
+        return [(self.items[k][0], near, end) for k, (near, end) in sorted((found | partly).items())]
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, piece_chars: int = PIECE_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -115,9 +146,12 @@ def mark(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, piece_
 
     An item is found where some part of the text is within its budget of edits. The
     benchmark is the stated query set: it is broadcast in blocks of about ``block_chars``
-    characters, one pass over the rows for each, all in one stage. Items that are null or
-    shorter than ``piece_chars`` characters (white space folded) are too common to mean
-    anything and are not searched. Null and empty texts match nothing. A column named
+    characters, one pass over the rows for each, all in one stage. An item of which only the
+    beginning or the end is found is matched if that keeps 80 % of its runs of five words
+    (``cores``); its distance then exceeds the budget. Items shorter than ``piece_chars``
+    characters (white space folded) are found exactly, between characters that are no
+    letters or digits; of these, single words are too common to mean anything and are not
+    searched, as null and empty items. Null and empty texts match nothing. A column named
     ``matches`` is replaced; other columns and repeated rows stay.
     """
     items = benchmark.select("item_id", "text").where("text is not null")

@@ -148,6 +148,31 @@ def test_decontaminate(spark):
     assert {d for d, _ in got if 20_000 <= d} == {d for d, _ in want if 20_000 <= d}
 
 
+def test_decontaminate_lost_ends(spark):
+    """Every way to cut whole words off an end that leaves 80 % of the runs of five words is found."""
+    items = [(r["item_id"], decontaminate.plain(r["text"])) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    matcher = decontaminate.Matcher(items, decontaminate.ERROR_RATE, decontaminate.PIECE_CHARS)
+    tried = beyond = 0
+    for i, text in items:
+        words = text.split(" ")
+        for lost in range(1, len(words)):
+            if len(words) - lost - 4 < 0.8 * (len(words) - 4):
+                break
+            for left in (words[:-lost], words[lost:]):
+                found = {m[0]: m[1] for m in matcher.find("zzz qqq " + " ".join(left) + " xxx yyy")}
+                assert i in found and found[i] <= len(text)
+                tried, beyond = tried + 1, beyond + (found[i] > decontaminate.budget(len(text)))
+    assert tried > 100 and beyond > 50
+
+
+def test_decontaminate_short_items():
+    matcher = decontaminate.Matcher([(1, "Short  item"), (2, "")], decontaminate.ERROR_RATE, decontaminate.PIECE_CHARS)
+    assert matcher.find("a short item, here") == [(1, 0, 12)]
+    assert matcher.find("short item") == [(1, 0, 10)]
+    assert matcher.find("ashort item") == matcher.find("short items") == matcher.find("shirt item") == []
+    assert [m[0] for m in matcher.find("short items and a short item")] == [1]
+
+
 def test_decontaminate_odd(spark):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog and"), (1, None), (None, "short"), (2, "")], "item_id long, text string")
     got = decontaminate.mark(odd(spark), bench)
