@@ -115,6 +115,14 @@ def column_values(
     return [r["value"] for r in rows] if rows else default
 
 
+def every_column_value(df: DataFrame, column: str, max_records: int, **options) -> list:
+    """:func:`column_values` where all are needed: an error when there are more than ``max_records``."""
+    values = column_values(df, column, max_records + 1, **options)
+    if values is not None and len(values) > max_records:
+        raise ValueError(f"{column} has more than {max_records} values")
+    return values
+
+
 def table_column_values(spark: SparkSession, table: str, column: str, max_records: int, default=None, **options) -> list:
     """:func:`column_values` of a catalogue table; ``default`` when there is no such table."""
     if spark.catalog.tableExists(table):

@@ -11,7 +11,7 @@ from ..operators.dedupe import deduplicate
 from ..operators.reshape import (
     blank_strings_to_null,
     column_frequencies,
-    column_values,
+    every_column_value,
     filtered_columns,
     pivot_columns,
     single_value,
@@ -49,7 +49,7 @@ def flagship(t):
         F.col("ts").alias("last_ts"),
         F.col("event_type").alias("last_type"),
     )
-    types = sorted(column_values(t.events, "event_type", 100, default=[]))
+    types = sorted(every_column_value(t.events, "event_type", 100, default=[]))
     counts = t.events.groupBy("user_id").agg(*pivot_columns("event_type", types))
     return latest.join(counts, "user_id").select(
         surrogate_key("user_id", "last_type").alias("profile_key"), *latest.columns, *types
@@ -106,7 +106,7 @@ def tbl_02_text(t):
 
 @query("tbl_03_pivot", f"select user_id, {_COUNTS} from events group by user_id")
 def tbl_03(t):
-    types = column_values(t.events, "event_type", 100, default=[])
+    types = every_column_value(t.events, "event_type", 100, default=[])
     return t.events.groupBy("user_id").agg(*pivot_columns("event_type", types))
 
 
