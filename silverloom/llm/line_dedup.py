@@ -116,7 +116,7 @@ def twice_seen(docs: DataFrame, bits: int, min_chars: int = MIN_CHARS) -> np.nda
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(suspects, confirmed): (key, doc_id) of suspected lines, and (key, last) of keys in ``min_docs`` rows or more.
+    """(suspects, confirmed): (key, doc_id, part, a hash of the text) of suspected lines, and (key, last) of keys in ``min_docs`` rows or more.
 
     ``key`` is a 128-bit digest of the line's key. Only suspects are shuffled, counted per
     task first, so a line that every document holds is a few rows.
@@ -139,10 +139,11 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
             hit = np.flatnonzero(twice[_probes(hashes, bits)].all(axis=0))
             if len(hit):
                 digests = pa.array([md5(keys[i]).digest() for i in hit], pa.binary())
-                ids = batch.column(0).take(pa.array(np.array(rows)[hit]))
-                yield pa.RecordBatch.from_arrays([digests, ids], names=["key", "doc_id"])
+                at = pa.array(np.array(rows)[hit])
+                yield pa.RecordBatch.from_arrays([digests, batch.column(0).take(at), batch.column(2).take(at)], names=["key", "doc_id", "part"])
 
-    suspects = in_tasks(docs.select("doc_id", "text"), suspect, StructType([StructField("key", BinaryType()), id_field]))
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("part"))
+    suspects = in_tasks(hashed, suspect, StructType([StructField("key", BinaryType()), id_field, StructField("part", LongType())]))
     suspects = stored(suspects, "suspects")
     confirmed = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
     # Stored, so that the join's two sides are plain shuffles and a frequent key can be split.
@@ -161,8 +162,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     docs = docs.drop("kept_text", "n_lines", "n_dropped")
     suspects, confirmed = repeated_lines(docs.select("doc_id", "text"), min_docs, min_chars)
     lost = suspects.join(confirmed, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
-    lost = lost.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__lost"))
-    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    # By text as well: a doc_id that many rows share would gather the lines of all of them, and each row would get them all.
+    lost = lost.groupBy(F.col("doc_id").alias("__id"), F.col("part").alias("__part")).agg(F.collect_set("key").alias("__lost"))
+    mine = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__part"))
+    joined = docs.join(lost, mine, "left").drop("__id", "__part")
     at = docs.columns.index("text")
     new = [StructField("kept_text", StringType()), StructField("n_lines", LongType()), StructField("n_dropped", LongType())]
     schema = StructType([*docs.schema.fields, *new])

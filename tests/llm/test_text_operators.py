@@ -202,6 +202,22 @@ def kept_lines(rows, min_docs=5):
     return sorted(out, key=repr)
 
 
+def test_line_dedup_shared_id(spark, monkeypatch):
+    """Rows that share a doc_id, or have none, carry the lines that they lose themselves, not those of all."""
+    pair = lambda k: (f"a line number {k} that two rows hold", f"another line {k} of the same two rows")
+    rows = [(i, "\n".join([*pair(k), f"and one of its own {k} {i}"])) for k in range(60) for i in (None if k % 2 else 1, 1000 + k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    carried = []
+    plain = line_dedup.in_tasks
+    monkeypatch.setattr(line_dedup, "in_tasks", lambda df, run, schema: (carried.append(df), plain(df, run, schema))[1])
+    got = line_dedup.dedup_lines(docs, min_docs=2, min_chars=5).collect()
+    joined = carried[-1]
+    assert joined.columns[-1] == "__lost" and joined.agg(F.max(F.size("__lost"))).first()[0] == 2
+    for r in got:
+        lines = r["text"].split("\n")
+        assert r["kept_text"] == ("\n".join(lines) if (r["doc_id"] or 0) >= 1000 else lines[2])
+
+
 @pytest.mark.parametrize("bits", [1 << 20, 1 << 6])
 def test_line_dedup(spark, monkeypatch, bits):
     """Also with filters so full that every line is suspected."""
