@@ -61,7 +61,7 @@ class Rolling:
     def _powers(self, n: int) -> None:
         if len(self.up) < n:
             n = 1 << n.bit_length()
-            self.up, self.down = (np.cumprod(np.concatenate([[1], np.full(n, x)]).astype(np.uint64)) for x in (np.uint64(_FACTOR), np.uint64(_INVERSE)))
+            self.up, self.down = (np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, x, np.uint64))]) for x in (_FACTOR, _INVERSE))
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         self._powers(len(values) + 1)
