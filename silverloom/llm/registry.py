@@ -13,7 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 MODULES = (
-    "secrets", "decontaminate", "line_dedup", "packing", "simhash", "language", "mixing", "order_minhash", "quality", "toxicity", "substrings",
+    "secrets", "decontaminate", "line_dedup", "packing", "simhash", "language", "mixing", "order_minhash", "quality", "toxicity", "substrings", "collocations", "alignment",
 )
 
 
