@@ -68,7 +68,7 @@ class Pair:
             return [text]
         parts = text.split(" ")
         # Where all white space is single spaces between words, these are the safe cuts.
-        return parts if len(parts) == len(text.split()) else _SAFE_CUT.split(text)
+        return parts if parts == text.split() else _SAFE_CUT.split(text)
 
     def align(self, parts: list[str]) -> Iterator[list[tuple[list[int], list[int]]] | None]:
         """For each part its groups of ids between the places where tokens of both end; None where the tokens do not make up the part."""

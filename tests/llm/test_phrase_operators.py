@@ -194,7 +194,7 @@ def aligned_plainly(pair, rows):
 
 
 TEXTS = [
-    " lead", "trail ", "a  b", "x▁y", "a\nb \n c", "\t", " ", "  ", "café café", "東京 is 한국", "<|endoftext|> <s> </s> <unk> <0x41>", "\x00 \x01",
+    " lead", "trail ", "a  b", "x▁y", "fox  jumps over\nand runs", "a\nb \n c", "\t", " ", "  ", "café café", "東京 is 한국", "<|endoftext|> <s> </s> <unk> <0x41>", "\x00 \x01",
     "a b 　 c", "don't we'll I'm", "1234567 89", "\U0001f600\U0001f600 ok", "ﬁ x", "word", "-", "a \u0085 b", " x",
 ]
 
