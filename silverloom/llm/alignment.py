@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import tokenizers
 import zstandard
 from pyspark import TaskContext
@@ -19,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import in_tasks, stored
+from .packing import PATTERN
 from .registry import query
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -27,8 +31,9 @@ MAX_PAIRS = 1 << 22  # pairs of one table that is broadcast
 GAMMA = 2
 SLICE = 1 << 16
 FAN_IN = 16
-_CACHED = 200_000
-_KEPT_CHARS = 40
+_CACHED, _CACHED_CHARS = 500_000, 1 << 23
+_QUICK_CHARS = 4096
+_HALF = np.uint64(32)
 _CHUNK_CHARS = 1 << 20
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE_MARK = "▁"
@@ -41,6 +46,34 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+class Aligned(NamedTuple):
+    """Alignment of some parts: which are made up by both tokenizers, and of these the numbers of tokens and links, all ids, the group of each, and each group's last."""
+
+    good: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_links: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    group_a: np.ndarray
+    group_b: np.ndarray
+    last_a: np.ndarray
+    last_b: np.ndarray
+
+    def links(self) -> np.ndarray:
+        return pair_code(self.a[self.last_a].astype(np.uint64), self.b[self.last_b].astype(np.uint64))
+
+    def texts(self, signs: list[str], shift: int) -> list[str]:
+        """Groups of each good part as text; ``signs`` has ids of A from 0 and of B from ``shift`` with the sign after them."""
+        ends = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
+        ends[0][self.last_a] = ends[1][self.last_b] = 1
+        order = np.argsort(np.concatenate([2 * self.group_a, 2 * self.group_b + 1]), kind="stable")
+        codes = np.concatenate([2 * self.a + ends[0], shift + 2 * self.b + ends[1]])[order]
+        written = list(map(signs.__getitem__, codes.tolist()))
+        cuts = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
+        return ["".join(written[x:y])[:-1] for x, y in zip(cuts, cuts[1:])]
+
+
 class Pair:
     """Two tokenizers, and the alignment of texts cut where neither has a token across.
 
@@ -57,10 +90,32 @@ class Pair:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
         letters = byte_letters()
         vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(letters.get(c, 0) for c in t) for t, i in vocabulary.items()}
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes(letters.get(c, 0) for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE_MARK, " ").encode() for i, p in enumerate(pieces)]
         self.by_word = not any(_SPACE_MARK in p[1:] and p.strip(_SPACE_MARK) for p in pieces)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
+        self.quick = self._quick(json.loads(byte_bpe))
+
+    def _quick(self, spec: dict) -> tiktoken.Encoding | None:
+        """The byte-level vocabulary by ranks, if its merges are in the order of ids and it cuts words as usual: the same ids sooner."""
+        letters, model, cut = byte_letters(), spec["model"], spec.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [model["vocab"].get("".join(m), -1) for m in merges]
+        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")) and not spec.get("normalizer")
+        usual = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        if not (plain and usual and ids == sorted(set(ids)) and len(merges) + 256 <= len(model["vocab"])):
+            return None
+        merged = set(ids)
+        ranks = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items() if i in merged or (len(t) == 1 and t in letters)}
+        return tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids_a(self, text: str) -> list[int]:
+        if self.quick is not None and len(text) < _QUICK_CHARS:
+            return self.quick.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def parts(self, text: str) -> list[str]:
         """``text`` in parts that can be aligned on their own, each with a space before it."""
@@ -70,33 +125,29 @@ class Pair:
         # Where all white space is single spaces between words, these are the safe cuts.
         return parts if parts == text.split() else _SAFE_CUT.split(text)
 
-    def align(self, parts: list[str]) -> Iterator[list[tuple[list[int], list[int]]] | None]:
-        """For each part its groups of ids between the places where tokens of both end; None where the tokens do not make up the part."""
-        theirs = self.b.encode(parts, num_threads=1)
-        ours = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        for part, a, b in zip(parts, ours, theirs):
-            yield self._groups((" " + part).encode(), a.ids, b)
-
-    def _groups(self, whole: bytes, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != whole or b"".join(b_parts) != whole:
-            return None
-        groups, i, j, a_from, b_from, a_end, b_end = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if a_end <= b_end and i < len(a):
-                a_end += len(a_parts[i])
-                i += 1
-            else:
-                b_end += len(b_parts[j])
-                j += 1
-            if a_end == b_end:
-                groups.append((a[a_from:i], b[b_from:j]))
-                a_from, b_from = i, j
-        return groups
-
-
-def pair_code(a: int, b: int) -> int:
-    return a << 32 | b
+    def align(self, parts: list[str]) -> Aligned:
+        texts = [(" " + p).encode() for p in parts]
+        a, b = [self.ids_a(" " + p) for p in parts], self.b.encode(parts, num_threads=1)
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        whole = b"".join(texts)
+        good = np.ones(len(parts), bool)
+        if b"".join(map(self.a_bytes.__getitem__, flat_a.tolist())) != whole or b"".join(map(self.b_bytes.__getitem__, flat_b.tolist())) != whole or not all(texts):
+            for i, t in enumerate(texts):
+                good[i] = all(b"".join(y[k] for k in x) == t for x, y in ((a[i], self.a_bytes), (b[i], self.b_bytes)))
+            at = np.flatnonzero(good).tolist()
+            a, b, texts = [a[i] for i in at], [b[i] for i in at], [texts[i] for i in at]
+            flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        n_a, n_b, size = (np.array([len(y) for y in x], np.int64) for x in (a, b, texts))
+        # All parts lie one after another on one line of bytes.
+        ends_a, ends_b = np.cumsum(self.a_sizes[flat_a]), np.cumsum(self.b_sizes[flat_b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        n_links = np.diff(np.concatenate([[0], np.searchsorted(cuts, np.cumsum(size), side="right")]))
+        return Aligned(good, n_a, n_b, n_links, flat_a, flat_b, np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), last_a, last_b)
+
+
+def pair_code(a, b):
+    return a << _HALF | b
 
 
 def _texts(column: pa.Array) -> Iterator[list[str]]:
@@ -112,57 +163,82 @@ def _texts(column: pa.Array) -> Iterator[list[str]]:
         yield held
 
 
-class _Aligned(dict):
-    """What is made of the alignment of a part, kept while there is room; False where it has none."""
-
-    def __init__(self, pair: Pair, made):
-        self.pair, self.made = pair, made
-
-    def learn(self, texts: list[list[str]]) -> None:
-        if len(self) > _CACHED:
-            self.clear()
-        new = list({p for parts in texts for p in parts if p not in self})
-        for k in range(0, len(new), 1024):
-            some = new[k : k + 1024]
-            for part, groups in zip(some, self.pair.align(some)):
-                self[part] = self.made(groups) if groups is not None else False
+class _Known:
+    """Numbers of parts met, and arrays of what is known of each; all is forgotten when there are too many."""
+
+    def __init__(self, pair: Pair, learned: Callable[[Aligned], dict[str, np.ndarray]]):
+        self.pair, self.learned = pair, learned
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.bad = np.zeros(0, bool)
+        self.columns: dict[str, np.ndarray] = {}
+        self.chars = 0
+
+    def full(self) -> bool:
+        return len(self.number) > _CACHED or self.chars > _CACHED_CHARS
+
+    def learn(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of all parts in turn, number of parts of each text)."""
+        new = list({p for parts in texts for p in parts}.difference(self.number))
+        bad, columns = [self.bad], {k: [v] for k, v in self.columns.items()}
+        for k in range(0, len(new), 4096):
+            some = new[k : k + 4096]
+            found = self.pair.align(some)
+            bad.append(~found.good)
+            for name, values in self.learned(found).items():
+                columns.setdefault(name, []).append(self._spread(values, found.good))
+        for p in new:
+            self.number[p] = len(self.number)
+            self.chars += len(p)
+        self.bad = np.concatenate(bad)
+        self.columns = {k: np.concatenate(v) for k, v in columns.items()}
+        lengths = np.array([len(parts) for parts in texts], np.int64)
+        return np.fromiter((n for parts in texts for n in map(self.number.__getitem__, parts)), np.int64, int(lengths.sum())), lengths
+
+    @staticmethod
+    def _spread(values: np.ndarray, good: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(good), values.dtype)
+        out[good] = values
+        return out
 
-    def forget_long(self) -> None:
-        for part in [p for p in self if len(p) > _KEPT_CHARS]:
-            del self[part]
+    def bad_texts(self, numbers: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        return np.logical_or.reduceat(self.bad[numbers], np.cumsum(lengths) - lengths) if len(numbers) else np.zeros(0, bool)
 
 
 def count_pairs(texts: DataFrame, byte_bpe: str, piece_bpe: bytes) -> DataFrame:
     """(pair, n): how often tokens of a task's texts end together, ``pair_code`` of their ids. Not yet summed over tasks."""
     shared = texts.sparkSession.sparkContext.broadcast((byte_bpe, piece_bpe))
 
-    def links(groups: list[tuple[list[int], list[int]]]) -> tuple[int, ...]:
-        return tuple(pair_code(a[-1], b[-1]) for a, b in groups)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(*shared.value)
-        aligned, counts = _Aligned(pair, links), Counter()
+        pair, links = Pair(*shared.value), []
+
+        def learned(found: Aligned) -> dict[str, np.ndarray]:
+            links.append(found.links())
+            return {"n": found.n_links}
+
+        known, uses = _Known(pair, learned), np.zeros(0, np.int64)
 
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["pair", "n"])
+        def counted() -> pa.RecordBatch:
+            codes, at = np.unique(np.concatenate(links), return_inverse=True)
+            sums = np.bincount(at, weights=np.repeat(uses, known.columns["n"]), minlength=len(codes))  # exact below 2^53
+            some = sums > 0
+            return pa.RecordBatch.from_arrays([pa.array(codes[some].view(np.int64)), pa.array(sums[some].astype(np.int64))], names=["pair", "n"])
 
         for rows in batches:
             for some in _texts(rows.column(0)):
-                texts = [pair.parts(t) for t in some if t]
-                aligned.learn(texts)
-                used = Counter()
-                for parts in texts:
-                    if all(map(aligned.__getitem__, parts)):
-                        used.update(parts)
-                for part, n in used.items():
-                    for code in aligned[part]:
-                        counts[code] += n
-                aligned.forget_long()
-                if len(counts) > 1 << 19:
-                    yield batch()
-                    counts.clear()
-        if counts:
-            yield batch()
+                numbers, lengths = known.learn([pair.parts(t) for t in some if t])
+                good = np.repeat(~known.bad_texts(numbers, lengths), lengths)
+                uses = np.concatenate([uses, np.zeros(len(known.number) - len(uses), np.int64)])
+                uses += np.bincount(numbers[good], minlength=len(uses))
+                if known.full():
+                    yield counted()
+                    known.forget()
+                    links.clear()
+                    uses = np.zeros(0, np.int64)
+        if known.number:
+            yield counted()
 
     return in_tasks(texts, run, StructType([StructField("pair", LongType()), StructField("n", LongType())]))
 
@@ -312,32 +388,37 @@ def _look_up(docs: DataFrame, byte_bpe: str, piece_bpe: bytes, table: PairCounts
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *models, table = shared.value
         pair = Pair(*models)
+        signs = [f"{i}{x}" for i in range(len(pair.a_bytes)) for x in ",|"] + [f"{i}{x}" for i in range(len(pair.b_bytes)) for x in ",;"]
 
-        def made(groups: list[tuple[list[int], list[int]]]) -> tuple:
-            counts, best = table.look_up(np.array([pair_code(a[-1], b[-1]) for a, b in groups], np.uint64))
-            text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-            n = len(groups)
-            return sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), n, n, int(best.sum()), int(counts.sum()), text
+        def learned(found: Aligned) -> dict[str, np.ndarray]:
+            counts, best = table.look_up(found.links())
+            starts = np.cumsum(found.n_links) - found.n_links
+            sums = [np.add.reduceat(x, starts) if len(starts) else x for x in (best, counts)]
+            texts = np.array(found.texts(signs, 2 * len(pair.a_bytes)) + [""], object)[:-1]
+            return dict(zip(_NUMBERS, (found.n_a, found.n_b, found.n_links, found.n_links, *sums))) | {"groups": texts}
 
-        aligned = _Aligned(pair, made)
-        none = [(0,) * len(_NUMBERS) + ("",)]
+        known = _Known(pair, learned)
         for batch in batches:
             at, before = 0, [batch.column(c).to_numpy() for c in ("n_best", "count_sum")]
             for some in _texts(batch.column("text")):
-                texts = [pair.parts(t) if t else [] for t in some]
-                aligned.learn(texts)
-                rows = []
-                for parts in texts:
-                    found = list(map(aligned.__getitem__, parts))
-                    *numbers, groups = zip(*(found if found and all(found) else none))
-                    rows.append((*map(sum, numbers), ";".join(groups)))
-                aligned.forget_long()
-                columns = [list(c) for c in zip(*rows)]
+                if known.full():
+                    known.forget()
+                filled = np.array([bool(t) for t in some], bool)
+                numbers, lengths = known.learn([pair.parts(t) for t in some if t])
+                bad, starts = known.bad_texts(numbers, lengths), np.cumsum(lengths) - lengths
+                columns = []
+                for name in _NUMBERS:
+                    column = np.zeros(len(some), np.int64)
+                    if len(numbers):
+                        column[filled] = np.where(bad, 0, np.add.reduceat(known.columns[name][numbers], starts))
+                    columns.append(column)
                 for k in (0, 1):
-                    columns[4 + k] = np.array(columns[4 + k], np.int64) + before[k][at : at + len(some)]
-                arrays = [batch.column(0).slice(at, len(some)), batch.column(1).slice(at, len(some))]
-                arrays += [pa.array(c, pa.int64()) for c in columns[:6]] + [pa.array(columns[6], pa.string())]
-                yield pa.RecordBatch.from_arrays(arrays, schema=target)
+                    columns[4 + k] += before[k][at : at + len(some)]
+                texts = known.columns["groups"][numbers].tolist() if len(numbers) else []
+                groups = ["" if b else ";".join(texts[i : i + n]) for b, i, n in zip(bad.tolist(), starts.tolist(), lengths.tolist())]
+                whole = iter(groups)
+                arrays = [batch.column(0).slice(at, len(some)), batch.column(1).slice(at, len(some)), *[pa.array(c) for c in columns]]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array([next(whole) if f else "" for f in filled], pa.string())], schema=target)
                 at += len(some)
 
     return in_tasks(docs, run, docs.schema)

@@ -216,18 +216,31 @@ def test_alignment_odd_rows(spark, pair):
     assert alignment.align(empty(spark)).collect() == []
 
 
+def groups_of(pair, text, whole=False):
+    """Groups as text, None where the tokens do not make up the text."""
+    signs = [f"{i}{x}" for i in range(len(pair.a_bytes)) for x in ",|"] + [f"{i}{x}" for i in range(len(pair.b_bytes)) for x in ",;"]
+    found = pair.align([text] if whole else pair.parts(text))
+    return ";".join(found.texts(signs, 2 * len(pair.a_bytes))) if found.good.all() else None
+
+
 def test_parts_have_the_ids_of_whole_texts(pair):
-    for text in [*TEXTS, "x" + " " * 5000 + "y z", "\n" * 3000, "é" * 500 + " b"]:
-        (whole,) = pair.align([text])
-        parts = list(pair.align(pair.parts(text)))
-        assert (None if None in parts else [g for p in parts for g in p]) == whole
+    for text in [*TEXTS, "x" + " " * 5000 + "y z", "\n" * 3000, "é" * 500 + " b"]:
+        assert groups_of(pair, text) == groups_of(pair, text, whole=True)
+
+
+def test_ranks_give_the_ids_of_the_vocabulary(pair, spark):
+    assert pair.quick is not None
+    for text in [*TEXTS, *(r["text"] for r in documents(spark).select("text").collect() if r["text"])]:
+        for part in pair.parts(text):
+            assert pair.ids_a(" " + part) == pair.a.encode(" " + part, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["x" + " " * 1_000_000 + "y", "\n" * 1_000_000, "ab" * 500_000, "!" * 1_000_000])
 def test_very_long_parts(pair, text):
-    (groups,) = pair.align(pair.parts(text))
-    if groups is not None:
-        assert b"".join(pair.a_bytes[i] for a, _ in groups for i in a) == (" " + text).encode()
+    found = pair.align(pair.parts(text))
+    assert found.good.all() == (b"".join(pair.b_bytes[i] for i in pair.b.encode(text)) == (" " + text).encode())
+    if found.good.all():
+        assert b"".join(pair.a_bytes[i] for i in found.a) == (" " + text).encode() and found.n_links.sum() >= 1
 
 
 def test_perfect_hash():
