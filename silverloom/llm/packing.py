@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -24,13 +25,31 @@ WINDOW_TOKENS = 1 << 21
 PAD = 50256
 _CACHED = 300_000
 _BESIDE_SPACE = re.compile(r" \s|\s ")
+# Texts above this are encoded in parts: the tokenizer's search takes a stack as deep as a run is long.
+LONGEST_PART = 1 << 14
+# Places where the vocabulary's pattern always cuts: before white space, and between words and marks.
+_CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=[\p{L}\p{N}])(?=[^\s\p{L}\p{N}'])")
+
+
+def bounded_parts(text: str, most: int = LONGEST_PART) -> Iterator[str]:
+    """``text`` in parts of at most ``most`` characters, cut where the pattern cuts if there is such a place."""
+    begin = 0
+    while len(text) - begin > most:
+        cuts = [m.start() for m in _CUT.finditer(text, begin + most // 2, begin + most + 1) if m.start() <= begin + most]
+        end = cuts[-1] if cuts else begin + most
+        yield text[begin:end]
+        begin = end
+    yield text[begin:]
 
 
 class Tokenizer:
     """Ids of a text as little-endian bytes, 2 or 4 for an id.
 
     Single spaces between words are places where the vocabulary's pattern always cuts, so
-    words can be encoded one by one and kept; other texts are encoded whole.
+    words can be encoded one by one and kept; other texts are encoded whole, or if they are
+    long in parts that end where the pattern cuts. A run of one kind of character (blanks,
+    letters, marks) above ``LONGEST_PART`` is cut inside, so no text needs more memory or a
+    deeper stack; there alone ids can differ from those of the uncut run.
     """
 
     def __init__(self, ranks: bytes, pattern: str = PATTERN):
@@ -40,7 +59,9 @@ class Tokenizer:
         self.words = _Words(self)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), self.dtype).tobytes()
+        if len(text) <= LONGEST_PART:
+            return np.array(self.encoding.encode_ordinary(text), self.dtype).tobytes()
+        return b"".join(map(self.whole, bounded_parts(text)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:

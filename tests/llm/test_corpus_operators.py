@@ -261,6 +261,38 @@ def test_words_encode_as_in_the_text():
     assert made.encode(None) == made.encode("") == b""
 
 
+@pytest.mark.parametrize("kind", [" ", "\n", "a", "ab", "!", "1", "\u3000", "é ", "x\n"])
+def test_very_long_runs(kind):
+    with open(packing.TOKENIZER, "rb") as f:
+        made = packing.Tokenizer(f.read())
+    ids = lambda b: np.frombuffer(b, made.dtype).tolist()
+    for n in (1000, packing.LONGEST_PART - 10):
+        text = ("x" + kind * n)[: packing.LONGEST_PART - 1] + "y"
+        assert ids(made.encode(text)) == made.encoding.encode_ordinary(text)
+    text = "x" + kind * (1_000_000 // len(kind)) + "y"
+    assert made.encoding.decode(ids(made.encode(text))) == text
+
+
+def test_ten_million_blanks(spark):
+    for kind in (" ", "\n", "z"):
+        docs = spark.createDataFrame([(1, "x" + kind * 10_000_000 + "y"), (2, "plain")], "doc_id long, text string")
+        rows = packing.pack(docs).collect()
+        with open(packing.TOKENIZER, "rb") as f:
+            made = packing.Tokenizer(f.read())
+        parts = sorted((r["doc_ids"][i], r["doc_starts"][i], np.frombuffer(r["input_ids"], made.dtype)[a:b].tolist())
+                       for r in rows for i, (a, b) in enumerate(zip(r["cu_seqlens"], r["cu_seqlens"][1:])))
+        text = b"".join(made.encoding.decode_bytes(p[2]) for p in parts if p[0] == 1).decode()
+        assert text == "x" + kind * 10_000_000 + "y"
+
+
+def test_long_texts_have_the_ids_of_whole_texts(spark):
+    with open(packing.TOKENIZER, "rb") as f:
+        made = packing.Tokenizer(f.read())
+    for r in documents(spark).orderBy(F.length("text").desc()).limit(20).collect():
+        text = r["text"] + "\n" + r["text"].replace(" ", "\n \t") + "don't 12ab, c! 東京は" * 2000
+        assert np.frombuffer(made.encode(text), made.dtype).tolist() == made.encoding.encode_ordinary(text)
+
+
 def test_best_fit():
     rng = np.random.default_rng(9)
     for size in (1, 7, 10, 64):
