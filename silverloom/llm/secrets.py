@@ -43,14 +43,16 @@ ENCODINGS = (
 
 def normal_tail(z: Column) -> Column:
     """P(Z > z) of a standard normal variable, by a rational form of erfc (relative error about 1e-7)."""
-    x = F.abs(z) / F.sqrt(F.lit(2.0))
-    t = 1 / (1 + x / 2)
-    # Published coefficients, highest power first.
-    series = F.lit(0.17087277)
-    for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
-        series = series * t + c
-    half = t * F.exp(series - x * x) / 2
-    return F.when(z >= 0, half).otherwise(1 - half)
+
+    def half(x: Column, t: Column) -> Column:
+        # Published coefficients, highest power first.
+        series = F.lit(0.17087277)
+        for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
+            series = series * t + c
+        return t * F.exp(series - x * x) / 2
+
+    upper = let(F.abs(z) / F.sqrt(F.lit(2.0)), lambda x: let(1 / (1 + x / 2), lambda t: half(x, t)))
+    return let(upper, lambda u: F.when(z >= 0, u).otherwise(1 - u))
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -116,34 +118,44 @@ def battery(body: Column) -> Column:
         )
         middle = (kinds + 1) / 2
 
-        def of(values: Column, chi: Column) -> Column:
+        def scores(sums: Column, chi: Column, first: Column, last: Column) -> Column:
+            """z of the three tests from sums over the token's symbols."""
             free = kinds - 1
             z_chi = (F.pow(chi / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
-            high = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v > middle).cast("double"))
-            low = n - high
-            runs = F.aggregate(
-                F.transform(values, lambda v, i: F.when((i > 0) & ((v > middle) != (values[F.greatest(i - 1, F.lit(0))] > middle)), 1.0).otherwise(0.0)),
-                F.lit(1.0),
-                lambda a, x: a + x,
-            )
+            high, low = sums["high"], n - sums["high"]
             mean = 2 * high * low / n + 1
             spread = (mean - 1) * (mean - 2) / (n - 1)
-            z_runs = F.when(spread > 0, (runs - mean) / F.sqrt(spread)).otherwise(F.lit(-40.0))
-            centre = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / n
-            power = F.aggregate(values, F.lit(0.0), lambda a, v: a + (v - centre) * (v - centre))
-            lagged = F.aggregate(
-                F.transform(values, lambda v, i: F.when(i > 0, (v - centre) * (values[F.greatest(i - 1, F.lit(0))] - centre)).otherwise(0.0)),
-                F.lit(0.0),
-                lambda a, x: a + x,
-            )
-            z_serial = F.when(power > 0, (lagged / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0))
-            least = F.least(normal_tail(z_chi), 2 * normal_tail(F.abs(z_runs)), 2 * normal_tail(F.abs(z_serial)))
+            z_runs = F.when(spread > 0, (sums["changes"] + 1 - mean) / F.sqrt(spread)).otherwise(F.lit(-40.0))
+            centre = sums["values"] / n
+            power = sums["squares"] - n * centre * centre
+            # The products of centred neighbours, multiplied out.
+            lagged = sums["products"] - centre * (2 * sums["values"] - first - last) + (n - 1) * centre * centre
+            z_serial = F.when(sums["mixed"], (lagged / power + 1 / n) * F.sqrt(n)).otherwise(F.lit(40.0))
             shift = (n - 1) * (kinds * agree - 1)
             z_plain = (chi - free - shift) / F.sqrt(2 * (free + 2 * shift))
-            return F.struct((1 - F.pow(1 - F.least(least, F.lit(1.0)), F.lit(3.0))).alias("p_random"), normal_tail(-z_plain).alias("p_plain"))
+            return F.struct(z_chi.alias("chi"), F.abs(z_runs).alias("runs"), F.abs(z_serial).alias("serial"), (-z_plain).alias("plain"))
+
+        def judged(z: Column) -> Column:
+            least = F.least(normal_tail(z["chi"]), 2 * normal_tail(z["runs"]), 2 * normal_tail(z["serial"]), F.lit(1.0))
+            return F.struct((1 - F.pow(1 - least, F.lit(3.0))).alias("p_random"), normal_tail(z["plain"]).alias("p_plain"))
+
+        def of(values: Column) -> Column:
+            """All sums in one pass over the values."""
+            start = F.struct(*[F.lit(0.0).alias(c) for c in ("values", "squares", "products", "high", "changes", "before")], F.lit(False).alias("mixed"))
+
+            def step(a: Column, v: Column) -> Column:
+                changed = (a["before"] > 0) & ((v > middle) != (a["before"] > middle))
+                return F.struct(
+                    (a["values"] + v).alias("values"), (a["squares"] + v * v).alias("squares"), (a["products"] + v * a["before"]).alias("products"),
+                    (a["high"] + (v > middle).cast("double")).alias("high"), (a["changes"] + changed.cast("double")).alias("changes"), v.alias("before"),
+                    (a["mixed"] | ((a["before"] > 0) & (v != a["before"]))).alias("mixed"),
+                )
+
+            sums = F.aggregate(values, start, step)
+            chi = squares * kinds / n - n
+            return let(sums, lambda s: let(let(chi, lambda c: scores(s, c, values[0], s["before"])), judged))
 
-        values = F.transform(F.split(body, ""), lambda c: F.position(c, symbols).cast("double"))
-        return let(values, lambda v: let(squares * kinds / n - n, lambda chi: of(v, chi)))
+        return let(F.transform(F.split(body, ""), lambda c: F.position(c, symbols).cast("double")), of)
 
     symbols, agree = _alphabet(body)
     return let(F.struct(symbols.alias("s"), agree.alias("a")), lambda e: tests(e["s"], e["a"]))
