@@ -7,16 +7,18 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .common import in_tasks
+from .common import in_tasks, stored
 from .registry import query
 
 ERROR_RATE = 0.06
 PIECE_CHARS = 16
 BLOCK_CHARS = 1 << 20
+STAGE_BLOCKS = 4
 SHINGLE_WORDS = 5
 KEPT_SHINGLES = 0.8
 
@@ -88,7 +90,7 @@ class Matcher:
         places: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             text = plain(text)
-            if len(text) < piece_chars and " " not in text:
+            if not text:
                 continue
             whole = len(self.items)
             parts = [x for x in cores(text) if len(x) >= piece_chars]
@@ -112,23 +114,32 @@ class Matcher:
             return []
         text = plain(text)
         best: dict[int, tuple[int, int]] = {}
-        tried: dict[int, set[int]] = {}
+        # Where the item would lie if the piece is in place; overlapping ones become one range.
+        ranges: dict[int, list[list[int]]] = {}
         for last, (length, places) in self.machine.iter(text):
             for k, start in places:
                 _, item, errors, _, short = self.items[k]
-                if k in best and best[k][0] == 0:
-                    continue
                 begin = last - length + 1 - start
-                diagonals = tried.setdefault(k, set())
-                if begin in diagonals:
-                    continue
-                diagonals.add(begin)
-                if short and (text[begin - 1 : begin].isalnum() or text[last + 1 : last + 2].isalnum()):
+                if not errors:
+                    apart = not short or not (text[begin - 1 : begin].isalnum() or text[last + 1 : last + 2].isalnum())
+                    if apart and k not in best:
+                        best[k] = 0, begin + len(item)
                     continue
-                low = max(0, begin - errors)
-                near, end = distance(item, text[low : begin + len(item) + errors])
+                low, high = max(0, begin - errors), begin + len(item) + errors
+                mine = ranges.setdefault(k, [])
+                # Pieces of later places come later, but begin earlier: the new range may meet several.
+                while mine and low <= mine[-1][1] and mine[-1][0] <= high:
+                    before = mine.pop()
+                    low, high = min(low, before[0]), max(high, before[1])
+                mine.append([low, high])
+        for k, some in ranges.items():
+            _, item, errors, _, _ = self.items[k]
+            for low, high in some:
+                near, end = distance(item, text[low:high])
                 if near <= errors and (k not in best or (near, low + end) < best[k]):
                     best[k] = near, low + end
+                if near == 0:
+                    break
         found: dict[int, tuple[int, int]] = {k: v for k, v in best.items() if self.items[k][3] == k}
         partly: dict[int, tuple[int, int]] = {}
         for k, (_, end) in best.items():
@@ -146,13 +157,15 @@ def mark(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, piece_
 
     An item is found where some part of the text is within its budget of edits. The
     benchmark is the stated query set: it is broadcast in blocks of about ``block_chars``
-    characters, one pass over the rows for each, all in one stage. An item of which only the
+    characters, one pass over the rows for each. ``STAGE_BLOCKS`` passes share a stage; then
+    the rows are stored and these blocks are let go, so neither the driver nor an executor
+    ever holds more. An item of which only the
     beginning or the end is found is matched if that keeps 80 % of its runs of five words
     (``cores``); its distance then exceeds the budget. Items shorter than ``piece_chars``
-    characters (white space folded) are found exactly, between characters that are no
-    letters or digits; of these, single words are too common to mean anything and are not
-    searched, as null and empty items. Null and empty texts match nothing. A column named
-    ``matches`` is replaced; other columns and repeated rows stay.
+    characters (white space folded), also single words, are found exactly, between
+    characters that are no letters or digits. Null and empty items are not searched. Null
+    and empty texts match nothing. A column named ``matches`` is replaced; other columns and
+    repeated rows stay.
     """
     items = benchmark.select("item_id", "text").where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -160,14 +173,20 @@ def mark(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, piece_
     kind = benchmark.schema["item_id"].dataType
     match = StructType([StructField("item_id", kind), StructField("distance", IntegerType()), StructField("end", LongType())])
     marked = docs.drop("matches").withColumn("matches", F.array().cast(ArrayType(match)))
+    held = []
     for block in range(blocks):
+        if len(held) == STAGE_BLOCKS:
+            marked = stored(marked, "marked")
+            for shared in held:
+                shared.destroy()
+            held = []
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        marked = _mark_block(marked, sorted(((r[0], r[1]) for r in mine.collect()), key=repr), rate, piece_chars)
+        held.append(docs.sparkSession.sparkContext.broadcast(sorted(((r[0], r[1]) for r in mine.collect()), key=repr)))
+        marked = _mark_block(marked, held[-1], rate, piece_chars)
     return marked
 
 
-def _mark_block(docs: DataFrame, items: list, rate: float, piece_chars: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _mark_block(docs: DataFrame, shared: Broadcast, rate: float, piece_chars: int) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
