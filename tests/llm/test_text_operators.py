@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -84,6 +85,15 @@ def plain_battery(body):
     return 1 - (1 - min(least, 1)) ** 3, tail(-(chi - free - shift) / (2 * (free + 2 * shift)) ** 0.5)
 
 
+def test_one_very_long_token(spark):
+    token = "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"), 1_000_000))
+    docs = spark.createDataFrame([(1, f"data {token} end"), (2, "xy" * 500_000)], "doc_id long, text string")
+    started = time.perf_counter()
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secrets.find_secrets(docs).collect()}
+    assert found == {1: [(5, 3, 1_000_005)], 2: []}
+    assert time.perf_counter() - started < 60
+
+
 def test_random_tokens(spark):
     rng = np.random.default_rng(1)
     letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
@@ -173,12 +183,57 @@ def test_decontaminate_short_items():
     assert [m[0] for m in matcher.find("short items and a short item")] == [1]
 
 
+def test_decontaminate_single_words():
+    matcher = decontaminate.Matcher([(1, "otorhinolaryngo"), (2, "Ab")], decontaminate.ERROR_RATE, decontaminate.PIECE_CHARS)
+    assert matcher.find("the word is otorhinolaryngo here") == [(1, 0, 27)]
+    assert matcher.find("otorhinolaryngology, abc") == [] and [m[0] for m in matcher.find("(ab)")] == [2]
+
+
+def test_decontaminate_repeated_piece():
+    """One verification for a range, however often a piece is found in it."""
+    item = "sixteen letters " * 20
+    matcher = decontaminate.Matcher([(1, item)], decontaminate.ERROR_RATE, decontaminate.PIECE_CHARS)
+    started = time.perf_counter()
+    assert matcher.find("zz " + "sixteen letters " * 2000)[0][:2] == (1, 0)
+    assert matcher.find("zz " + "sixteen letters, " * 1300) == []
+    assert time.perf_counter() - started < 5
+
+
+def test_decontaminate_ranges():
+    """Ranges of pieces found out of order give the nearest place, as all places tried one by one do."""
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        words = [f"{x:05d}" for x in rng.integers(0, 30, 40)]
+        item = " ".join(words)
+        errors = decontaminate.budget(len(item))
+        text = []
+        for _ in range(4):
+            copy = list(item)
+            for at in rng.integers(0, len(copy), rng.integers(0, errors + 4)):
+                copy[at] = "#"
+            text += ["".join(copy), " ".join(f"{x:05d}" for x in rng.integers(0, 30, 10))]
+        text = decontaminate.plain(" ".join(text))
+        near, end = table_distance(item, text)
+        found = {m[0]: m for m in decontaminate.Matcher([(1, item)], decontaminate.ERROR_RATE, decontaminate.PIECE_CHARS).find(text)}
+        if near <= errors:
+            assert found[1] == (1, near, end)
+
+
+def test_decontaminate_blocks(spark, monkeypatch):
+    """A benchmark of many blocks gives the matches of one block; blocks are let go after each stage."""
+    monkeypatch.setattr(decontaminate, "STAGE_BLOCKS", 2)
+    bench = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    key = lambda df: sorted((r["doc_id"], *m) for r in df.collect() for m in r["matches"])
+    docs = documents(spark).select("doc_id", "text")
+    assert key(decontaminate.mark(docs, bench, block_chars=6000)) == key(decontaminate.mark(docs, bench))
+
+
 def test_decontaminate_odd(spark):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog and"), (1, None), (None, "short"), (2, "")], "item_id long, text string")
     got = decontaminate.mark(odd(spark), bench)
     assert got.count() == len(ROWS) and got.columns.count("matches") == 1
-    assert sorted((r["doc_id"] or 0 for r in got.where(F.size("matches") > 0).collect())) == [0, 1, 1, 2]
-    assert decontaminate.keep_clean(odd(spark), bench).count() == len(ROWS) - 4
+    assert sorted((r["doc_id"] or 0 for r in got.where(F.size("matches") > 0).collect())) == [0, 1, 1, 2, 8]  # 8 has the word
+    assert decontaminate.keep_clean(odd(spark), bench).count() == len(ROWS) - 5
     assert decontaminate.mark(empty(spark), bench).count() == 0
     assert decontaminate.keep_clean(odd(spark), bench.limit(0)).count() == len(ROWS)
 
@@ -188,12 +243,12 @@ def test_decontaminate_odd(spark):
 
 def kept_lines(rows, min_docs=5):
     key = lambda s: s.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
-    docs, last = Counter(), {}
+    holders = defaultdict(set)
     for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
-            if len(k) >= 40:
-                docs[k] += 1
-                last[k] = i if last.get(k) is None else last[k] if i is None else max(i, last[k])
+            if len(k) >= 40 and i is not None:
+                holders[k].add(i)
+    docs, last = Counter({k: len(v) for k, v in holders.items()}), {k: max(v) for k, v in holders.items()}
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -205,23 +260,42 @@ def kept_lines(rows, min_docs=5):
 def test_line_dedup_shared_id(spark, monkeypatch):
     """Rows that share a doc_id, or have none, carry the lines that they lose themselves, not those of all."""
     pair = lambda k: (f"a line number {k} that two rows hold", f"another line {k} of the same two rows")
-    rows = [(i, "\n".join([*pair(k), f"and one of its own {k} {i}"])) for k in range(60) for i in (None if k % 2 else 1, 1000 + k)]
+    rows = [(i, "\n".join([*pair(k), f"and one of its own {k} {i}"])) for k in range(60) for i in (None if k % 2 else 1, 1000 + k, 2000 + k)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     carried = []
     plain = line_dedup.in_tasks
     monkeypatch.setattr(line_dedup, "in_tasks", lambda df, run, schema: (carried.append(df), plain(df, run, schema))[1])
     got = line_dedup.dedup_lines(docs, min_docs=2, min_chars=5).collect()
-    joined = carried[-1]
+    joined = next(df for df in carried if df.columns[-1] == "__lost")
     assert joined.columns[-1] == "__lost" and joined.agg(F.max(F.size("__lost"))).first()[0] == 2
     for r in got:
         lines = r["text"].split("\n")
-        assert r["kept_text"] == ("\n".join(lines) if (r["doc_id"] or 0) >= 1000 else lines[2])
+        assert r["kept_text"] == ("\n".join(lines) if (r["doc_id"] or 0) >= 2000 else lines[2])
+
+
+def test_line_dedup_repeated_ids_as_sql(spark, tmp_path):
+    """One id in several rows is one document, here and in the SQL; so is a missing one none."""
+    import duckdb
+
+    line = "one and the same line of forty characters or more"
+    rows = [(1, line)] * 3 + [(2, line)] * 2 + [(i, line + " again") for i in (1, 2, 3, 4, 5, 5)] + [(None, line + " again"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in line_dedup.dedup_lines(docs).groupBy("doc_id").agg(F.sum("n_dropped").alias("n")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 0, None: 1, 9: 0}
+    con = duckdb.connect()
+    docs.write.parquet(str(tmp_path / "d"))
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/d/*.parquet')")
+    assert {r[0]: r[2] for r in con.execute(ORACLES["op3_line_dedup"]).fetchall()} == got
+
+
+def test_filter_rounds():
+    assert line_dedup.filter_bits(0) == (1 << 20, 1) and line_dedup.filter_bits(1 << 24) == (1 << 28, 8)
 
 
-@pytest.mark.parametrize("bits", [1 << 20, 1 << 6])
-def test_line_dedup(spark, monkeypatch, bits):
-    """Also with filters so full that every line is suspected."""
-    monkeypatch.setattr(line_dedup, "filter_bits", lambda rows: bits)
+@pytest.mark.parametrize("bits, rounds", [(1 << 20, 1), (1 << 6, 1), (1 << 12, 3)])
+def test_line_dedup(spark, monkeypatch, bits, rounds):
+    """Also with filters so full that every line is suspected, and in several rounds."""
+    monkeypatch.setattr(line_dedup, "filter_bits", lambda rows: (bits, rounds))
     line = "  The Same Line That Many Documents Hold, É forty characters.\r"
     extra = [(100 + i, f"{line}\nown line of document {i} that nobody else has at all, long\n{line.upper()}") for i in range(7)]
     for docs in (documents(spark), odd(spark)):
