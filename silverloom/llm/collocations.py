@@ -20,10 +20,10 @@ DEPTH = 4  # words of the longest phrase
 LEAST = 30  # occurrences of a phrase
 COVERED = 80  # per cent of its occurrences that a longer phrase has, to drop it
 TOP = 2000
-GROUP_SUFFIXES = 1 << 21
-_SHARE = 8  # a prefix with more than this part of a group's suffixes is made longer
-_HELD_SUFFIXES, _HELD_WORDS = 1 << 21, 1 << 19
-_ID_BITS = 21  # _HELD_SUFFIXES words at most are numbered at a time
+GROUP_SUFFIXES = 1 << 20
+_SHARE = 2  # a prefix with more than this part of a group's suffixes is made longer
+_HELD_SUFFIXES, _HELD_WORDS = 1 << 20, 1 << 19
+_ID_BITS = 21  # bits of a word's number
 _CHUNK_CHARS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -180,7 +180,7 @@ def suffixes(texts: DataFrame, heavy: list[dict[str, list[str]]], groups: int) -
             dealt = np.where(level > j, (dealt ^ hashes[columns[j]]) * _MIX, dealt)
         part = (dealt >> np.uint64(33)) % np.uint64(groups)
         first, rest = (columns[j] << np.uint64(_ID_BITS) | columns[j + 1] for j in (0, 2))
-        order = np.lexsort((rest, first, part))
+        order = np.lexsort((rest, first | part << np.uint64(2 * _ID_BITS)) if groups < 1 << 22 else (rest, first, part))
         first, rest, level, part = first[order], rest[order], level[order], part[order]
         if not len(first):
             return
@@ -219,20 +219,23 @@ def _subtrees(least: int):
             totals.append(counts)
             levels.append(np.frombuffer(zstandard.decompress(level), np.uint8))
         leaves, totals, levels = np.concatenate(parts, axis=1), np.concatenate(totals).astype(np.int64), np.concatenate(levels)
-        order = np.lexsort(leaves[::-1])
-        leaves, totals, levels = leaves[:, order], totals[order], levels[order]
         listed = list(number)
         found: list[tuple[str, str, int]] = []
+        # From the root down: leaves below a node with too few occurrences go with it.
+        node = leaves[0].astype(np.int64)
         for d in range(2, DEPTH + 1):
-            inside = np.flatnonzero((leaves[d - 1] > 0) & (levels <= d))
-            if not len(inside):
-                continue
-            nodes = leaves[:d, inside]
-            begins = np.flatnonzero(np.concatenate([[True], (nodes[:, 1:] != nodes[:, :-1]).any(axis=0)]))
-            sums = np.add.reduceat(totals[inside], begins)
+            inside = leaves[d - 1] > 0
+            leaves, totals, levels, node = leaves[:, inside], totals[inside], levels[inside], node[inside]
+            _, first, node = np.unique(node << 32 | leaves[d - 1], return_index=True, return_inverse=True)
+            path = leaves[:d, first]
+            whole = levels <= d
+            sums = np.bincount(node, weights=np.where(whole, totals, 0), minlength=len(first)).astype(np.int64)  # exact below 2^53
             for i in np.flatnonzero(sums >= least).tolist():
-                path = [listed[w - 1] for w in nodes[:, begins[i]].tolist()]
-                found.append((path[0][0], b" ".join(w for _, w in path).decode(), int(sums[i])))
+                words = [listed[w - 1] for w in path[:, i].tolist()]
+                found.append((words[0][0], b" ".join(w for _, w in words).decode(), int(sums[i])))
+            # Where the prefix that dealt a leaf is longer than this node, other groups have part of the node.
+            stay = (sums[node] >= least) | ~whole
+            leaves, totals, levels, node = leaves[:, stay], totals[stay], levels[stay], node[stay]
         lang, phrase, f = zip(*found) if found else ((), (), ())
         return pa.table({"lang": pa.array(lang, pa.string()), "phrase": pa.array(phrase, pa.string()), "f": pa.array(f, pa.int64())})
 
