@@ -1,25 +1,25 @@
 """Row numbers, neighbours and counts within groups that may be very large.
 
 A window function sorts a whole group in one task. That is right for ordinary groups, but
-not for one that holds a third of all rows, nor for a whole table without groups. Here
-groups are cut into chunks of their order. The cuts are rows that a hash of the row picks,
-about one in ``SPACING``, so a small group has none and is one chunk, and a large one has
-many. A window numbers the rows of each chunk; the sizes and ends of the chunks, a row
-for each, carry numbers and neighbours over the cuts. It is one lazy plan for groups of
-every size.
+not for one that holds a third of all rows, nor for a whole table without groups. Here all
+rows lie in one order, by group and within it, which marks cut into ranges: rows that a
+hash picks, about one in ``SPACING``. Most groups have no mark and lie in one range; a
+large group is cut into many chunks. A window numbers the rows of each chunk. Only groups
+that a mark cuts carry anything from chunk to chunk: a row for each of their chunks, at most
+two for a mark, is broadcast. It is one lazy plan for groups of every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPACING = 10_000
-MARKS = 4096  # most cuts of a group
+SPACING = 100_000
+MARKS = 4096  # most marks of a table
 _STEP = 64  # every so many marks is looked at first
-_PLACE, _CHUNK, _MARKS, _STEPS = "_sl_place", "_sl_chunk", "_sl_marks", "_sl_steps"
+_PLACE, _CHUNK, _CUT = "_sl_place", "_sl_chunk", "_sl_cut"
 
 
 def null_safe(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -48,27 +48,47 @@ def with_group_count(df: DataFrame, group: list[str], name: str) -> DataFrame:
     return df.join(keyed, on, "inner").select(*df.columns, name)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _placed(columns: list[str], prefix: str) -> list[Column]:
+    """Columns as parts of a place: in ascending order, nulls last."""
+    parts = [F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")) for c in columns]
+    return [p.alias(f"{prefix}{i}") for i, p in enumerate(parts)]
+
+
 def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
-    """Add ``_CHUNK``, the number of its group's marks up to the row, and ``_MARKS`` (null where there is none)."""
-    draw = F.xxhash64(*group, _PLACE)
-    drawn = rows.select(*group, _PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
-    marks = F.sort_array(F.collect_list(_PLACE)).alias(_MARKS)
-    if group:
-        # The first by hash are a fair sample; the limit is applied in every task before the shuffle.
-        first = Window.partitionBy(*group).orderBy("_draw")
-        drawn = drawn.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= MARKS)
-        found = drawn.groupBy(*group).agg(marks)
-        keyed, on = _renamed(found, group)
-        marked = rows.join(keyed, on, "left").select(*rows.columns, _MARKS)
-    else:
-        first = drawn.orderBy("_draw").limit(MARKS)
-        marked = rows.withColumn(_MARKS, F.nullif(first.agg(marks).scalar(), F.array().cast(first.agg(marks).schema[0].dataType)))
-    marked = marked.withColumn(_STEPS, F.filter(_MARKS, lambda m, i: i % _STEP == 0))
-    steps = F.size(F.filter(_STEPS, lambda m: m <= F.col(_PLACE)))
-    start = (steps - 1) * _STEP
-    near = F.size(F.filter(F.slice(_MARKS, F.greatest(start, F.lit(0)) + 1, F.lit(_STEP)), lambda m: m <= F.col(_PLACE)))
-    chunk = F.when(F.col(_MARKS).isNull() | (steps <= 0), 0).otherwise(start + near)
-    return marked.withColumn(_CHUNK, chunk).drop(_STEPS)
+    """Add ``_CHUNK``, the number of marks up to the row's place, and ``_CUT``: a mark lies in the row's group."""
+    draw = F.xxhash64(_PLACE)
+    drawn = rows.select(_PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
+    # The first by hash are a fair sample of all that were drawn.
+    first = drawn.orderBy("_draw").limit(MARKS).agg(F.sort_array(F.collect_list(_PLACE)).alias("all"))
+    marks = first.select(F.struct("all", F.filter("all", lambda m, i: i % _STEP == 0).alias("steps"))).scalar()
+
+    def up_to(some: Column) -> Column:
+        return F.size(F.filter(some, lambda m: m <= F.col(_PLACE)))
+
+    def cut(every: Column, chunk: Column) -> Column:
+        if not group:
+            return F.size(every) > 0
+        either = F.lit(False)
+        for near in (chunk - 1, chunk):
+            mark, same = F.get(every, near), F.lit(True)
+            for i in range(len(group)):
+                same = same & mark[f"g{i}"].eqNullSafe(F.col(_PLACE)[f"g{i}"])
+            either = either | same
+        return either
+
+    def found(m: Column) -> Column:
+        start = (F.greatest(up_to(m["steps"]), F.lit(1)) - 1) * _STEP
+        chunk = _let(start, lambda s: s + up_to(F.slice(m["all"], s + 1, F.lit(_STEP))))
+        return _let(chunk, lambda c: F.struct(c.alias("chunk"), cut(m["all"], c).alias("cut")))
+
+    # The marks are one value for all rows, used once: Spark looks at it in place, and no row carries it.
+    judged = rows.withColumn("_sl_marks", marks).withColumn("_sl_found", _let(F.col("_sl_marks"), found)).drop("_sl_marks")
+    return judged.withColumns({_CHUNK: F.col("_sl_found.chunk"), _CUT: F.col("_sl_found.cut")}).drop("_sl_found")
 
 
 def in_order(
@@ -79,44 +99,54 @@ def in_order(
     before: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
     spacing: int = SPACING,
+    total: str | None = None,
+    ties: bool = True,
 ) -> DataFrame:
-    """Add a row number and values of the row before or after, per group, by ascending ``order``, nulls last.
+    """Add a row number, values of the row before or after, and the number of rows, per group, by ascending ``order``, nulls last.
 
-    Same result as ``row_number``, ``lag`` and ``lead`` over a window; ``group`` may be
-    empty. Rows that tie on the order follow a hash of the row.
+    Same result as ``row_number``, ``lag``, ``lead`` and ``count`` over a window; ``group``
+    may be empty. Rows that tie on the order follow a hash of the row. Where the order tells
+    rows apart, ``ties=False`` spares the hash, so that marks are drawn from a scan of the
+    group and order columns alone.
     """
     before, after = dict(before or {}), dict(after or {})
-    names = [n for n in (number, *before, *after) if n]
+    names = [n for n in (number, total, *before, *after) if n]
     spread = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
-    place = F.struct(*[F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")).alias(f"o{i}") for i, c in enumerate(order)], spread.alias("tie"))
+    place = F.struct(*_placed(group, "g"), *_placed(order, "o"), *([spread.alias("tie")] if ties else []))
     earlier = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in before.items()])
     later = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in after.items()])
     rows = df.withColumns({_PLACE: place, "_sl_earlier": earlier, "_sl_later": later})
     rows = _with_chunks(rows, group, spacing)
 
-    ends = rows.where(F.col(_MARKS).isNotNull()).groupBy(*group, _CHUNK).agg(
+    ends = rows.where(_CUT).groupBy(*group, _CHUNK).agg(
         F.count(F.lit(1)).alias("_n"), F.max_by("_sl_earlier", _PLACE).alias("_last"), F.min_by("_sl_later", _PLACE).alias("_first")
     )
-    chunks = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_CHUNK)
+    parts = Window.partitionBy(*(group or [F.lit(0)]))
+    chunks = parts.orderBy(_CHUNK)
     carried = ends.select(
         *group,
-        _CHUNK,
+        F.col(_CHUNK).alias("_sl_at"),
         F.coalesce(F.sum("_n").over(chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(parts).alias("_all"),
         F.lag("_last").over(chunks).alias("_carried_earlier"),
         F.lead("_first").over(chunks).alias("_carried_later"),
     )
-    inside = Window.partitionBy(*group, _CHUNK).orderBy(_PLACE)
+    whole = Window.partitionBy(*group, _CHUNK)
+    inside = whole.orderBy(_PLACE)
     placed = rows.withColumns(
         {
-            "_sl_number": F.row_number().over(inside).cast("bigint"),
-            "_sl_earlier": F.lag("_sl_earlier").over(inside),
-            "_sl_later": F.lead("_sl_later").over(inside),
+            **({"_sl_number": F.row_number().over(inside).cast("bigint")} if number else {}),
+            **({"_sl_total": F.count(F.lit(1)).over(whole)} if total else {}),
+            **({"_sl_earlier": F.lag("_sl_earlier").over(inside)} if before else {}),
+            **({"_sl_later": F.lead("_sl_later").over(inside)} if after else {}),
         }
     )
-    keyed, on = _renamed(carried.withColumnRenamed(_CHUNK, "_sl_at"), group)
-    joined = placed.join(keyed, on & (F.col(_CHUNK) == F.col("_sl_at")), "left")
+    keyed, on = _renamed(carried, group)
+    # At most two rows for a mark.
+    joined = placed.join(F.broadcast(keyed), on & (F.col(_CHUNK) == F.col("_sl_at")), "left")
     previous, following = F.coalesce("_sl_earlier", "_carried_earlier"), F.coalesce("_sl_later", "_carried_later")
     columns = [(F.col("_sl_number") + F.coalesce("_before", F.lit(0))).alias(number)] if number else []
+    columns += [F.coalesce("_all", "_sl_total").alias(total)] if total else []
     columns += [previous[n].alias(n) for n in before] + [following[n].alias(n) for n in after]
     return joined.select(*df.columns, *columns).select(*df.columns, *names)
 

@@ -108,6 +108,61 @@ def src_06_headers(t):
     return csv.read_csv(t.spark, path)
 
 
+@query(
+    "src_06_csv_split",
+    """
+    select o_orderkey::varchar as o_orderkey, 'from ' || o_orderstatus || case when o_orderkey % 5 = 0 then chr(10) || '"next", line' || chr(10) else '' end as note,
+           nullif(o_orderpriority, '5-LOW') as o_orderpriority
+    from orders
+    """,
+)
+def src_06_split(t):
+    """One large file with line breaks and quotes inside quotes, read by as many tasks as it has splits."""
+    path = scratch_dir(t.spark, "csv")
+    broken = F.when(F.col("o_orderkey") % 5 == 0, '\n"next", line\n').otherwise("")
+    note = F.concat(F.lit("from "), "o_orderstatus", broken)
+    rows = t.orders.select("o_orderkey", note.alias("note"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).otherwise("n/a").alias("o_orderpriority"))
+    rows.coalesce(1).write.option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+    return csv.read_csv(t.spark, path, split_bytes=1 << 16)
+
+
+@query(
+    "snk_06_csv_stream",
+    """
+    select o_orderkey::varchar as o_orderkey, o_orderstatus || chr(10) || 'second line' as note from orders where o_orderkey % 7 <> 0
+    """,
+)
+def snk_06_csv(t):
+    """A folder of CSV files as a stream: lines with a field too many are left out in the stream, the rest is upserted."""
+    path = scratch_dir(t.spark, "csv")
+    note = F.concat(F.lit('"'), "o_orderstatus", F.lit('\nsecond line"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), note, F.when(F.col("o_orderkey") % 7 == 0, "one too many"))
+    header = "o_orderkey,note"
+    t.orders.select(line.alias(header)).repartition(3).write.options(header="true", quote="\u0000", escapeQuotes="false", sep="\u0001").csv(path)
+    wh = _warehouse(t, "stream")
+    rows = csv.stream_csv(t.spark, path, files_per_trigger=2)
+    stream_upsert(wh, rows, "orders", ["o_orderkey"], "orders", scratch_dir(t.spark, "progress")).awaitTermination()
+    return wh.table("orders")
+
+
+@query(
+    "snk_06_document_stream",
+    """
+    select event_id::varchar as "_es_id", ts as "Date", event_type as "action.kind" from events where ts >= timestamp '2024-01-15'
+    """,
+)
+def snk_06_documents(t):
+    """Document dumps as a stream, from a day on."""
+    path = scratch_dir(t.spark, "documents")
+    source = F.struct(F.col("ts").alias("Date"), F.struct(F.col("event_type").alias("kind")).alias("action"))
+    t.events.select(F.col("event_id").cast("string").alias("_id"), source.alias("_source")).repartition(3).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    shape = "Date timestamp_ntz, action struct<kind: string>"
+    rows = documents.stream_documents(t.spark, path, shape, "Date", "2024-01-15", files_per_trigger=2)
+    wh = _warehouse(t, "stream")
+    stream_upsert(wh, rows, "documents", ["_es_id"], "documents", scratch_dir(t.spark, "progress")).awaitTermination()
+    return wh.table("documents")
+
+
 @query(
     "src_07_document_scan",
     """

@@ -218,7 +218,7 @@ def pat_11(t):
 )
 def pat_12(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return in_order(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], number="version_no").drop("o_orderdate")
+    return in_order(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], number="version_no", ties=False).drop("o_orderdate")
 
 
 @query(

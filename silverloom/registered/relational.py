@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedupe import deduplicate, mutual_best
 from ..operators.lists import list_to_names
-from ..operators.ordered import in_order, with_group_count
+from ..operators.ordered import in_order
 from ..operators.reshape import unpivot
 from ..quality import checks
 from .base import query
@@ -219,8 +219,9 @@ def rel_13(t):
         number="order_no",
         before={"previous_date": F.col("o_orderdate")},
         after={"next_price": F.col("o_totalprice")},
+        total="n_orders",
+        ties=False,
     )
-    rows = with_group_count(rows, ["o_custkey"], "n_orders")
     return rows.select("o_orderkey", "o_custkey", "order_no", "n_orders", "previous_date", "next_price")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def _place(spark: SparkSession, path: str):
@@ -13,6 +14,12 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def plain_path(path: Column) -> Column:
+    """``_metadata.file_path`` as ``data_files`` writes it: not encoded, one slash after the scheme."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     place, fs = _place(spark, path)
     return fs.exists(place)
@@ -20,11 +27,15 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """Files of a folder (not of folders in it), or that match a pattern, as Spark would read them."""
+    return sorted(file_sizes(spark, path))
+
+
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Those files with their bytes."""
     place, fs = _place(spark, path)
     found = [s for s in fs.globStatus(place) or []]
     listed = [f for s in found for f in (fs.listStatus(s.getPath()) if s.isDirectory() else [s])]
-    paths = [f.getPath() for f in listed if not f.isDirectory()]
-    return sorted(p.toString() for p in paths if p.getName()[0] not in "_.")
+    return {f.getPath().toString(): f.getLen() for f in listed if not f.isDirectory() and f.getPath().getName()[0] not in "_."}
 
 
 def delete(spark: SparkSession, path: str) -> None:

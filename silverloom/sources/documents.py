@@ -41,17 +41,35 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     )
 
 
-def read_documents(
-    spark: SparkSession, path: str, source_schema: str, date_field: str | None = None, date_from: str | None = None
-) -> DataFrame:
-    """Flat documents from ``date_from`` on, with their id as ``_es_id``."""
-    dump = spark.read.schema(f"_id string, _source struct<{source_schema}>").json(path)
+def _documents(dump: DataFrame, date_field: str | None, date_from: str | None) -> DataFrame:
     if date_from:
         moment = F.col(f"_source.{date_field or 'Date'}")
         dump = dump.where(moment >= F.lit(date_from).cast(dump.select(moment).schema[0].dataType))
     return flatten(dump.select("_source.*", F.col("_id").alias("_es_id")))
 
 
+def read_documents(
+    spark: SparkSession, path: str, source_schema: str, date_field: str | None = None, date_from: str | None = None
+) -> DataFrame:
+    """Flat documents from ``date_from`` on, with their id as ``_es_id``."""
+    return _documents(spark.read.schema(f"_id string, _source struct<{source_schema}>").json(path), date_field, date_from)
+
+
+def stream_documents(
+    spark: SparkSession,
+    path: str,
+    source_schema: str,
+    date_field: str | None = None,
+    date_from: str | None = None,
+    files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The same of dumps as they arrive in a folder; ``files_per_trigger`` bounds a micro-batch."""
+    reader = spark.readStream.schema(f"_id string, _source struct<{source_schema}>")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    return _documents(reader.json(path), date_field, date_from)
+
+
 def read_rates(docs: DataFrame, start: str, as_of: str, currency: str, base: str = "usd") -> DataFrame:
     """``record_date, exchange_rate`` per day from start to as_of; days without a rate are left out.
 

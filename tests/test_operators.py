@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -105,6 +106,32 @@ def test_tables_by_pattern(spark):
     assert union.tables_by_prefix(spark, "%", "ev_2018") == ["ev_20180101", "ev_20180102"]
 
 
+def test_union_tables_in_one_scan(spark, rows, tmp_path):
+    """Tables of one schema are one scan; views, partitioned tables and other schemas keep their branches."""
+    names = []
+    spark.sql("create database if not exists shards")
+    try:
+        for i in range(40):
+            name = f"shards.part_{i}"
+            spark.range(i, i + 3).select("id", F.lit(f"v{i}").alias("v")).coalesce(1).write.saveAsTable(name, path=str(tmp_path / f"t {i}"))
+            names.append(name)
+        spark.range(2).select("id", F.lit(1.5).alias("price")).write.saveAsTable("shards.priced", path=str(tmp_path / "priced"))
+        spark.range(4).select((F.col("id") % 2).alias("day"), F.lit("p").alias("v"), "id").write.partitionBy("day").saveAsTable("shards.daily", path=str(tmp_path / "daily"))
+        spark.range(90, 92).withColumn("v", F.lit("view")).createOrReplaceTempView("viewed")
+        every = [*names, "shards.priced", "shards.daily", "viewed"]
+        got = union.union_tables(spark, every, source_column="shard", where="id >= 0")
+        assert got.columns == ["shard", "id", "v", "price", "day"]
+        want = [(n, i + k, f"v{i}", None, None) for i, n in enumerate(names) for k in range(3)]
+        want += [("shards.priced", k, None, 1.5, None) for k in range(2)] + [("shards.daily", k, "p", None, k % 2) for k in range(4)]
+        want += [("viewed", 90 + k, "view", None, None) for k in range(2)]
+        assert rows(got) == sorted(want, key=repr)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[-1].count("FileScan") == 3
+        assert rows(union.union_tables(spark, names[:2], source_column=None, exclude=["v"])) == sorted((i + k,) for i in range(2) for k in range(3))
+    finally:
+        spark.sql("drop database shards cascade")
+
+
 def test_series(spark, rows):
     assert [r[0] for r in series.number_series(spark, 10).collect()] == list(range(1, 11))
     with pytest.raises(ValueError):
@@ -161,9 +188,10 @@ def test_in_order_without_groups(spark, rows, spacing):
 def test_in_order_cuts_a_large_group(spark, rows, monkeypatch):
     """Also with more marks than are kept and equal order values, the rows of one group meet in many chunks."""
     df = spark.range(4000).select(F.lit(1).alias("g"), (F.col("id") % 7).alias("v"), "id")
-    sizes = ordered._with_chunks(
-        df.withColumn(ordered._PLACE, F.struct("v", F.xxhash64("id").alias("tie"))), ["g"], 20
-    ).groupBy(ordered._CHUNK).count()
+    place = F.struct(*ordered._placed(["g"], "g"), *ordered._placed(["v"], "o"), F.xxhash64("id").alias("tie"))
+    chunks = ordered._with_chunks(df.withColumn(ordered._PLACE, place), ["g"], 20)
+    assert chunks.where(ordered._CUT).count() == 4000
+    sizes = chunks.groupBy(ordered._CHUNK).count()
     assert sizes.count() > 100 and sizes.agg(F.max("count")).first()[0] < 200
     monkeypatch.setattr(ordered, "MARKS", 8)
     got = ordered.in_order(df, ["g"], ["v"], "n", before={"p": F.col("v")}, spacing=20)
@@ -172,6 +200,29 @@ def test_in_order_cuts_a_large_group(spark, rows, monkeypatch):
     assert [tuple(r) for r in got.groupBy("v").agg(F.min("n"), F.max("n")).orderBy("v").collect()][0] == (0, 1, 572)
 
 
+def test_in_order_marks_cut_few_groups(spark, rows):
+    """Groups without a mark carry nothing; the others at most two rows for a mark. Order and totals are right in both."""
+    df = spark.range(20_000).select(F.when(F.col("id") < 7000, "hot").otherwise((F.col("id") % 900).cast("string")).alias("g"), F.pmod(F.col("id") * 7919, F.lit(20_011)).alias("v"))
+    place = F.struct(*ordered._placed(["g"], "g"), *ordered._placed(["v"], "o"))
+    chunks = ordered._with_chunks(df.withColumn(ordered._PLACE, place), ["g"], 500)
+    cut = chunks.where(ordered._CUT).groupBy("g", ordered._CHUNK).count()
+    marks = chunks.agg(F.max(ordered._CHUNK)).first()[0]
+    assert 20 < marks < 80 and cut.count() <= 2 * marks and cut.where("g = 'hot'").count() > 8
+    w = Window.partitionBy("g").orderBy("v")
+    got = ordered.in_order(df, ["g"], ["v"], "n", before={"p": F.col("v")}, after={"f": F.col("v")}, spacing=500, total="all", ties=False)
+    want = df.select("*", F.row_number().over(w).alias("n"), F.count("*").over(Window.partitionBy("g")).alias("all"), F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("f"))
+    assert rows(got) == rows(want)
+
+
+def test_in_order_plan(spark):
+    """At most four shuffles, and a draw of marks that reads the group and order columns only."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    got = ordered.in_order(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "n", ties=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"Exchange (?:hash|range|Single)\w+.*?plan_id=(\d+)", plan))) <= 4
+    assert plan.count("ReadSchema: struct<o_custkey:bigint,o_orderkey:bigint,o_orderdate") >= 1 or plan.count("ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate") >= 1
+
+
 def test_in_order_runs_no_job_before_the_action(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")

@@ -25,6 +25,107 @@ def test_csv_separator(spark, tmp_path, rows):
     assert rows(csv.read_csv(spark, str(path), sep="|")) == [("1,5", "2")]
 
 
+def _csv_text(seed, n, breaks=True, end="\n"):
+    """Lines with quoted separators, quotes and line breaks, empty lines, damaged lines, words for no value."""
+    import random
+
+    draw, out = random.Random(seed), [" id , note,other"]
+    for i in range(n):
+        note = draw.choice(["plain", "", "NA", 'say ""so""', "a, b", "é" * draw.randint(1, 30), " padded "])
+        if breaks and draw.random() < 0.2:
+            note += draw.choice([f"{end}", f"{end}{end}", f' x{end}, ""y""{end}', f"{end},,{end}"])
+        note = f'"{note}"' if draw.random() < 0.9 or any(c in note for c in ',"\n\r') else note
+        line = f"{i},{note},{draw.choice(['1', '', 'null', 'z'])}"
+        out.append(line + draw.choice(["", "", "", ",extra", ",", f"{end}"]) if draw.random() < 0.3 else line)
+    return end.join(out) + draw.choice(["", end])
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_csv_in_splits_equals_one_task(spark, tmp_path, rows, end):
+    """Line breaks in quotes, at any place of a split: the same rows as a parser that starts at the top of the file."""
+    for seed in range(4):
+        path = tmp_path / f"{seed}{len(end)}.csv"
+        path.write_bytes(_csv_text(seed, 400, end=end).encode())
+        want = rows(csv.read_csv(spark, str(path), split_bytes=1 << 30))
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        try:
+            for size in (97, 1000):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+                got = csv.read_csv(spark, str(path), split_bytes=1)
+                assert csv._numbered_lines(spark, [str(path)]).rdd.getNumPartitions() > 5
+                assert rows(got) == want and got.columns == ["id", "note", "other"]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_split_kinds(spark, tmp_path, rows, monkeypatch):
+    """No line breaks in quotes: plain lines; a quote inside a field or an open one: the file in one task."""
+    texts = {
+        "lines": _csv_text(1, 50, breaks=False),
+        "joined": _csv_text(2, 50),
+        "stray": 'id,note,other\n1,5" pipe,x\n2,"a\nb",y\n3,c" d" e,z\n',
+        "stray2": 'id,note,other\n1,"a\nb" c,x\n2,d,"e\nf"\n',
+        "open": 'id,note,other\n1,a,b\n2,"never closed,c\n3,d,e\n',
+    }
+    whole = []
+    plain = csv._read_alike
+    monkeypatch.setattr(csv, "_read_alike", lambda s, paths, h, o, n: (whole.extend(paths if o["multiLine"] == "true" else []), plain(s, paths, h, o, n))[1])
+    for name, text in texts.items():
+        path = tmp_path / f"{name}.csv"
+        path.write_text(text, encoding="utf-8")
+        want = rows(plain(spark, [str(path)], ["id", "note", "other"], {"header": "true", "sep": ",", "quote": '"', "escape": '"', "multiLine": "true"}, csv.NULL_WORDS))
+        whole.clear()
+        assert rows(csv.read_csv(spark, str(path), split_bytes=1)) == want, name
+        assert bool(whole) == (name in ("stray", "stray2", "open")), name
+
+
+def test_csv_headers_of_many_files(spark, tmp_path, rows, monkeypatch):
+    """First lines of many files come from one scan; two orders of columns and an empty file among them."""
+    monkeypatch.setattr(csv, "_HEADERS_ONE_BY_ONE", 4)
+    (tmp_path / "in put").mkdir()
+    for i in range(12):
+        text = f'a,b\n{i},"x\ny"\n' if i % 3 else f"\n b , a\nz,{i}\n"
+        (tmp_path / "in put" / f"{i}.csv").write_text(text if i != 5 else "", encoding="utf-8")
+    read = []
+    plain = type(spark.read).csv
+    monkeypatch.setattr(type(spark.read), "csv", lambda self, path, *a, **k: (read.append(path), plain(self, path, *a, **k))[1])
+    got = csv.read_csv(spark, str(tmp_path / "in put"))
+    assert got.columns == ["b", "a"]
+    assert rows(got, "a", "b") == sorted([(str(i), "x\ny") if i % 3 else (str(i), "z") for i in range(12) if i != 5], key=repr)
+    assert len([p for p in read if isinstance(p, str)]) == 2
+
+
+def test_csv_stream_equals_batch(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    for i in range(5):
+        (tmp_path / "in" / f"{i}.csv").write_text(_csv_text(i, 40), encoding="utf-8")
+    stream = csv.stream_csv(spark, str(tmp_path / "in"), files_per_trigger=2)
+    assert stream.isStreaming
+    sizes = []
+    run = stream.writeStream.foreachBatch(lambda df, n: (sizes.append(n), df.write.mode("append").parquet(str(tmp_path / "out")))).option(
+        "checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert len(sizes) == 3
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(csv.read_csv(spark, str(tmp_path / "in")))
+    (tmp_path / "in" / "9.csv").write_text("other,note,id\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="2 headers"):
+        csv.stream_csv(spark, str(tmp_path / "in"))
+
+
+def test_document_stream_equals_batch(spark, tmp_path, rows):
+    (tmp_path / "in").mkdir()
+    for i in range(4):
+        lines = [{"_id": f"{i}-{k}", "_source": {"Date": f"2024-01-{10 + k:02d}", "who": {"name": "x"}, "tags": ["a", str(k)]}} for k in range(6)]
+        bad = '{"_id": "broken", "_source": {"Date"'
+        (tmp_path / "in" / f"{i}.json").write_text("\n".join([*map(json.dumps, lines), bad]), encoding="utf-8")
+    shape = "Date date, who struct<name: string>, tags array<string>"
+    stream = documents.stream_documents(spark, str(tmp_path / "in"), shape, "Date", "2024-01-12", files_per_trigger=1)
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True).start().awaitTermination()
+    want = documents.read_documents(spark, str(tmp_path / "in"), shape, "Date", "2024-01-12")
+    assert rows(spark.read.schema(want.schema).parquet(str(tmp_path / "out"))) == rows(want) and want.count() == 16
+
+
 def test_csv_folder(spark, tmp_path, rows):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.csv").write_text('a,b\n1,"two\nlines"\n', encoding="utf-8")
