@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+from fractions import Fraction
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import in_order, repeat_rows
 from .common import SPACES, row_order, ship, stored
 from .registry import query
 
@@ -28,22 +32,28 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int
 
     Sources in code point order, missing one last, take the weights in turn. A target is
     min(repeats * size, rate * weight), with the rate that makes the targets add up to all
-    sizes: resharing what is above a limit by weight ends at that rate.
+    sizes. It is found as the excess is reshared: sources above their limit at a rate are
+    closed, which raises it for the others, until none is above. A round is one sum over the
+    sources in whole numbers; neither it nor the numbering brings all sources to one task.
     """
-    everything = Window.orderBy(F.asc_nulls_last("source"))
-    numbered = sources.select("*", F.row_number().over(everything).alias("nth"))
-    choice = F.array(*[F.lit(float(w)) for w in weights])
-    weighed = numbered.withColumn("weight", F.element_at(choice, (F.col("nth") - 1) % len(weights) + 1))
-    weighed = weighed.withColumn("limit", F.col("source_size").cast("double") * repeats)
-    by_need = Window.orderBy(F.col("limit") / F.col("weight"), "nth")
-    before, after = by_need.rowsBetween(Window.unboundedPreceding, -1), by_need.rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.partitionBy(F.lit(0))
-    rate = (F.sum("source_size").over(whole) - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    rated = weighed.withColumn("rate", rate).withColumn("open", F.col("rate") <= F.col("limit") / F.col("weight"))
-    final = F.min(F.when(F.col("open"), F.struct(F.col("limit") / F.col("weight"), F.col("nth"), F.col("rate")))).over(whole)
-    rated = rated.withColumn("final", final["rate"])
-    share = F.least(F.col("limit"), F.coalesce(F.col("final"), F.lit(float("inf"))) * F.col("weight"))
-    return rated.select("nth", *sources.columns, share.alias("target"))
+    shares = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in shares))
+    choice = F.array(*[F.lit(int(w * scale)).cast("long") for w in shares])
+    numbered = in_order(sources, [], ["source"], number="nth").withColumn("nth", F.col("nth").cast("int"))
+    limit = (F.col("source_size") * repeats).cast("decimal(38,0)")
+    weighed = stored(numbered.select("*", F.element_at(choice, (F.col("nth") - 1) % len(weights) + 1).alias("weight"), limit.alias("limit")), "sources")
+    total, heft = weighed.agg(F.sum(F.col("source_size").cast("decimal(38,0)")), F.sum("weight")).first()
+    rate, closed = Fraction(int(total or 0), int(heft or 1)), 0
+    while closed < (heft or 0):
+        # limit < rate * weight, without fractions.
+        above = F.col("limit") * F.lit(Decimal(rate.denominator)) < F.col("weight") * F.lit(Decimal(rate.numerator))
+        spent, gone = weighed.agg(F.sum(F.when(above, F.col("limit"))), F.sum(F.when(above, F.col("weight")).otherwise(0))).first()
+        if gone == closed:
+            break
+        closed = int(gone)
+        rate = Fraction(int(total) - int(spent), int(heft) - closed) if closed < heft else rate
+    target = F.least(F.col("limit").cast("double"), F.lit(float(rate)) * F.col("weight"))
+    return weighed.select("nth", *sources.columns, target.alias("target"))
 
 
 def flight(size: np.ndarray, part: np.ndarray, seed: int, land: bool) -> np.ndarray:
@@ -125,22 +135,39 @@ def _fly(table: pa.Table) -> pa.Table:
     return kept.append_column("blocks", rest).select(_NAMES)
 
 
+_RUN = 100_000
 _NAMES = ["row", "doc_id", "key", "nth", "size", "source_size", "target", "whole", "part", "blocks"]
 _OPEN = "part > 0 and part < 1"
 _FIELDS = "row long, doc_id {id}, key long, nth int, size long, source_size long, target double, whole int, part double, blocks long"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` (with __hash of the text) with ``__key``, a hash of the doc_id, and ``__row``, which numbers the rows of a key."""
-    rest = row_order(docs, "doc_id", "source", "__hash")
-    same = Window.partitionBy("__key").orderBy(*rest)
-    return docs.withColumn("__key", F.xxhash64("doc_id")).withColumn("__row", F.row_number().over(same).cast("long"))
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a hash of all columns that can be ordered; rows with the same are alike."""
+    values = row_order(docs)
+    gaps = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in values])
+    return docs.withColumn("__key", F.xxhash64(*values, gaps))
+
+
+def _alike(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(units, repeated): rows (row, doc_id, source, size), a row for each of ``docs``; and those among them, with their key, that are alike to others.
+
+    Rows that are alike are counted before any shuffle and dealt out again in runs of
+    ``_RUN``, so a row repeated very often is spread over tasks.
+    """
+    sized = _named(docs).select(F.col("__key").alias("key"), "doc_id", "source", size_of(F.col("text")).alias("size"))
+    groups = stored(sized.groupBy("key", "doc_id", "source", "size").agg(F.count(F.lit(1)).alias("n")), "groups")
+    single, repeated = groups.where("n = 1"), groups.where("n > 1")
+    units = single.select(F.col("key").alias("row"), "doc_id", "source", "size")
+    runs = repeated.withColumn("run", F.explode(F.expr(f"sequence(0L, (n - 1) div {_RUN})"))).repartition("key", "run")
+    nth = F.explode(F.sequence(F.col("run") * _RUN, F.least(F.col("n"), (F.col("run") + 1) * _RUN) - 1))
+    again = runs.select("key", "doc_id", "source", "size", nth.alias("nth"))
+    again = again.select(F.xxhash64("key", "nth").alias("row"), "doc_id", "source", "size", "key")
+    return units.unionByName(again.drop("key")), again
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, source, size) of every row; a hash of doc_id and row name a row, up to rows of equal source and text."""
-    marked = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("__hash"))
-    return _numbered(marked).select(F.col("__row").alias("row"), "doc_id", "source", "size")
+    """(row, doc_id, source, size) of every row; ``row`` is a hash that names it."""
+    return _alike(docs)[0]
 
 
 def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -184,13 +211,19 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REP
 
 def repeat_mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
     """``docs`` with every row as often as the mix takes it, in the columns of ``docs``."""
-    taken = mix(sizes(docs), weights, repeats).where("copies > 0")
-    taken = taken.select(F.xxhash64("doc_id").alias("__taken"), F.col("row").alias("__nth"), F.col("copies").alias("__copies"))
-    numbered = _numbered(docs.withColumn("__hash", F.xxhash64("text")))
-    # The key alone is joined on, so that the texts are shuffled once, for numbering and join.
-    found = numbered.join(taken, (F.col("__key") == F.col("__taken")) & (F.col("__row") - F.col("__nth") == 0))
-    again = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return again.select(*docs.columns)
+    units, again = _alike(docs)
+    taken = stored(mix(units, weights, repeats).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "taken")
+    named = _named(docs)
+    # The key alone is joined on, so that the texts are shuffled once.
+    found = named.join(taken, F.col("__key") == F.col("__row"))
+    out = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    total = again.select(F.col("key").alias("__same"), "row").join(taken, F.col("row") == F.col("__row"))
+    total = stored(total.groupBy("__same").agg(F.sum("__copies").alias("__copies")), "repeated")
+    if total.isEmpty():
+        return out
+    # Of rows that are alike one stands for all, with the copies of all.
+    one = named.join(total, F.col("__key") == F.col("__same")).dropDuplicates(["__key"]).select(*docs.columns, "__copies")
+    return out.unionByName(repeat_rows(one, F.col("__copies")).select(*docs.columns))
 
 
 @query("op7_mix_sources")

@@ -202,6 +202,39 @@ def test_mix(spark, block_rows):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def test_mix_of_rows_that_are_alike(spark, monkeypatch):
+    """One row very often, one id in many rows: no window, rows that are alike are dealt out one by one; the numbers add up."""
+    monkeypatch.setattr(mixing, "_RUN", 7)
+    rows = [(1, "one two three", "s", "x")] * 300 + [(1, f"text {i} of the same id", "s", "x") for i in range(100)] + [(i, f"other {i} words", "t", "y") for i in range(200)]
+    rows += [(None, "no id", None, "z")] * 50 + [(1, "one two three", "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row string")
+    sized = mixing.sizes(docs)
+    assert sized.count() == len(rows) == sized.select("row").distinct().count()
+    assert "Window" not in sized._jdf.queryExecution().optimizedPlan().toString()
+    total = Counter()
+    for _, text, source, _ in rows:
+        total[source] += len(text.split())
+    taken = mixing.mix(sized).groupBy("source_size").agg(F.sum(F.col("size") * F.col("copies")).alias("n"), F.first("target").alias("t"), F.max("size").alias("most")).collect()
+    again = mixing.repeat_mixed(docs)
+    assert again.columns == docs.columns
+    words = Counter()
+    for r in again.collect():
+        words[r["source"]] += len(r["text"].split())
+    assert {total[s]: n for s, n in words.items()} == {r["source_size"]: r["n"] for r in taken} and all(abs(r["n"] - r["t"]) <= r["most"] for r in taken)
+    assert set(map(tuple, again.distinct().collect())) <= set(rows)
+
+
+def test_targets_of_many_sources(spark):
+    """Numbering and rate of many sources, with ties and empty ones, equal plain code."""
+    rng = np.random.default_rng(11)
+    sizes = {f"src{i:05d}": int(x) for i, x in enumerate(10 ** rng.uniform(0, 4, 3000))} | {None: 7, "": 0, "zero": 0}
+    found = {r["source"]: (r["nth"], r["target"]) for r in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    assert {s: t for s, (_, t) in found.items()} == pytest.approx(goal(sizes))
+    assert [s for s, _ in sorted(found.items(), key=lambda x: x[1][0])] == sorted(sizes, key=lambda s: (s is None, s or ""))
+    assert mixing.targets(spark.createDataFrame([], "source string, source_size long")).count() == 0
+    assert [r["target"] for r in mixing.targets(spark.createDataFrame([("a", 0)], "source string, source_size long")).collect()] == [0.0]
+
+
 def test_mix_odd(spark):
     docs = odd(spark)
     rows = mixing.mix(mixing.sizes(docs)).collect()

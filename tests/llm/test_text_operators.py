@@ -1,6 +1,7 @@
 """Operators on single texts and lines, against brute force."""
 
 import hashlib
+import math
 import re
 import time
 import zlib
@@ -499,6 +500,119 @@ def test_classifiers_odd(spark):
         assert module.score(empty(spark), module.train(empty(spark), labels)).count() == 0
 
 
+def plain_step(g, h, depth=2):
+    """Steps of a tree over ordered bins: every cut tried, leaf by leaf."""
+    gain = lambda a, b: a * a / (b + quality.RIDGE)
+    whole_g, whole_h = sum(g), sum(h)
+    best = None
+    for cut in range(1, len(g)) if depth else ():
+        value = gain(sum(g[:cut]), sum(h[:cut])) + gain(sum(g[cut:]), sum(h[cut:]))
+        if best is None or value > best[0] + 1e-12:
+            best = value, cut
+    if best and best[0] > gain(whole_g, whole_h) + 1e-9:
+        cut = best[1]
+        return plain_step(g[:cut], h[:cut], depth - 1) + plain_step(g[cut:], h[cut:], depth - 1)
+    return [whole_g / (whole_h + quality.RIDGE)] * len(g)
+
+
+def test_additive_model_as_plain_boosting(monkeypatch):
+    """Features take turns; each adds a shallow tree, fitted by trying every cut, to its table."""
+    monkeypatch.setattr(quality, "ROUNDS", 5)
+    monkeypatch.setattr(quality, "PAIR_ROUNDS", 2)
+    rng = np.random.default_rng(3)
+    n, width = 150, len(quality.FEATURES)
+    x = np.round(rng.normal(size=(n, width)), 1)
+    y = ((x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=n)) > 0).astype(float)
+    model = quality.fit(x, y)
+    binned = [[sum(v >= e for e in model.edges[j]) for v in x[:, j]] for j in range(width)]
+    rate = (sum(y) + 1) / (n + 2)
+    raw, tables = [math.log(rate / (1 - rate))] * n, [[0.0] * (len(e) + 1) for e in model.edges]
+    for _ in range(5):
+        for j in range(width):
+            p = [1 / (1 + math.exp(-r)) for r in raw]
+            g, h = [0.0] * len(tables[j]), [0.0] * len(tables[j])
+            for i in range(n):
+                g[binned[j][i]] += y[i] - p[i]
+                h[binned[j][i]] += p[i] * (1 - p[i])
+            step = [quality.RATE * s for s in plain_step(g, h)]
+            tables[j] = [a + b for a, b in zip(tables[j], step)]
+            raw = [r + step[binned[j][i]] for i, r in enumerate(raw)]
+    for mine, want in zip(model.tables, tables):
+        assert list(mine) == pytest.approx(want, abs=1e-9)
+    assert len(model.pairs) == quality.PAIRS
+    # A pair's table is a sum of grids of four values, and the score the sum of all look-ups.
+    for i in range(0, n, 17):
+        total = model.base + sum(t[b[i]] for t, b in zip(tables, binned))
+        for (j, k), grid in model.pairs.items():
+            total += grid[sum(x[i, j] >= e for e in model.coarse[j]), sum(x[i, k] >= e for e in model.coarse[k])]
+        assert model.score(x[i : i + 1])[0] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
+def test_pair_grid_as_plain_search():
+    rng = np.random.default_rng(5)
+    g, h = rng.normal(size=(5, 4)), rng.uniform(0.1, 1, (5, 4))
+    gain = lambda a, b: a.sum() ** 2 / (b.sum() + quality.RIDGE)
+    best = max(
+        (sum(gain(g[r, c], h[r, c]) for r in (slice(0, i), slice(i, 5)) for c in (slice(0, j), slice(j, 4))) - gain(g, h), -i, -j)
+        for i in range(1, 5) for j in range(1, 4)
+    )
+    found, steps = quality._quarters(g, h)
+    assert found == pytest.approx(best[0])
+    i, j = -best[1], -best[2]
+    assert steps[0, 0] == pytest.approx(g[:i, :j].sum() / (h[:i, :j].sum() + quality.RIDGE)) and len(np.unique(steps.round(12))) == 4
+
+
+def plain_entries(rows):
+    """Weighted entries of a lexicon, counted text by text."""
+    with_, without = Counter(), Counter()
+    for text, label in rows:
+        (with_ if label else without).update(toxicity.grams(toxicity.folded(text)))
+    toxic, plain = sum(x for _, x in rows), sum(not x for _, x in rows)
+    weight = {k: math.log((with_[k] + 0.5) / (toxic + 1)) - math.log((without[k] + 0.5) / (plain + 1)) for k in with_}
+    found = {k: w for k, w in weight.items() if with_[k] >= toxicity.SUPPORT and w >= toxicity.LEVEL}
+    for k in [k for k in found if not k.endswith(" ")]:
+        if with_[k] < toxicity.SHARED * max([with_[w] for w in found if w.endswith(" ") and w.startswith(k) and len(k) - 1 in toxicity.PREFIXES], default=0):
+            found[k] = None
+    found = {k: w for k, w in found.items() if w is not None}
+    kept = {}
+    for k in sorted(found, key=lambda k: (len(k), k)):
+        if all(found[k] > w + 0.7 for s, w in kept.items() if k.startswith(s)):
+            kept[k] = found[k]
+    for word in toxicity.GIVEN:
+        kept.setdefault(toxicity.folded(word), max(toxicity.GIVEN_WEIGHT, found.get(toxicity.folded(word), 0)))
+    return kept
+
+
+def test_lexicon_as_plain_count(spark):
+    """Entries and scores equal those of a plain counter and of a search place by place."""
+    docs = documents(spark).join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").where("toxic is not null and text is not null")
+    rows = [(r["text"], r["toxic"]) for r in docs.select("text", "toxic").collect()]
+    rows += [(f"you are a zorbl {w} thing", 1) for w in ("red", "blue", "green")] * 8 + [(f"zorbling {i} is zorblish", 1) for i in range(9)]
+    learned = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, label int"))
+    assert {k: round(w, 9) for k, w in learned.entries.items()} == {k: round(w, 9) for k, w in plain_entries(rows).items()}
+    for text, _ in rows[::7]:
+        folded = toxicity.folded(text)
+        places = {}
+        for at in range(len(folded)):
+            weights = [w for e, w in learned.entries.items() if folded.startswith(e, at)]
+            if weights and not any(folded.startswith(x, s) for x in learned.exceptions for s in range(max(0, at - len(x) + 2), at + 1) if s + len(x) - 1 > at):
+                places[at] = max(weights)
+        assert dict(learned.hits(folded)) == pytest.approx(places)
+        words, total = folded.count(" ") - 1, sum(places.values())
+        assert learned.features(text) == pytest.approx([total / words**0.5, total / words, max(places.values())] if places else [0.0, 0.0, 0.0])
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """One id in very many rows teaches as one; the least of its texts."""
+    from silverloom.llm.labelled import sample
+
+    ids = [i for i in range(400) if not held(i)]
+    docs = spark.createDataFrame([(ids[0], f"text {k}") for k in range(3000)] + [(i, f"doc {i}") for i in ids[1:]] + [(ids[1], None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    found = sample(docs, labels, "quality").collect()
+    assert len(found) == len(ids) and [r["text"] for r in found if r["text"].startswith("text")] == ["text 0"] and "" in {r["text"] for r in found}
+
+
 def test_additive_model_finds_interaction():
     rng = np.random.default_rng(4)
     x = rng.random((4000, len(quality.FEATURES)))
