@@ -20,9 +20,9 @@ DEPTH = 4  # words of the longest phrase
 LEAST = 30  # occurrences of a phrase
 COVERED = 80  # per cent of its occurrences that a longer phrase has, to drop it
 TOP = 2000
-GROUP_SUFFIXES = 1 << 20
+GROUP_SUFFIXES = 1 << 21
 _SHARE = 2  # a prefix with more than this part of a group's suffixes is made longer
-_HELD_SUFFIXES, _HELD_WORDS = 1 << 20, 1 << 19
+_HELD_SUFFIXES, _HELD_WORDS = 1 << 21, 1 << 19
 _ID_BITS = 21  # bits of a word's number
 _CHUNK_CHARS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -32,24 +32,30 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(PIECE_ENDS + b"\t", b"\n" * len(PIECE_ENDS) + b" ")
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they are met, from 1; 0 ends a piece, -1 is no word."""
+
+    def __init__(self):
+        super().__init__({b"": -1, b"\n": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self) - 1
+        return found
+
+
 class Words:
-    """Numbers of the words of one language in the order they are met, from 1; 0 ends a piece."""
+    """The words of one language, by number, with a 0 after each piece."""
 
     def __init__(self, lang: str):
-        self.lang = lang
-        self.number: dict[bytes, int] = {b"": -1, b"\n": 0}
-        self.parts: list[np.ndarray] = []
-        self.size = 0
+        self.lang, self.number, self.parts, self.size, self.chars = lang, _Numbers(), [], 0, 0
 
     def add(self, texts: list[str | None]) -> None:
-        number = self.number
-        pieces = "\n".join([t or "" for t in texts]).encode().lower().translate(_PLAIN)
-        words = pieces.replace(b"\n", b" \n ").split(b" ")
-        for word in set(words).difference(number):
-            number[word] = len(number) - 1
-        ids = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
+        text = "\n".join([t or "" for t in texts])
+        words = text.encode().lower().translate(_PLAIN).replace(b"\n", b" \n ").split(b" ")
+        ids = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
         self.parts += [ids[ids >= 0], np.zeros(1, np.int32)]
         self.size += len(self.parts[-2])
+        self.chars += len(text) + 1 - len(texts)
 
     def ids(self) -> np.ndarray:
         return np.concatenate([*self.parts, np.zeros(DEPTH, np.int32)])
@@ -97,144 +103,155 @@ def _holds(words: Words, codes: np.ndarray, depth: int, prefixes: list[str]) ->
     return np.isin(codes, np.array(mine, np.uint64)) if mine else np.zeros(len(codes), bool)
 
 
-def count_prefixes(texts: DataFrame, depth: int, heavy: dict[str, list[str]] | None = None) -> DataFrame:
-    """(lang, phrase, f) of all words (depth 1), or of phrases of ``depth`` words that begin with a ``heavy`` one of a word less.
+def survey(texts: DataFrame, limit: int, chars: int) -> DataFrame:
+    """(lang, depth, phrase, f): counts of all words (depth 1), and of longer prefixes that are frequent where they are counted.
 
-    For words, a row with a missing phrase has the number of all word occurrences of the language.
+    A row of depth 0 has the number of all word occurrences of the language. A prefix of 2
+    or 3 words is counted in the parts of the texts in which it has more than its share of
+    half of ``limit``, so one with more than ``limit`` occurrences is found with more than half.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(heavy or {})
-    schema = StructType([StructField("lang", StringType()), StructField("phrase", StringType()), StructField("f", LongType())])
+    schema = StructType([StructField("lang", StringType()), StructField("depth", IntegerType()), StructField("phrase", StringType()), StructField("f", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in _buffers(batches):
+            share = limit / 2 * sum(w.chars for w in held) / max(1, chars)
             for words in held:
-                ids = words.ids()
+                ids, listed = words.ids(), words.listed()
                 n = len(ids) - DEPTH
-                listed = words.listed()
-                if depth == 1:
-                    counts = np.bincount(ids[:n], minlength=len(listed))
-                    at = np.flatnonzero(counts[1:]) + 1
-                    phrases, found = [None, *[listed[i].decode() for i in at]], [int(counts[1:].sum()), *counts[at].tolist()]
-                else:
-                    inside = _holds(words, _codes(ids, depth - 1, n), depth - 1, shared.value.get(words.lang, []))
-                    codes, counts = np.unique(_codes(ids, depth, n)[inside & (ids[depth - 1 : n + depth - 1] > 0)], return_counts=True)
+                counts = np.bincount(ids[:n], minlength=len(listed))
+                counts[0] = 0
+                at = np.flatnonzero(counts)
+                depths, phrases, found = [0] + [1] * len(at), [None, *[listed[i].decode() for i in at]], [int(counts.sum()), *counts[at].tolist()]
+                inside = (counts > share)[ids[:n]]
+                for depth in range(2, DEPTH):
+                    places = np.flatnonzero(inside & (ids[depth - 1 : n + depth - 1] > 0))
+                    codes, back, sums = np.unique(_codes(ids, depth, n)[places], return_inverse=True, return_counts=True)
+                    often = sums > share
+                    inside = np.zeros(n, bool)
+                    inside[places[often[back]]] = True
                     mask, shifts = (1 << _ID_BITS) - 1, [_ID_BITS * j for j in reversed(range(depth))]
-                    phrases, found = [b" ".join(listed[c >> s & mask] for s in shifts).decode() for c in codes.tolist()], counts.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([words.lang] * len(found), pa.string()), pa.array(phrases, pa.string()), pa.array(found, pa.int64())], names=schema.names)
+                    some = [b" ".join(listed[c >> s & mask] for s in shifts).decode() for c in codes[often].tolist()]
+                    depths, phrases, found = depths + [depth] * len(some), phrases + some, found + sums[often].tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([words.lang] * len(found), pa.string()), pa.array(depths, pa.int32()), pa.array(phrases, pa.string()), pa.array(found, pa.int64())],
+                    names=schema.names,
+                )
 
-    return in_tasks(texts, run, schema).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return in_tasks(texts, run, schema).groupBy("lang", "depth", "phrase").agg(F.sum("f").alias("f"))
 
 
-def heavy_prefixes(texts: DataFrame, words: DataFrame, limit: int) -> tuple[list[dict[str, list[str]]], DataFrame]:
-    """(heavy, counts): by length, the prefixes with more than ``limit`` occurrences, by language; and all counts they were read from.
-
-    A prefix is made longer by a word, and that is counted, as long as it is heavy. There are at
-    most total / limit of each length.
-    """
-    found, counts, level = [], words, words
+def heavy_prefixes(counted: DataFrame, limit: int) -> list[dict[str, list[str]]]:
+    """By length, the prefixes with more than ``limit`` occurrences (and some with more than half), by language; at most 2 total / limit of each length."""
+    most = F.when(F.col("depth") == 1, limit).otherwise(limit // 2)
+    rows = counted.where((F.col("depth") > 0) & (F.col("f") > most)).select("lang", "depth", "phrase").collect()
+    found: list[dict[str, list[str]]] = []
     for depth in range(1, DEPTH):
-        rows = level.where(F.col("phrase").isNotNull() & (F.col("f") > limit)).select("lang", "phrase").collect()
         by_lang: dict[str, list[str]] = {}
         for r in rows:
-            by_lang.setdefault(r["lang"], []).append(r["phrase"])
+            if r["depth"] == depth and (depth == 1 or r["phrase"].rsplit(" ", 1)[0] in found[-1].get(r["lang"], ())):
+                by_lang.setdefault(r["lang"], []).append(r["phrase"])
         found.append(by_lang)
-        if not rows:
-            break
-        if depth + 1 < DEPTH:
-            level = stored(count_prefixes(texts, depth + 1, by_lang).where(F.col("f") > limit), "prefixes")
-            counts = counts.unionByName(level)
-    return found, counts
+    return found
 
 
 def suffixes(texts: DataFrame, heavy: list[dict[str, list[str]]], groups: int) -> DataFrame:
-    """(part, lang, words, ids, counts, levels): the suffixes of pieces, cut after ``DEPTH`` words, dealt into groups by their prefix.
+    """(part, lang, leaves): the suffixes of pieces, cut after ``DEPTH`` words, dealt into groups by their prefix.
 
-    A row packs the distinct suffixes that a task holds of one group and language, with
-    counts: the words they use, their numbers in columns, and the length of the prefix that
-    dealt a suffix (one word, or one more than its longest heavy prefix). Suffixes that are
-    no longer than a heavy prefix have been counted with the prefixes.
+    A row packs the distinct suffixes that a task holds of one group and language: the words
+    they use, and for each suffix its words by number, its count, and the length of the prefix
+    that dealt it (one word, or one more than its longest heavy prefix).
     """
     shared = texts.sparkSession.sparkContext.broadcast(heavy)
-    binary = ("words", "ids", "counts", "levels")
-    schema = StructType([StructField("part", IntegerType()), StructField("lang", StringType()), *[StructField(c, BinaryType()) for c in binary]])
+    schema = StructType([StructField("part", IntegerType()), StructField("lang", StringType()), StructField("leaves", BinaryType())])
     target = to_arrow_schema(schema)
 
-    def packed(words: Words) -> Iterator[tuple]:
-        ids = words.ids()
+    def packed(words: Words, press: zstandard.ZstdCompressor) -> Iterator[tuple[int, str, bytes]]:
+        ids, listed = words.ids(), words.listed()
         n = len(ids) - DEPTH
-        listed = words.listed()
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in listed), np.uint64, len(listed))
         columns = [ids[j : n + j].copy() for j in range(DEPTH)]
-        inside = columns[0] > 0
         for j in range(1, DEPTH):
             columns[j][columns[j - 1] == 0] = 0
         level = np.ones(n, np.uint8)
         for d, by_lang in enumerate(shared.value, 1):
             if by_lang.get(words.lang):
                 level[_holds(words, _codes(ids, d, n), d, by_lang[words.lang])] = d + 1
-        length = sum((c > 0).astype(np.uint8) for c in columns)
-        inside &= length >= np.maximum(level, 2)
-        columns, level = [c[inside].astype(np.uint64) for c in columns], level[inside]
-        dealt = np.full(len(level), np.uint64(xxhash.xxh64_intdigest(words.lang.encode())))
-        for j in range(DEPTH):
-            dealt = np.where(level > j, (dealt ^ hashes[columns[j]]) * _MIX, dealt)
+        inside = columns[1] > 0  # one word alone has been counted
+        columns, level = [c[inside] for c in columns], level[inside]
+        if not len(level):
+            return
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, listed), np.uint64, len(listed))
+        dealt = (hashes[columns[0]] ^ np.uint64(xxhash.xxh64_intdigest(words.lang.encode()))) * _MIX
+        for j in range(1, DEPTH):
+            longer = np.flatnonzero(level > j)
+            dealt[longer] = (dealt[longer] ^ hashes[columns[j][longer]]) * _MIX
         part = (dealt >> np.uint64(33)) % np.uint64(groups)
-        first, rest = (columns[j] << np.uint64(_ID_BITS) | columns[j + 1] for j in (0, 2))
+        first, rest = (columns[j].astype(np.uint64) << np.uint64(_ID_BITS) | columns[j + 1].astype(np.uint64) for j in (0, 2))
         order = np.lexsort((rest, first | part << np.uint64(2 * _ID_BITS)) if groups < 1 << 22 else (rest, first, part))
-        first, rest, level, part = first[order], rest[order], level[order], part[order]
-        if not len(first):
-            return
+        first, rest, part = first[order], rest[order], part[order]
         begins = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])]))
-        counts = np.diff(np.concatenate([begins, [len(first)]]))
-        columns = np.stack([c[order[begins]] for c in columns]).astype(np.uint32)
-        part, level = part[begins], level[begins]
+        counts = np.diff(np.concatenate([begins, [len(first)]])).astype("<u4")
+        at = order[begins]
+        columns, level, part = np.stack([c[at] for c in columns]), level[at], part[begins]
         cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        own = np.zeros(len(listed), np.int64)
         for a, b in zip(cuts, cuts[1:]):
-            used, own = np.unique(columns[:, a:b], return_inverse=True)
-            text = b"\n".join(listed[i] if i else b"" for i in used.tolist())
-            own = own.reshape(DEPTH, b - a).astype("<u4" if len(used) > 1 << 16 else "<u2")
-            yield (int(part[a]), words.lang, *map(zstandard.compress, (text, own.tobytes(), counts[a:b].astype("<u4").tobytes(), level[a:b].tobytes())))
+            some = columns[:, a:b]
+            used = np.unique(some)
+            own[used] = np.arange(len(used))
+            text = b"\n".join([listed[i] if i else b"" for i in used.tolist()])
+            body = [own[some].astype("<u4").tobytes(), counts[a:b].tobytes(), level[a:b].tobytes(), text]
+            yield int(part[a]), words.lang, press.compress(b"".join([(b - a).to_bytes(8, "little"), *body]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=1)
         for held in _buffers(batches):
-            rows = [r for words in held for r in packed(words)]
+            rows = [r for words in held for r in packed(words, press)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
 
     return in_tasks(texts, run, schema)
 
 
+def _unpacked(leaves: bytes, press: zstandard.ZstdDecompressor) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(words, ids in columns, counts, levels) of a packed row."""
+    body = press.decompress(leaves)
+    n = int.from_bytes(body[:8], "little")
+    ends = np.cumsum([8, 4 * DEPTH * n, 4 * n, n]).tolist()
+    ids = np.frombuffer(body, "<u4", DEPTH * n, ends[0]).reshape(DEPTH, n)
+    return body[ends[3] :].split(b"\n"), ids, np.frombuffer(body, "<u4", n, ends[1]), np.frombuffer(body, np.uint8, n, ends[2])
+
+
 def _subtrees(least: int):
-    """Counts of the phrases of a group: its suffixes, sorted, are the leaves of a tree of words; a node's count is the sum of its leaves'."""
+    """Counts of the phrases of a group: its suffixes are the leaves of trees of words; a node's count is the sum of its leaves'.
+
+    Nodes that other groups have leaves of as well are given whatever their count.
+    """
 
     def count(table: pa.Table) -> pa.Table:
         number: dict[tuple[str, bytes], int] = {}
+        press = zstandard.ZstdDecompressor()
         parts, totals, levels = [], [], []
-        for lang, words, ids, counts, level in zip(*(table.column(c).to_pylist() for c in ("lang", "words", "ids", "counts", "levels"))):
-            words = zstandard.decompress(words).split(b"\n")
+        for lang, packed in zip(table.column("lang").to_pylist(), table.column("leaves")):
+            words, ids, counts, level = _unpacked(packed.as_py(), press)
             own = np.array([number.setdefault((lang, w), len(number) + 1) if w else 0 for w in words], np.int32)
-            counts = np.frombuffer(zstandard.decompress(counts), "<u4")
-            ids = np.frombuffer(zstandard.decompress(ids), "<u4" if len(words) > 1 << 16 else "<u2")
-            parts.append(own[ids].reshape(DEPTH, len(counts)))
+            parts.append(own[ids])
             totals.append(counts)
-            levels.append(np.frombuffer(zstandard.decompress(level), np.uint8))
+            levels.append(level)
         leaves, totals, levels = np.concatenate(parts, axis=1), np.concatenate(totals).astype(np.int64), np.concatenate(levels)
         listed = list(number)
         found: list[tuple[str, str, int]] = []
         # From the root down: leaves below a node with too few occurrences go with it.
         node = leaves[0].astype(np.int64)
         for d in range(2, DEPTH + 1):
-            inside = leaves[d - 1] > 0
+            inside = np.flatnonzero(leaves[d - 1] > 0)
             leaves, totals, levels, node = leaves[:, inside], totals[inside], levels[inside], node[inside]
             _, first, node = np.unique(node << 32 | leaves[d - 1], return_index=True, return_inverse=True)
-            path = leaves[:d, first]
-            whole = levels <= d
-            sums = np.bincount(node, weights=np.where(whole, totals, 0), minlength=len(first)).astype(np.int64)  # exact below 2^53
-            for i in np.flatnonzero(sums >= least).tolist():
-                words = [listed[w - 1] for w in path[:, i].tolist()]
-                found.append((words[0][0], b" ".join(w for _, w in words).decode(), int(sums[i])))
-            # Where the prefix that dealt a leaf is longer than this node, other groups have part of the node.
-            stay = (sums[node] >= least) | ~whole
+            sums = np.bincount(node, weights=totals, minlength=len(first)).astype(np.int64)  # exact below 2^53
+            given = (sums >= least) | (levels[first] > d)
+            for i in np.flatnonzero(given).tolist():
+                words = [listed[w - 1] for w in leaves[:d, first[i]].tolist()]
+                found.append((words[0][0], b" ".join([w for _, w in words]).decode(), int(sums[i])))
+            stay = np.flatnonzero(given[node])
             leaves, totals, levels, node = leaves[:, stay], totals[stay], levels[stay], node[stay]
         lang, phrase, f = zip(*found) if found else ((), (), ())
         return pa.table({"lang": pa.array(lang, pa.string()), "phrase": pa.array(phrase, pa.string()), "f": pa.array(f, pa.int64())})
@@ -245,27 +262,23 @@ def _subtrees(least: int):
 def phrase_counts(docs: DataFrame, least: int = LEAST, group_suffixes: int = GROUP_SUFFIXES) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): (lang, phrase, f) of all phrases of 1 to ``DEPTH`` words with f >= ``least``, and (lang, n) of all word occurrences.
 
-    Words are counted first. Word prefixes with a small part of a group's ``group_suffixes``
-    are dealt to groups as they are, others are made longer by a word until they are small;
-    the number of groups follows the number of words. Each group's suffixes are brought to
-    one task, which needs no other group. Suffixes are combined before they are shuffled.
+    Words are counted first. Word prefixes with a part of a group's ``group_suffixes`` are
+    dealt to groups as they are, others are made longer by a word until they are small; the
+    number of groups follows the number of words. Each group's suffixes are brought to one
+    task, which needs no other group. Suffixes are combined before they are shuffled.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    counted = stored(count_prefixes(texts, 1).where((F.col("f") >= least) | F.col("phrase").isNull()), "words")
-    totals = counted.where("phrase is null").select("lang", F.col("f").alias("n"))
-    words = counted.where("phrase is not null")
+    limit = max(least, group_suffixes // _SHARE)
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    counted = stored(survey(texts, limit, chars).where((F.col("f") >= least) | (F.col("depth") == 0)), "words")
+    totals = counted.where("depth = 0").select("lang", F.col("f").alias("n"))
     total = totals.agg(F.sum("n")).first()[0] or 0
-    heavy, known = heavy_prefixes(texts, words, max(least, group_suffixes // _SHARE))
     # Half of what a group may hold is expected in it.
     groups = max(1, -(-2 * total // group_suffixes))
-    dealt = suffixes(texts, heavy, groups).groupBy("part").applyInArrow(_subtrees(least), "lang string, phrase string, f long")
-    # The counts of the prefixes on the way stand for what a group does not have whole.
-    longest = [(lang, p) for by_lang in heavy[1:] for lang, some in by_lang.items() for p in some]
-    whole = known.where(F.size(F.split("phrase", " ")) == 1)
-    if longest:
-        above = docs.sparkSession.createDataFrame(longest, "lang string, phrase string")
-        whole = whole.unionByName(known.where(F.size(F.split("phrase", " ")) > 1).join(above, ["lang", "phrase"], "left_semi"))
-    return stored(dealt.unionByName(whole.select("lang", "phrase", "f")), "phrases"), totals
+    dealt = suffixes(texts, heavy_prefixes(counted, limit), groups).groupBy("part").applyInArrow(_subtrees(least), "lang string, phrase string, f long")
+    # Only phrases that are heavy prefixes come from more than one group.
+    longer = dealt.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return stored(longer.unionByName(counted.where("depth = 1").select("lang", "phrase", "f")), "phrases"), totals
 
 
 def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
