@@ -24,15 +24,40 @@ def as_table(wh: Warehouse, name: str, df: DataFrame) -> DataFrame:
 
 
 def as_incremental(wh: Warehouse, name: str, df: DataFrame, key: list[str], newer_by: str | None = None) -> DataFrame:
-    """Add rows newer than the table's newest. Rows of the same keys go first; rows that share a key all stay."""
-    if newer_by and wh.exists(name):
-        newest = wh.table(name).agg(F.max(newer_by)).first()[0]
-        if newest is not None:
-            df = df.where(F.col(newer_by) > F.lit(newest).cast(df.schema[newer_by].dataType))
-    wh.log.commit(wh.upsert(name, df, key, keep_all=True))
+    """Add rows newer than the table's newest. Rows of the same keys go first; rows that share a key all stay.
+
+    The newest value is read from the folders a load has written and kept in the ledger with
+    it, so the next load does not read the stored rows for it. A table that was changed
+    otherwise since (restored, replaced) is asked itself.
+    """
+    if not newer_by:
+        wh.log.commit(wh.upsert(name, df, key, keep_all=True))
+        return wh.table(name)
+    newest = _newest(wh, name, newer_by)
+    kind = df.schema[newer_by].dataType
+    if newest is not None:
+        df = df.where(F.col(newer_by) > F.lit(newest).cast(kind))
+    change = wh.upsert(name, df, key, keep_all=True)
+    version = wh.log.commit(change)
+    source, batch = f"model-{name}", f"model-{name}-{version}"
+    if change.added:  # the folders just written have the newest rows
+        newest = wh.spark.read.schema(change.schema).parquet(*change.added).agg(F.max(newer_by).cast("string")).first()[0]
+    wh.ledger.register(source, batch, name, change.row_bound, source_type="model", watermark_value=newest)
+    wh.ledger.mark_loaded(batch, name, version, source_id=source)
     return wh.table(name)
 
 
+def _newest(wh: Warehouse, name: str, column: str) -> str | None:
+    """The largest value of a table's column, as text: from the ledger if its last load is the table's last change."""
+    state = wh.log.state(name)
+    if not state.paths:
+        return None
+    last = wh.ledger.last_success(f"model-{name}")
+    if last is not None and last["table_version"] == state.version:
+        return last["watermark_value"]
+    return wh.table(name).agg(F.max(column).cast("string")).first()[0]
+
+
 def keep(wh: Warehouse, name: str, df: DataFrame) -> DataFrame:
     """Store a model's rows the way its record states and read them back."""
     kind = KINDS[name]

@@ -317,6 +317,55 @@ def chg_01(t):
     return out
 
 
+_NEW_ORDERS = """
+    select * replace (case when o_orderkey % 977 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice) from orders
+    where o_orderkey not between 1000 and 1100 union all select * from orders where o_orderkey = 500"""
+
+
+def _new_orders(t):
+    """Some prices raised, a run of orders gone, a row doubled."""
+    raised = F.when(F.col("o_orderkey") % 977 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice")
+    changed = t.orders.where("o_orderkey not between 1000 and 1100").select(*[raised if c == "o_totalprice" else F.col(c) for c in t.orders.columns])
+    return changed.unionAll(t.orders.where("o_orderkey = 500"))
+
+
+@query(
+    "chg_01_changed_ranges",
+    f"""
+    with new_orders as ({_NEW_ORDERS}),
+    a as (select o_orderkey // 64 as node, count(*) as n from orders group by 1),
+    b as (select o_orderkey // 64 as node, count(*) as n from new_orders group by 1),
+    touched as (
+        select distinct o_orderkey // 64 as node from ((select * from orders except all select * from new_orders)
+        union all (select * from new_orders except all select * from orders)))
+    select node * 64 as low, node * 64 + 63 as high, coalesce(a.n, 0) as n_old, coalesce(b.n, 0) as n_new
+    from touched left join a using (node) left join b using (node)
+    """,
+)
+def chg_01_ranges(t):
+    """The fingerprint tree of the loaded version is kept; with that of the new one it names the ranges that changed."""
+    path = scratch_dir(t.spark, "tree")
+    change.fingerprint_tree(t.orders, "o_orderkey", 64).write.parquet(path)
+    return change.changed_ranges(t.spark.read.parquet(path), change.fingerprint_tree(_new_orders(t), "o_orderkey", 64), 64)
+
+
+@query(
+    "dq_10_changed_rows",
+    f"""
+    with new_orders as ({_NEW_ORDERS})
+    select o_orderkey, o_totalprice, change, count(*) as copies from (
+        select *, 'removed' as change from (select * from orders except all select * from new_orders)
+        union all select *, 'added' from (select * from new_orders except all select * from orders)) group by all
+    """,
+)
+def dq_10_rows(t):
+    """Rows that differ, looked for in the changed ranges only."""
+    new = _new_orders(t)
+    trees = [change.fingerprint_tree(df, "o_orderkey", 64) for df in (t.orders, new)]
+    found = change.changed_rows(t.orders, new, "o_orderkey", change.changed_ranges(*trees, 64), 64)
+    return found.select("o_orderkey", "o_totalprice", "change", "copies")
+
+
 @query(
     "chg_02_watermark_change",
     """

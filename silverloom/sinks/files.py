@@ -38,19 +38,15 @@ def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
     return {f.getPath().toString(): f.getLen() for f in listed if not f.isDirectory() and f.getPath().getName()[0] not in "_."}
 
 
-def delete(spark: SparkSession, path: str) -> None:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if there is no such folder."""
     place, fs = _place(spark, path)
-    fs.delete(place, True)
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small file whole."""
+def delete(spark: SparkSession, path: str) -> None:
     place, fs = _place(spark, path)
-    stream = fs.open(place)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    fs.delete(place, True)
 
 
 def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:

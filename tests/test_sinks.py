@@ -125,10 +125,56 @@ def test_many_commits_read_few(spark, wh, monkeypatch):
         put(wh, "t", spark.range(i, i + 1), "append")
     assert sorted(r[0] for r in wh.table("t").collect()) == list(range(10))
     assert wh.table("t", 6).count() == 6 and wh.log.state("t").row_bound == 10
-    monkeypatch.setattr(files, "exists", lambda *a: False)  # a writer that does not see the others' commits
+    for version in (3, 4, 6, 8, 10, None):  # as read by another session, which has seen no commit
+        again = commits.CommitLog(spark, f"{wh.root}/commits").state("t", version)
+        mine = wh.log.state("t", version)
+        assert sorted(again.paths) == sorted(mine.paths) and (again.version, again.row_bound, again.schema) == (mine.version, mine.row_bound, mine.schema)
+    assert not files.create_once(spark, f"{wh.root}/commits/t/claims/2/{10:012d}.json", "{}")
+    monkeypatch.setattr(files, "folder_names", lambda *a: [])  # a writer that does not see the others' commits
     assert wh.log.state("t").version == 0
-    monkeypatch.undo()
-    assert not files.create_once(spark, f"{wh.root}/commits/t/{10:012d}.json", "{}")
+
+
+def test_commit_that_died_before_its_claim(spark, wh, monkeypatch):
+    """Events without a claimed version count for nothing, also for those who take the version after."""
+    put(wh, "t", spark.range(3), "append")
+    lost = wh.load("t", spark.range(100, 200), "append")
+    with monkeypatch.context() as m:
+        m.setattr(files, "create_once", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            wh.log.commit(lost)
+    put(wh, "t", spark.range(3, 5), "append")
+    for log in (wh.log, commits.CommitLog(spark, f"{wh.root}/commits")):
+        assert log.state("t").version == 2 and len(log.state("t").paths) == 2
+    assert wh.table("t").count() == 5 and wh.log.version_of("t", "nobody") is None
+
+
+def test_racing_appends(spark, wh):
+    """Writers that all saw the same version: every one gets its own, none is lost."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    changes = [wh.load("t", spark.range(i, i + 1), "append") for i in range(6)]
+    logs = [commits.CommitLog(spark, f"{wh.root}/commits") for _ in changes]
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(lambda x: x[0].commit(x[1]), zip(logs, changes)))
+    assert sorted(versions) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r[0] for r in wh.table("t").collect()) == list(range(6))
+
+
+def test_incremental_reads_no_stored_fact(spark, wh, rows, monkeypatch):
+    """The newest value comes from the ledger; a table that was put back is asked itself."""
+    df = spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(9)")
+    for n in (3, 5):
+        materialise.as_incremental(wh, "f", df.where(f"id < {n}"), ["id"], "day")
+    asked = []
+    table = wh.table
+    monkeypatch.setattr(wh, "table", lambda name, *a: (asked.append(name), table(name, *a))[1])
+    assert materialise._newest(wh, "f", "day") == "2024-01-05" and asked == []
+    assert materialise.as_incremental(wh, "f", df.where("id < 5"), ["id"], "day").count() == 5  # nothing new
+    assert materialise._newest(wh, "f", "day") == "2024-01-05"
+    wh.log.commit(wh.restore("f", 1))
+    asked.clear()
+    assert materialise._newest(wh, "f", "day") == "2024-01-03" and asked == ["f"]
+    assert materialise.as_incremental(wh, "f", df, ["id"], "day").count() == 9
 
 
 def test_schema_change(spark, wh, rows):

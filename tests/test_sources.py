@@ -262,3 +262,40 @@ def test_staging_projection(spark):
     assert got.columns == ["n", "n_1", "col_2", "d", "e", "_source_id", "_source_connection", "_source_sheet", "_batch_id", "_loaded_at"]
     assert got.select("d", "e").first() == ('{"x":4,"y":"é"}', "[5]")
     assert staging.map_fields(raw, {"d": "doc", "zz": "none"}).columns == ["doc"]
+
+
+def _versions(spark, seed=5):
+    import random
+
+    draw = random.Random(seed)
+    old = [(draw.choice([None, *range(-300, 5000)]), draw.choice("abc")) for _ in range(1500)]
+    new = [r for r in old if draw.random() > 0.01] + [(draw.randint(0, 90), "new"), (None, "new"), (9000, "far"), old[0]]
+    return old, new, [spark.createDataFrame(x, "k long, v string") for x in (old, new)]
+
+
+@pytest.mark.parametrize("leaf, fan, levels", [(1, 2, 3), (64, 16, 4), (64, 4, 1), (10_000, 16, 2)])
+def test_changed_ranges(spark, rows, leaf, fan, levels):
+    """Exactly the leaves whose rows differ; the rows that differ, with their copies."""
+    from collections import Counter
+
+    old, new, (a, b) = _versions(spark)
+    trees = [change.fingerprint_tree(df, "k", leaf, fan, levels) for df in (a, b)]
+    assert trees[0].where("level = 0").agg(F.sum("n")).first()[0] == trees[0].where(f"level = {levels - 1}").agg(F.sum("n")).first()[0] == 1500
+    ranges = change.changed_ranges(*trees, leaf, fan, levels)
+    leaf_of = lambda k: None if k is None else k // leaf
+    less, more = Counter(old) - Counter(new), Counter(new) - Counter(old)
+    count = lambda side, n: sum(leaf_of(k) == n for k, _ in side)
+    touched = {leaf_of(k) for k, _ in less | more}
+    want = [(None if n is None else n * leaf, None if n is None else n * leaf + leaf - 1, count(old, n), count(new, n)) for n in touched]
+    assert rows(ranges) == sorted(want, key=repr)
+    found = change.changed_rows(a, b, "k", ranges, leaf)
+    want = [(*r, "removed", n) for r, n in less.items()] + [(*r, "added", n) for r, n in more.items()]
+    assert rows(found) == sorted(want, key=repr)
+
+
+def test_no_changed_ranges(spark):
+    _, _, (a, _) = _versions(spark)
+    same = [change.fingerprint_tree(df, "k") for df in (a, a.repartition(7))]
+    assert change.changed_ranges(*same).count() == 0
+    empty = change.fingerprint_tree(a.limit(0), "k")
+    assert change.changed_ranges(empty, empty).count() == 0 and change.changed_ranges(empty, same[0]).count() == same[0].where("level = 0").count()
