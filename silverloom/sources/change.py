@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .tables import newer_than
 
 
@@ -88,7 +89,8 @@ def changed_ranges(old: DataFrame, new: DataFrame, leaf_keys: int = LEAF_KEYS, f
         same = F.lit(True)
         for c in _MEASURES:
             same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-        differing = both.where(~same).select(F.coalesce("node", "_node").alias("node"), "n", "_n")
+        # A few rows, kept: the level below asks for them on both sides.
+        differing = cut_lineage(both.where(~same).select(F.coalesce("node", "_node").alias("node"), "n", "_n"))
     low = F.col("node") * leaf_keys
     return differing.select(
         low.alias("low"), (low + (leaf_keys - 1)).alias("high"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_old"), F.coalesce("_n", F.lit(0)).cast("bigint").alias("n_new")
