@@ -67,6 +67,22 @@ def src_04(t):
     return t.orders.where(in_month("o_orderdate", "1997-12")).select("o_orderkey", "o_orderdate")
 
 
+@query("src_04_clustered_month", "select o_orderkey, o_orderdate from orders where strftime(o_orderdate, '%Y-%m') = '1997-12'")
+def src_04_clustered(t):
+    """The month of a table whose files have ranges of the date: the others are not read."""
+    wh = _warehouse(t, "clustered")
+    wh.log.commit(wh.append("orders", t.orders, cluster_by="o_orderdate"))
+    return wh.table("orders").where(in_month("o_orderdate", "1997-12")).select("o_orderkey", "o_orderdate")
+
+
+@query("snk_04_key_lookup", "select * from customer where c_custkey in (1, 7, 30, 77, 150, 99999999)")
+def snk_04_lookup(t):
+    """Rows by key, from the keys' buckets and from row groups whose filters may hold them."""
+    wh = _warehouse(t, "lookup")
+    wh.log.commit(wh.upsert("customer", t.customer, ["c_custkey"]))
+    return wh.lookup("customer", [(k,) for k in (1, 7, 30, 77, 150, 99999999)])
+
+
 @query("src_05_delta_filter", "select event_id, ts from events where ts > timestamp '2024-01-20 12:00:00'")
 def src_05(t):
     return newer_than(t.events, "ts", "2024-01-20 12:00:00").select("event_id", "ts")

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, StructType
+from pyspark.sql.types import AtomicType, BooleanType, StructType
 
 from ..operators.dedupe import deduplicate
 from ..sources.change import fingerprint_columns
@@ -27,6 +27,7 @@ from .ledger import Ledger
 _BUCKET = "_bucket"
 BUCKETS = 32
 BUCKET_ROWS = 5_000_000
+LOOKUP_KEYS = 1000
 
 
 @dataclass(frozen=True)
@@ -115,21 +116,24 @@ class Warehouse:
     def _folder(self, table: str) -> str:
         return f"{self.root}/tables/{table}/{uuid.uuid4().hex}"
 
-    def _written(self, table: str, df: DataFrame) -> tuple[str, int]:
+    def _written(self, table: str, df: DataFrame, cluster_by: str | None = None) -> tuple[str, int]:
         folder, seen = self._folder(table), Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if cluster_by:
+            rows = rows.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        rows.write.parquet(folder)
         return folder, seen.get["rows"]
 
-    def truncate(self, table: str, df: DataFrame) -> Change:
-        """A table replaced by ``df``."""
+    def truncate(self, table: str, df: DataFrame, cluster_by: str | None = None) -> Change:
+        """A table replaced by ``df``. With ``cluster_by`` its files have ranges of that column, so a filter on it skips the others."""
         base = self.log.state(table).version
-        folder, rows = self._written(table, df)
+        folder, rows = self._written(table, df, cluster_by)
         return Change(table, base, (folder,), df.schema, rows, reset=True)
 
-    def append(self, table: str, df: DataFrame) -> Change:
-        """Rows added; new columns are null in older rows, types widen or the load fails."""
+    def append(self, table: str, df: DataFrame, cluster_by: str | None = None) -> Change:
+        """Rows added; new columns are null in older rows, types widen or the load fails. ``cluster_by`` as in ``truncate``."""
         schema = merged(self.log.state(table).schema, df.schema)
-        folder, rows = self._written(table, _conformed(df, schema))
+        folder, rows = self._written(table, _conformed(df, schema), cluster_by)
         return Change(table, None, (folder,), df.schema, rows)
 
     def _bucket(self, key, n: int) -> Column:
@@ -178,7 +182,8 @@ class Warehouse:
             result = _conformed(base.join(keys, same, "left_anti"), schema).unionByName(latest, allowMissingColumns=True)
         folder = self._folder(table)
         # The rebalance hint gathers a bucket into few files but splits a bucket that is too large.
-        result.withColumn(_BUCKET, self._bucket(key, n)).hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(folder)
+        bucketed = result.withColumn(_BUCKET, self._bucket(key, n)).hint("rebalance", _BUCKET)
+        bucketed.write.options(**_key_filters(schema, key, max(1, state.row_bound + sum(touched.values())) // n)).partitionBy(_BUCKET).parquet(folder)
         written = set(touched)
         if anew and stale:  # rows of the old layout may fall into any bucket
             written = {r[0] for r in self.spark.read.parquet(folder).select(_BUCKET).distinct().collect()}
@@ -186,6 +191,26 @@ class Warehouse:
         rows = state.row_bound + sum(touched.values())
         return Change(table, state.version, added, schema, rows, tuple(stale), anew, n, tuple(key))
 
+    def lookup(self, table: str, keys: list[tuple]) -> DataFrame:
+        """The rows of a table that was upserted which have one of the keys (at most ``LOOKUP_KEYS``).
+
+        Only the folders of the keys' buckets are read, and of their files only row groups
+        whose Bloom filters may hold a key.
+        """
+        state = self.log.state(table)
+        if not state.buckets:
+            raise ValueError(f"table {table} is not laid out by key")
+        if len(keys) > LOOKUP_KEYS:
+            raise ValueError(f"{len(keys)} keys, at most {LOOKUP_KEYS}; join the table instead")
+        wanted = self.spark.createDataFrame(keys, StructType([f for c in state.key for f in state.schema.fields if f.name == c]))
+        buckets = {r[0] for r in wanted.select(self._bucket(state.key, state.buckets)).collect()}
+        paths = [p for p in state.paths if int(re.search(rf"{_BUCKET}=(\d+)$", p)[1]) in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], state.schema)
+        types = [state.schema[c].dataType for c in state.key]
+        same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v).cast(t)) for c, v, t in zip(state.key, key, types)]) for key in keys]
+        return self._read(paths, state.schema).where(reduce(lambda a, b: a | b, same))
+
     def _touched(self, delta: DataFrame, key, n: int) -> dict[int, int]:
         """Rows of the delta by bucket (as many rows as there are buckets at most)."""
         return dict(delta.groupBy(self._bucket(key, n)).count().collect())
@@ -218,6 +243,15 @@ class Warehouse:
         return Change(table, state.version, (folder,), state.schema, rows, reset=True)
 
 
+def _key_filters(schema: StructType, key, rows: int) -> dict[str, str]:
+    """Writer options for Bloom filters on key columns, sized for the rows of a bucket."""
+    options = {}
+    for c in key:
+        if not isinstance(schema[c].dataType, BooleanType):
+            options |= {f"parquet.bloom.filter.enabled#{c}": "true", f"parquet.bloom.filter.expected.ndv#{c}": str(max(1024, rows))}
+    return options
+
+
 def _conformed(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns of ``df`` in the types of ``schema``."""
     types = {f.name: f.dataType for f in schema.fields}

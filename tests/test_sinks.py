@@ -325,3 +325,52 @@ def test_restarted_stream(spark, wh, tmp_path):
         stream = spark.readStream.schema("id bigint").parquet(landing)
         stream_upsert(wh, stream, "t", ["id"], "s", str(tmp_path / attempt)).awaitTermination()
         assert wh.table("t").count() == grown and wh.ledger.batches().count() == batches
+
+
+def rows_read(df):
+    """Rows that the scans of a plan without shuffles gave, and the rows of the result."""
+    found = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())), len(found)
+
+
+def test_lookup_skips_by_key(spark, wh, rows):
+    """Keys inside the range of every file that are not there are told by the filters: no row is read for them."""
+    table = spark.range(0, 40_000, 2).withColumn("v", F.col("id") * 3)
+    put(wh, "t", table, "upsert", ["id"])
+    read, found = rows_read(wh.lookup("t", [(20_001,), (777,), (39_999,)]))
+    assert (read, found) == (0, 0)
+    read, found = rows_read(wh.lookup("t", [(20_000,), (777,)]))
+    assert found == 1 and read < 20_000 / 3
+    put(wh, "t", spark.range(1, 40_000, 4000).withColumn("v", F.lit(-1).cast("long")), "upsert", ["id"])
+    assert rows(wh.lookup("t", [(4001,), (4000,), (5,)])) == [(4000, 12000), (4001, -1)]
+    assert wh.lookup("t", [(3,)]).count() == 0
+    with pytest.raises(ValueError):
+        wh.lookup("t", [(i,) for i in range(2000)])
+    put(wh, "a", table, "append")
+    with pytest.raises(ValueError):
+        wh.lookup("a", [(1,)])
+
+
+def test_lookup_by_two_keys_with_nulls(spark, wh, rows):
+    df = spark.createDataFrame([(1, "a", 10), (1, None, 11), (None, "a", 12), (2, "b", 13)], "k int, s string, v int")
+    put(wh, "t", df, "upsert", ["k", "s"])
+    assert rows(wh.lookup("t", [(1, None), (None, "a"), (2, "c")])) == [(1, None, 11), (None, "a", 12)]
+
+
+def test_clustered_rows_are_skipped(spark, wh, tmp_path):
+    """A filter on the clustered column reads a fraction of the rows, of spread rows all of them."""
+    spread = spark.range(0, 60_000, 1, 12).withColumn("day", F.expr("date_add(date'2024-01-01', cast(pmod(id * 7919, 360) as int))"))
+    wanted = (F.col("day") >= F.lit("2024-05-01").cast("date")) & (F.col("day") < F.lit("2024-06-01").cast("date"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        wh.log.commit(wh.append("clustered", spread, cluster_by="day"))
+        wh.log.commit(wh.append("spread", spread))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    read, found = rows_read(wh.table("clustered").where(wanted))
+    assert rows_read(wh.table("spread").where(wanted)) == (60_000, found)
+    assert found > 5000 and read < 60_000 / 4
