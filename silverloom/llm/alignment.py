@@ -181,7 +181,7 @@ class _Known:
 
     def learn(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of all parts in turn, number of parts of each text)."""
-        new = list({p for parts in texts for p in parts}.difference(self.number))
+        new = list(set(chain.from_iterable(texts)).difference(self.number))
         bad, columns = [self.bad], {k: [v] for k, v in self.columns.items()}
         for k in range(0, len(new), 4096):
             some = new[k : k + 4096]
@@ -189,13 +189,12 @@ class _Known:
             bad.append(~found.good)
             for name, values in self.learned(found).items():
                 columns.setdefault(name, []).append(self._spread(values, found.good))
-        for p in new:
-            self.number[p] = len(self.number)
-            self.chars += len(p)
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.chars += sum(map(len, new))
         self.bad = np.concatenate(bad)
         self.columns = {k: np.concatenate(v) for k, v in columns.items()}
         lengths = np.array([len(parts) for parts in texts], np.int64)
-        return np.fromiter((n for parts in texts for n in map(self.number.__getitem__, parts)), np.int64, int(lengths.sum())), lengths
+        return np.fromiter(map(self.number.__getitem__, chain.from_iterable(texts)), np.int64, int(lengths.sum())), lengths
 
     @staticmethod
     def _spread(values: np.ndarray, good: np.ndarray) -> np.ndarray:
