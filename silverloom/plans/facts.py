@@ -74,7 +74,7 @@ def fact_editing(m):
     stock = stock.select(F.col("Id").alias("_resource"), "ResourceFileId")
     uses = m.staging("resource_editings").select("Id", "EditingId", "ResourcesId", "StartTime", "EndTime")
     rows = uses.join(stock, F.col("ResourcesId") == F.col("_resource")).join(edits, F.col("EditingId") == F.col("_edit"))
-    rows = in_order(rows, ["EditingId"], ["StartTime", "Id"], number="position")
+    rows = in_order(rows, ["EditingId"], ["StartTime", "Id"], number="position", ties=False)
     return keyed(
         rows,
         "fact_editing_sk",
@@ -145,6 +145,7 @@ def fact_music_evaluation(m):
         ["RecordingSoundId"],
         ["CreatedDate", "Id"],
         number="_version_no",
+        ties=False,
     )
     versions = versions.select(
         F.col("Id").cast("string").alias("_version"), F.col("RecordingSoundId").cast("string").alias("_sound_of"), "_version_no"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,7 @@ def build_session(app: str = "silverloom", master: str | None = None, **conf) ->
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; in local mode else a temporary one, which goes when Python ends."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
@@ -40,6 +42,7 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="silverloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)  # nobody else knows of it
     spark.sparkContext.setCheckpointDir(root)
     return root
 
