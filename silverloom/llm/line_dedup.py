@@ -161,7 +161,9 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
         found = stored(in_tasks(hashed, suspect, schema), "suspects")
         suspects = found if suspects is None else suspects.union(found)
     # Documents are told apart by their id; rows that share one, or have none, are no further documents.
-    confirmed = suspects.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
+    # Told apart first and counted then, so that a key of very many documents is counted before it is shuffled.
+    holders = suspects.select("key", "doc_id").distinct()
+    confirmed = holders.groupBy("key").agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= min_docs)
     # Stored, so that the join's two sides are plain shuffles and a frequent key can be split.
     return suspects, stored(confirmed.select("key", "last"), "confirmed"), filters
 
