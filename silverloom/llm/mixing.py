@@ -214,8 +214,8 @@ def repeat_mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: i
     units, again = _alike(docs)
     taken = stored(mix(units, weights, repeats).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "taken")
     named = _named(docs)
-    # The key alone is joined on, so that the texts are shuffled once.
-    found = named.join(taken, F.col("__key") == F.col("__row"))
+    # The key alone is joined on, so that the texts are shuffled once; the same way at every size.
+    found = named.join(taken.hint("merge"), F.col("__key") == F.col("__row"))
     out = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
     total = again.select(F.col("key").alias("__same"), "row").join(taken, F.col("row") == F.col("__row"))
     total = stored(total.groupBy("__same").agg(F.sum("__copies").alias("__copies")), "repeated")
