@@ -11,14 +11,13 @@ two for a mark, is broadcast. It is one lazy plan for groups of every size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPACING = 100_000
 MARKS = 4096  # most marks of a table
-_STEP = 64  # every so many marks is looked at first
 _PLACE, _CHUNK, _CUT = "_sl_place", "_sl_chunk", "_sl_cut"
 
 
@@ -48,11 +47,6 @@ def with_group_count(df: DataFrame, group: list[str], name: str) -> DataFrame:
     return df.join(keyed, on, "inner").select(*df.columns, name)
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _placed(columns: list[str], prefix: str) -> list[Column]:
     """Columns as parts of a place: in ascending order, nulls last."""
     parts = [F.struct(F.col(c).isNull().alias("missing"), F.col(c).alias("value")) for c in columns]
@@ -60,35 +54,28 @@ def _placed(columns: list[str], prefix: str) -> list[Column]:
 
 
 def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
-    """Add ``_CHUNK``, the number of marks up to the row's place, and ``_CUT``: a mark lies in the row's group."""
+    """Add ``_CUT``: a mark lies in the row's group, and ``_CHUNK``: then the number of marks up to the row's place, else 0."""
     draw = F.xxhash64(_PLACE)
     drawn = rows.select(_PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
     # The first by hash are a fair sample of all that were drawn.
     first = drawn.orderBy("_draw").limit(MARKS).agg(F.sort_array(F.collect_list(_PLACE)).alias("all"))
-    marks = first.select(F.struct("all", F.filter("all", lambda m, i: i % _STEP == 0).alias("steps"))).scalar()
-
-    def up_to(some: Column) -> Column:
-        return F.size(F.filter(some, lambda m: m <= F.col(_PLACE)))
-
-    def cut(every: Column, chunk: Column) -> Column:
-        if not group:
-            return F.size(every) > 0
-        either = F.lit(False)
-        for near in (chunk - 1, chunk):
-            mark, same = F.get(every, near), F.lit(True)
-            for i in range(len(group)):
-                same = same & mark[f"g{i}"].eqNullSafe(F.col(_PLACE)[f"g{i}"])
-            either = either | same
-        return either
-
-    def found(m: Column) -> Column:
-        start = (F.greatest(up_to(m["steps"]), F.lit(1)) - 1) * _STEP
-        chunk = _let(start, lambda s: s + up_to(F.slice(m["all"], s + 1, F.lit(_STEP))))
-        return _let(chunk, lambda c: F.struct(c.alias("chunk"), cut(m["all"], c).alias("cut")))
-
-    # The marks are one value for all rows, used once: Spark looks at it in place, and no row carries it.
-    judged = rows.withColumn("_sl_marks", marks).withColumn("_sl_found", _let(F.col("_sl_marks"), found)).drop("_sl_marks")
-    return judged.withColumns({_CHUNK: F.col("_sl_found.chunk"), _CUT: F.col("_sl_found.cut")}).drop("_sl_found")
+    # One row, drawn once: groups with a mark and the search below both read it.
+    marks = rows.sparkSession.range(0, 1, 1, 1).select(first.scalar().alias("_sl_marks"))
+    if group:
+        mark = marks.select(F.explode("_sl_marks").alias("_sl_mark"))
+        known = mark.select(*[F.col("_sl_mark")[f"g{i}"]["value"].alias(c) for i, c in enumerate(group)]).distinct()
+        keyed, on = _renamed(known.withColumn("_sl_known", F.lit(True)), group)
+        judged = rows.join(F.broadcast(keyed), on, "left").select(*rows.columns, F.col("_sl_known").isNotNull().alias(_CUT))
+        judged = judged.crossJoin(F.broadcast(marks))
+    else:
+        judged = rows.crossJoin(F.broadcast(marks)).withColumn(_CUT, F.size("_sl_marks") > 0)
+    # Binary search, a column for each halving: plain columns are compiled and carry no marks from row to row,
+    # and a row looks at 13 marks at most, however many there are.
+    judged = judged.withColumn(_CHUNK, F.lit(0))
+    for step in [1 << i for i in reversed(range(MARKS.bit_length()))]:
+        passed = F.col(_CUT) & (F.get("_sl_marks", F.col(_CHUNK) + F.lit(step - 1)) <= F.col(_PLACE))
+        judged = judged.withColumn(_CHUNK, F.col(_CHUNK) + F.when(passed, step).otherwise(0))
+    return judged.drop("_sl_marks")
 
 
 def in_order(
@@ -132,7 +119,8 @@ def in_order(
         F.lead("_first").over(chunks).alias("_carried_later"),
     )
     whole = Window.partitionBy(*group, _CHUNK)
-    inside = whole.orderBy(_PLACE)
+    tie = [F.col(_PLACE)["tie"]] if ties else []
+    inside = whole.orderBy(*[F.asc_nulls_last(c) for c in order], *tie)
     placed = rows.withColumns(
         {
             **({"_sl_number": F.row_number().over(inside).cast("bigint")} if number else {}),

@@ -223,6 +223,28 @@ def test_in_order_plan(spark):
     assert plan.count("ReadSchema: struct<o_custkey:bigint,o_orderkey:bigint,o_orderdate") >= 1 or plan.count("ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate") >= 1
 
 
+@pytest.mark.parametrize("group", [["o_custkey"], []])
+def test_in_order_looks_at_few_marks(spark, group):
+    """A row finds its chunk by compiled steps, not by going through arrays of marks, which cost more the larger the table was."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    got = ordered.in_order(orders, group, ["o_orderdate", "o_orderkey"], "n", spacing=10)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "slice(" not in plan
+
+
+@pytest.mark.parametrize("group", [["g"], []])
+def test_in_order_with_a_thousand_marks(spark, rows, group):
+    """Chunks of one to a few rows, in groups of every size, of none and without a key."""
+    data = [(None if i % 11 == 0 else f"g{i % 3 if i % 2 else i % 400}", None if i % 7 == 0 else (i * 7919) % 501, i) for i in range(4000)]
+    df = spark.createDataFrame(data, "g string, v int, id int").repartition(7)
+    chunks = ordered._with_chunks(df.withColumn(ordered._PLACE, F.struct(*ordered._placed(group, "g"), *ordered._placed(["v", "id"], "o"))), group, 3)
+    assert chunks.agg(F.max(ordered._CHUNK)).first()[0] > 1000
+    w = Window.partitionBy(*group).orderBy(F.asc_nulls_last("v"), "id")
+    got = ordered.in_order(df, group, ["v", "id"], "n", before={"p": F.col("id")}, after={"f": F.col("v")}, spacing=3, total="all", ties=False)
+    want = df.select("*", F.row_number().over(w).alias("n"), F.count("*").over(Window.partitionBy(*group)).alias("all"), F.lag("id").over(w).alias("p"), F.lead("v").over(w).alias("f"))
+    assert rows(got) == rows(want)
+
+
 def test_in_order_runs_no_job_before_the_action(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")
