@@ -374,3 +374,37 @@ def test_clustered_rows_are_skipped(spark, wh, tmp_path):
     read, found = rows_read(wh.table("clustered").where(wanted))
     assert rows_read(wh.table("spread").where(wanted)) == (60_000, found)
     assert found > 5000 and read < 60_000 / 4
+
+
+def test_first_upsert_makes_its_rows_once(spark, wh, rows):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(k):
+        made.add(1)
+        return k
+
+    delta = spark.range(0, 100, 1, 4).select(F.udf(seen, "bigint")("id").alias("k"), F.lit("x").alias("v"))
+    change = wh.load("t", delta, "delete_insert", ["k"])
+    assert made.value == 100 and change.row_bound == 100
+    wh.log.commit(change)
+    assert rows(wh.table("t")) == [(i, "x") for i in sorted(range(100), key=lambda i: repr((i, "x")))]
+
+
+@pytest.mark.parametrize("how", ["read", "known"])
+def test_first_upsert_without_rows(spark, wh, tmp_path, rows, how):
+    spark.range(4).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(str(tmp_path / "in"))
+    none = spark.read.parquet(str(tmp_path / "in")).where(F.col("k") > 9 if how == "read" else F.lit(False))
+    wh.log.commit(wh.load("t", none, "upsert", ["k"]))
+    assert wh.exists("t") and rows(wh.table("t")) == []
+    wh.log.commit(wh.load("t", spark.createDataFrame([(1, "y"), (1, "z")], none.schema), "upsert", ["k"]))
+    assert rows(wh.table("t")) == [(1, "z")]
+
+
+def test_first_upsert_outgrows_its_buckets(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"), buckets=2, bucket_rows=10)
+    wh.log.commit(wh.load("t", spark.range(100).withColumnRenamed("id", "k"), "upsert", ["k"]))
+    state = wh.log.state("t")
+    assert state.buckets == 16 and len({p.rpartition("/")[0] for p in state.paths}) == 1
+    assert len(files.folder_names(spark, f"{wh.root}/tables/t")) == 1  # the draft is gone
+    assert rows(wh.table("t")) == sorted([(i,) for i in range(100)], key=repr)
+    assert rows(wh.lookup("t", [(7,), (200,)])) == [(7,)]
