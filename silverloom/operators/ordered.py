@@ -55,20 +55,31 @@ def _placed(columns: list[str], prefix: str) -> list[Column]:
 
 def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
     """Add ``_CUT``: a mark lies in the row's group, and ``_CHUNK``: then the number of marks up to the row's place, else 0."""
+    return _all_and_cut(rows, {}, group, spacing)[0]
+
+
+def _all_and_cut(df: DataFrame, made: Mapping[str, Column], group: list[str], spacing: int) -> tuple[DataFrame, DataFrame]:
+    """All rows with the columns ``made``, ``_CUT`` and ``_CHUNK``, and those of groups with a mark alone."""
+    rows = df.withColumns(dict(made))
     draw = F.xxhash64(_PLACE)
     drawn = rows.select(_PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
     # The first by hash are a fair sample of all that were drawn.
     first = drawn.orderBy("_draw").limit(MARKS).agg(F.sort_array(F.collect_list(_PLACE)).alias("all"))
     # One row, drawn once: groups with a mark and the search below both read it.
     marks = rows.sparkSession.range(0, 1, 1, 1).select(first.scalar().alias("_sl_marks"))
-    if group:
-        mark = marks.select(F.explode("_sl_marks").alias("_sl_mark"))
-        known = mark.select(*[F.col("_sl_mark")[f"g{i}"]["value"].alias(c) for i, c in enumerate(group)]).distinct()
-        keyed, on = _renamed(known.withColumn("_sl_known", F.lit(True)), group)
-        judged = rows.join(F.broadcast(keyed), on, "left").select(*rows.columns, F.col("_sl_known").isNotNull().alias(_CUT))
-        judged = judged.crossJoin(F.broadcast(marks))
-    else:
-        judged = rows.crossJoin(F.broadcast(marks)).withColumn(_CUT, F.size("_sl_marks") > 0)
+    if not group:
+        judged = _searched(rows.crossJoin(F.broadcast(marks)).withColumn(_CUT, F.size("_sl_marks") > 0))
+        return judged, judged.where(_CUT)
+    mark = marks.select(F.explode("_sl_marks").alias("_sl_mark"))
+    known = mark.select(*[F.col("_sl_mark")[f"g{i}"]["value"].alias(c) for i, c in enumerate(group)]).distinct()
+    keyed, on = _renamed(known.withColumn("_sl_known", F.lit(True)), group)
+    judged = rows.join(F.broadcast(keyed), on, "left").select(*rows.columns, F.col("_sl_known").isNotNull().alias(_CUT))
+    # Right above the joins of ``df`` a semi join goes down to the table that has the group: rows of other groups meet none of them.
+    cut = df.join(F.broadcast(keyed), on, "left_semi").withColumns({**made, _CUT: F.lit(True)})
+    return _searched(judged.crossJoin(F.broadcast(marks))), _searched(cut.crossJoin(F.broadcast(marks)))
+
+
+def _searched(judged: DataFrame) -> DataFrame:
     # Binary search, a column for each halving: plain columns are compiled and carry no marks from row to row,
     # and a row looks at 13 marks at most, however many there are.
     judged = judged.withColumn(_CHUNK, F.lit(0))
@@ -102,10 +113,9 @@ def in_order(
     place = F.struct(*_placed(group, "g"), *_placed(order, "o"), *([spread.alias("tie")] if ties else []))
     earlier = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in before.items()])
     later = F.struct(F.lit(0).alias("_"), *[v.alias(n) for n, v in after.items()])
-    rows = df.withColumns({_PLACE: place, "_sl_earlier": earlier, "_sl_later": later})
-    rows = _with_chunks(rows, group, spacing)
+    rows, cut = _all_and_cut(df, {_PLACE: place, "_sl_earlier": earlier, "_sl_later": later}, group, spacing)
 
-    ends = rows.where(_CUT).groupBy(*group, _CHUNK).agg(
+    ends = cut.groupBy(*group, _CHUNK).agg(
         F.count(F.lit(1)).alias("_n"), F.max_by("_sl_earlier", _PLACE).alias("_last"), F.min_by("_sl_later", _PLACE).alias("_first")
     )
     parts = Window.partitionBy(*(group or [F.lit(0)]))

@@ -332,7 +332,8 @@ def dim_stock(m):
     # Newest video date per editing first, so that the join to the edits stays narrow.
     videos = m.ref("dim_video").select("video_id", F.col("published_date").cast("date").alias("_published"))
     per_edit = m.ref("bridge_bt_vid").join(videos, "video_id").groupBy("editing_code").agg(F.max("_published").alias("_published"))
-    edits = m.ref("fact_editing").select("hg_stock_id", "editing_code").distinct()
+    # Uses that repeat change neither the newest date nor whether there is any, so they are not made distinct first.
+    edits = m.ref("fact_editing").select("hg_stock_id", "editing_code")
     used = edits.join(per_edit.withColumn("_shown", F.lit(True)), "editing_code", "left").groupBy("hg_stock_id").agg(
         F.max("_published").alias("_last"), F.bool_or("_shown").alias("_shown")
     )

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,19 @@ def test_dim_stock_cold(build, rows):
     assert rows(got, "hg_stock_id", "status") == [("HGFA1", "Sử dụng"), ("HGFA5", "Hàng nguội")]
 
 
+def test_dim_stock_shuffles_uses_once(build):
+    """Uses are not made distinct before their newest date is taken."""
+    got = build(
+        "dim_stock",
+        **editing_tables(),
+        resource_file_info=(FILES, [("4", "HGFA5", "x", "I5", ts("2024-01-01"))]),
+        channel_video_info=(VIDEO, [("v3", "c", "t", CODE["C"], "2024-01-30 23:00:00")]),
+        resource_storage_history=("ResourceFileInfoId string, ToStatus string", []),
+    )
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if re.search(r"Aggregate \[hg_stock_id#\d+, editing_code#\d+\]", x)]
+
+
 def test_dim_isrc(build, rows):
     sale = "retailer string, iSRC string, artist string, reportingPeriod string, earnings string"
     got = build(

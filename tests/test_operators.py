@@ -245,6 +245,25 @@ def test_in_order_with_a_thousand_marks(spark, rows, group):
     assert rows(got) == rows(want)
 
 
+def test_in_order_joins_only_cut_groups_for_what_is_carried(spark, rows):
+    """What chunks carry is counted from rows that were held against the groups with a mark before they are joined."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
+    parts = spark.read.parquet("/root/testdata/sf0.001/part.parquet").select("p_partkey", "p_name")
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    order = ["l_linenumber", "l_partkey"]
+    got = ordered.in_order(joined, ["l_orderkey"], order, "n", before={"p": F.col("l_partkey")}, total="all", spacing=40)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in plan]
+    semi = next(i for i, x in enumerate(plan) if "Join LeftSemi" in x)
+    above = max(i for i in range(semi) if depth[i] < depth[semi] and "Join" in plan[i])
+    assert "Join Inner" in plan[above] and "l_partkey" in plan[above]
+    w = Window.partitionBy("l_orderkey")
+    ranked = w.orderBy(*order)
+    want = joined.select("*", F.row_number().over(ranked).alias("n"), F.count("*").over(w).alias("all"), F.lag("l_partkey").over(ranked).alias("p"))
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "p_name", "n", "all", "p"]
+    assert rows(got.select(*columns)) == rows(want.select(*columns))
+
+
 def test_in_order_runs_no_job_before_the_action(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")
