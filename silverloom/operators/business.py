@@ -77,9 +77,9 @@ def usage_status(archived: Column, used: Column, last_used: Column, as_of: Colum
 
 def first_match_links(df: DataFrame, text: str, pattern: str, code: str) -> DataFrame:
     """Rows whose text holds a code, with the first code found."""
-    return df.withColumn(code, F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))).where(
-        F.col(code).isNotNull()
-    )
+    # Made by a generator, which no filter is pushed through: a text is searched once, not again for each use of its code.
+    found = F.array_remove(F.array(F.regexp_extract(text, pattern, 1)), "")
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != code], F.explode(found).alias(code)).where(F.col(code).isNotNull())
 
 
 def all_match_links(df: DataFrame, text: str, pattern: str, code: str) -> DataFrame:

@@ -264,6 +264,17 @@ def test_in_order_joins_only_cut_groups_for_what_is_carried(spark, rows):
     assert rows(got.select(*columns)) == rows(want.select(*columns))
 
 
+def test_first_match_links_searches_a_text_once(spark, rows):
+    """The search is in the plan once, however often the code is used after it; no code, no text, no row."""
+    texts = [(1, "a X12 b X34"), (2, "none"), (3, None), (4, "X56"), (5, "")]
+    df = spark.createDataFrame(texts, "id int, text string").repartition(2)
+    links = business.first_match_links(df, "text", "(X[0-9]{2})", "code")
+    used = links.where(F.length("code") == 3).select("id", "code", F.upper("code").alias("u"), F.concat("code", "code").alias("w"))
+    assert used._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+    assert rows(used) == [(1, "X12", "X12", "X12X12"), (4, "X56", "X56", "X56X56")]
+    assert links.columns == ["id", "text", "code"]
+
+
 def test_in_order_runs_no_job_before_the_action(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")
