@@ -3,10 +3,11 @@
 A window function sorts a whole group in one task. That is right for ordinary groups, but
 not for one that holds a third of all rows, nor for a whole table without groups. Here all
 rows lie in one order, by group and within it, which marks cut into ranges: rows that a
-hash picks, about one in ``SPACING``. Most groups have no mark and lie in one range; a
-large group is cut into many chunks. A window numbers the rows of each chunk. Only groups
-that a mark cuts carry anything from chunk to chunk: a row for each of their chunks, at most
-two for a mark, is broadcast. It is one lazy plan for groups of every size.
+hash picks, about one in ``SPACING``. Most groups have no mark, or fewer than ``LARGE``, and
+lie in one range; a large group is cut into many chunks. A window numbers the rows of each
+chunk. Only groups that are cut carry anything from chunk to chunk: a row for each of their
+chunks, at most two for a mark, is broadcast. Where no group is large, adaptive execution
+drops the pass that counts what chunks carry. It is one lazy plan for groups of every size.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 SPACING = 100_000
 MARKS = 4096  # most marks of a table
+LARGE = 4  # least marks of a group that is cut; with fewer it has hardly ever over 20 times SPACING rows
 _PLACE, _CHUNK, _CUT = "_sl_place", "_sl_chunk", "_sl_cut"
 
 
@@ -54,24 +56,25 @@ def _placed(columns: list[str], prefix: str) -> list[Column]:
 
 
 def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
-    """Add ``_CUT``: a mark lies in the row's group, and ``_CHUNK``: then the number of marks up to the row's place, else 0."""
+    """Add ``_CUT``: the row's group has ``LARGE`` marks, and ``_CHUNK``: then the number of marks up to the row's place, else 0."""
     return _all_and_cut(rows, {}, group, spacing)[0]
 
 
 def _all_and_cut(df: DataFrame, made: Mapping[str, Column], group: list[str], spacing: int) -> tuple[DataFrame, DataFrame]:
-    """All rows with the columns ``made``, ``_CUT`` and ``_CHUNK``, and those of groups with a mark alone."""
+    """All rows with the columns ``made``, ``_CUT`` and ``_CHUNK``, and those of groups that are cut alone."""
     rows = df.withColumns(dict(made))
     draw = F.xxhash64(_PLACE)
     drawn = rows.select(_PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
     # The first by hash are a fair sample of all that were drawn.
     first = drawn.orderBy("_draw").limit(MARKS).agg(F.sort_array(F.collect_list(_PLACE)).alias("all"))
-    # One row, drawn once: groups with a mark and the search below both read it.
+    # One row, drawn once: groups that are cut and the search below both read it.
     marks = rows.sparkSession.range(0, 1, 1, 1).select(first.scalar().alias("_sl_marks"))
     if not group:
         judged = _searched(rows.crossJoin(F.broadcast(marks)).withColumn(_CUT, F.size("_sl_marks") > 0))
         return judged, judged.where(_CUT)
     mark = marks.select(F.explode("_sl_marks").alias("_sl_mark"))
-    known = mark.select(*[F.col("_sl_mark")[f"g{i}"]["value"].alias(c) for i, c in enumerate(group)]).distinct()
+    held = mark.select(*[F.col("_sl_mark")[f"g{i}"]["value"].alias(c) for i, c in enumerate(group)])
+    known = group_counts(held, group, "_sl_held").where(F.col("_sl_held") >= LARGE).drop("_sl_held")
     keyed, on = _renamed(known.withColumn("_sl_known", F.lit(True)), group)
     judged = rows.join(F.broadcast(keyed), on, "left").select(*rows.columns, F.col("_sl_known").isNotNull().alias(_CUT))
     # Right above the joins of ``df`` a semi join goes down to the table that has the group: rows of other groups meet none of them.

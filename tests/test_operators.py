@@ -264,6 +264,21 @@ def test_in_order_joins_only_cut_groups_for_what_is_carried(spark, rows):
     assert rows(got.select(*columns)) == rows(want.select(*columns))
 
 
+def test_in_order_cuts_no_small_group(spark, rows):
+    """Groups with a few marks only lie in one chunk each, and without a large group nothing is counted to be carried."""
+    df = spark.range(6000).select((F.col("id") % 300).cast("string").alias("g"), F.pmod(F.col("id") * 7919, F.lit(6007)).alias("v"))
+    place = F.struct(*ordered._placed(["g"], "g"), *ordered._placed(["v"], "o"))
+    chunks = ordered._with_chunks(df.withColumn(ordered._PLACE, place), ["g"], 400)
+    assert chunks.where(ordered._CUT).count() == 0 and chunks.agg(F.max(ordered._CHUNK)).first()[0] == 0
+    w = Window.partitionBy("g").orderBy("v")
+    got = ordered.in_order(df, ["g"], ["v"], "n", before={"p": F.col("v")}, after={"f": F.col("v")}, spacing=400, total="all", ties=False)
+    want = df.select("*", F.row_number().over(w).alias("n"), F.count("*").over(Window.partitionBy("g")).alias("all"), F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("f"))
+    assert rows(got) == rows(want)
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "LeftSemi" not in final and "max_by" not in final
+
+
 def test_first_match_links_searches_a_text_once(spark, rows):
     """The search is in the plan once, however often the code is used after it; no code, no text, no row."""
     texts = [(1, "a X12 b X34"), (2, "none"), (3, None), (4, "X56"), (5, "")]
