@@ -63,7 +63,8 @@ def _with_chunks(rows: DataFrame, group: list[str], spacing: int) -> DataFrame:
 def _all_and_cut(df: DataFrame, made: Mapping[str, Column], group: list[str], spacing: int) -> tuple[DataFrame, DataFrame]:
     """All rows with the columns ``made``, ``_CUT`` and ``_CHUNK``, and those of groups that are cut alone."""
     rows = df.withColumns(dict(made))
-    draw = F.xxhash64(_PLACE)
+    # Of the bare columns: a place is built only for a row that is drawn.
+    draw = F.xxhash64(*[F.col(_PLACE)[f.name] if f.name == "tie" else F.col(_PLACE)[f.name]["value"] for f in rows.schema[_PLACE].dataType.fields])
     drawn = rows.select(_PLACE, draw.alias("_draw")).where(F.pmod("_draw", F.lit(spacing)) == 0).distinct()
     # The first by hash are a fair sample of all that were drawn.
     first = drawn.orderBy("_draw").limit(MARKS).agg(F.sort_array(F.collect_list(_PLACE)).alias("all"))

@@ -345,6 +345,40 @@ def test_stored_models_are_built_once_and_read_back(spark, tmp_path):
     assert m.ref("fact_editing").inputFiles()[0].count("/tables/fact_editing/") == 1
 
 
+def test_stored_models_are_stored_several_at_a_time(spark, tmp_path, monkeypatch):
+    """Two models of one list meet while they are stored; each is stored once, also one that others read; after an error a model can be tried again."""
+    import threading
+
+    from silverloom.plans import materialise
+    from silverloom.registered.base import Tables
+    from silverloom.registered.models import AS_OF as DAY
+    from silverloom.registered.models import REVIEWER, models_over
+    from silverloom.sinks.warehouse import Warehouse
+
+    over = models_over(Tables(spark, "/root/testdata/sf0.001"))
+    both, kept, plain_keep = threading.Barrier(2, timeout=60), [], materialise.keep
+
+    def keep(wh, name, df):
+        kept.append(name)
+        if name in ("dim_usd", "dim_ar"):
+            both.wait()
+        if name == "dim_net" and kept.count(name) == 1:
+            raise RuntimeError("once")
+        return plain_keep(wh, name, df)
+
+    monkeypatch.setattr(materialise, "keep", keep)
+    m = materialise.StoredModels(Warehouse(spark, str(tmp_path / "wh"), buckets=2), over.staging, DAY, REVIEWER)
+    names = ["dim_stock", "fact_editing", "dim_usd", "dim_ar", "dim_video", "fact_distribution", "fact_label_operation"]
+    m.build(names)
+    assert sorted(kept) == sorted([*names, "bridge_bt_vid"])
+    for name in names:
+        assert m.ref(name).count() == over.ref(name).count()
+    assert sorted(r[0] for r in m.wh.ledger.last_successes().select("source_id").collect()) == ["model-fact_distribution", "model-fact_label_operation"]
+    with pytest.raises(RuntimeError, match="once"):
+        m.build(["dim_net"])
+    assert m.ref("dim_net").count() == over.ref("dim_net").count()
+
+
 def test_kinds_of_facts():
     from silverloom.plans.base import KINDS
 

@@ -160,6 +160,16 @@ def test_racing_appends(spark, wh):
     assert sorted(r[0] for r in wh.table("t").collect()) == list(range(6))
 
 
+def test_ledger_events_of_threads(spark, wh):
+    """Events that are written at the same time all stay and have numbers of their own."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: wh.ledger.register(f"s{i % 2}", f"b{i}", "p", i), range(12)))
+    found = wh.ledger.events().select("batch_id", "event_no").collect()
+    assert sorted(r["batch_id"] for r in found) == sorted(f"b{i}" for i in range(12)) and len({r["event_no"] for r in found}) == 12
+
+
 def test_incremental_reads_no_stored_fact(spark, wh, rows, monkeypatch):
     """The newest value comes from the ledger; a table that was put back is asked itself."""
     df = spark.sql("select id, date_add(date'2024-01-01', cast(id as int)) as day from range(9)")
