@@ -9,7 +9,7 @@ from ..functions.keys import surrogate_key
 from ..functions.text import blank_to_null, localised, prefer_unlike, typed
 from ..operators.business import latest_per, usage_status
 from ..operators.dedupe import deduplicate, deduplicate_twice, mutual_best
-from .base import MODELS, MOMENT, MONEY, keyed, model
+from .base import MODELS, MOMENT, MONEY, keyed, model, reads
 
 # Dimensions that only rename: name, staging table, key column, output columns.
 _RENAMED = [
@@ -136,6 +136,7 @@ def dim_editing(m):
     )
 
 
+@reads("fact_revenue_distro")
 @model
 def dim_isrc(m):
     """Stock and recording code that are each other's first choice, for codes that earned."""
@@ -316,6 +317,7 @@ COLD_DAYS = 30
 ARCHIVED = "Archived"
 
 
+@reads("bridge_bt_vid", "dim_video", "fact_editing")
 @model
 def dim_stock(m):
     """Stock items, one per id and per recording code, with age and use."""

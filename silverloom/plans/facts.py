@@ -12,7 +12,7 @@ from ..operators.dedupe import deduplicate, top_per_group
 from ..operators.lists import IdList, lists_to_names
 from ..operators.ordered import in_order
 from ..operators.reshape import unpivot
-from .base import MOMENT, MONEY, NUMBER, RATIO, incremental, keyed, model
+from .base import MOMENT, MONEY, NUMBER, RATIO, incremental, keyed, model, reads
 
 # Form of an edit code inside a description, and prefix of stock files.
 EDIT_CODE = "(HG[A-Z0-9]{30,34})"
@@ -186,6 +186,7 @@ def fact_po_detail(m):
     return keyed(m.staging("purchase_order_line"), "fact_po_detail_sk", "id", fields)
 
 
+@reads("dim_purchased_resource")
 @incremental("cost_id", "incurred_datetime")
 def fact_purchase_cost(m):
     """Monthly cost of a partner, spread evenly over the recordings of its repositories."""
@@ -238,6 +239,7 @@ def member_metrics(m, mode: str):
     return figures.join(videos, "YoutubeVideoId")
 
 
+@reads("bridge_bt_vid", "dim_usd", "fact_editing")
 @model
 def fact_revenue_by_resources(m):
     """Revenue and views of a video credited to the stock resources of its edit."""
@@ -269,6 +271,7 @@ def fact_revenue_by_resources(m):
     )
 
 
+@reads("dim_usd")
 @incremental("fact_revenue_distro_sk", "revenue_month")
 def fact_revenue_distro(m):
     """Monthly sales by retailer, recording and artist, with the rate of the first day sold."""
@@ -293,6 +296,7 @@ def fact_revenue_distro(m):
     )
 
 
+@reads("dim_usd")
 @model
 def fact_revenue_yt(m):
     figures = member_metrics(m, "received").where(F.trim("YoutubeVideoId") != "")

@@ -397,3 +397,94 @@ def test_fact_distribution_shuffles(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
     assert plan.count("Exchange hashpartitioning") <= 8
+
+
+def test_models_state_what_they_read(spark):
+    from silverloom.plans.base import READS
+    from silverloom.registered.base import Tables
+    from silverloom.registered.models import models_over
+
+    t, asked = Tables(spark, "/root/testdata/sf0.001"), set()
+    asking, plain = models_over(t), models_over(t)
+    asking.ref = lambda name: asked.add(name) or plain.ref(name)
+    for name, made in MODELS.items():
+        asked.clear()
+        made(asking)
+        assert asked == set(READS.get(name, ())), name
+
+
+def test_key_counts(spark):
+    from silverloom.plans.contracts import key_counts
+
+    a, b = "0123456789abcdef" * 2, "f" * 32
+    keys = [a, a, a.upper(), a[:-1], a + "0", b, "g" * 32, "g" * 32, "", "", "ÿ" * 16, None, None, None]
+    assert key_counts(spark.createDataFrame([(k,) for k in keys], "k string"), "k") == (3, 3)
+    assert key_counts(spark.createDataFrame([], "k string"), "k") == (0, 0)
+    assert key_counts(spark.createDataFrame([(1,), (1,), (2,)], "k int"), "k") == (1, 0)
+
+
+def test_temporary_tables_go_after_their_last_use(spark, tmp_path, monkeypatch):
+    """The key report keeps a stored model only until it is counted and those that read it are stored."""
+    import os
+    import re
+
+    from silverloom.plans import contracts, materialise
+    from silverloom.plans.materialise import StoredModels
+    from silverloom.registered.base import Tables
+    from silverloom.registered.models import AS_OF as DAY
+    from silverloom.registered.models import REVIEWER, models_over
+    from silverloom.sinks.warehouse import Warehouse
+
+    monkeypatch.setattr(materialise, "AT_ONCE", 1)
+    over = models_over(Tables(spark, "/root/testdata/sf0.001"))
+    names = ["fact_editing", "dim_stock", "fact_distribution", "dim_video", "dim_isrc", "dim_ar"]
+    whole = sorted(map(tuple, contracts.key_report(over, names).collect()))
+    place = tmp_path / "wh"
+    m = StoredModels(Warehouse(spark, str(place), buckets=2), over.staging, DAY, REVIEWER, temporary=True)
+    there, kept, stored = {}, [], m.ref
+
+    def ref(name):
+        kept.append(name)
+        return stored(name)
+
+    def use(name, rows):
+        assert re.search(f"/tables/{name}/", rows.inputFiles()[0])
+        there[name] = set(os.listdir(place / "tables"))
+        return contracts.key_counts(rows, f"{name}_sk")
+
+    m.ref = ref
+    found = m.each(names, use)
+    assert sorted((n, c, f) for n in names for c, f in zip(("unique", "not_null"), found[n])) == whole
+    assert set(kept) == {*names, "bridge_bt_vid", "fact_revenue_distro", "dim_usd"}
+    assert not os.listdir(place / "tables") and not os.listdir(place / "commits")
+    assert there["dim_stock"] == {"fact_editing", "bridge_bt_vid", "dim_video", "dim_stock"}
+    assert there["fact_distribution"] == {"fact_distribution", "dim_video"} and there["dim_ar"] == {"dim_ar"}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert m.ref("dim_isrc").count() == over.ref("dim_isrc").count()  # stored again
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    import time
+
+    from silverloom.session import shuffles_removed
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        found = blocks.getAllFiles()
+        return {f.getName() for f in map(found.apply, range(found.size())) if f.getName().startswith("shuffle_")}
+
+    def store(name):
+        before = held()
+        spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().write.parquet(str(tmp_path / name))
+        return before
+
+    before = store("kept")
+    assert held() - before
+    with shuffles_removed(spark):
+        before = store("removed")
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before

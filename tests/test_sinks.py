@@ -418,3 +418,32 @@ def test_first_upsert_outgrows_its_buckets(spark, tmp_path, rows):
     assert len(files.folder_names(spark, f"{wh.root}/tables/t")) == 1  # the draft is gone
     assert rows(wh.table("t")) == sorted([(i,) for i in range(100)], key=repr)
     assert rows(wh.lookup("t", [(7,), (200,)])) == [(7,)]
+
+
+def test_large_first_upsert_is_laid_out_in_parts(spark, wh, rows, monkeypatch):
+    """No more than a part of a large draft is shuffled at once; the table is the same."""
+    from silverloom.sinks import warehouse
+
+    monkeypatch.setattr(warehouse, "LAYOUT_ROWS", 300)
+    laid, plain = [], Warehouse._write_buckets
+
+    def write(self, some, *rest):
+        laid.append(some.count())
+        plain(self, some, *rest)
+
+    monkeypatch.setattr(Warehouse, "_write_buckets", write)
+    table = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    wh.log.commit(wh.load("t", table, "delete_insert", ["k"]))
+    assert len(laid) == 4 and sum(laid) == 1000 and max(laid) < 400
+    assert rows(wh.table("t")) == rows(table) and wh.log.state("t").row_bound == 1000
+    assert len(wh.log.state("t").paths) == wh.buckets and len(files.folder_names(spark, f"{wh.root}/tables/t")) == 1
+    assert rows(wh.lookup("t", [(7,), (2000,)])) == [(7, 14)]
+
+
+def test_drop(spark, wh, rows):
+    put(wh, "t", spark.range(5), "append")
+    put(wh, "u", spark.range(2), "append")
+    wh.drop("t")
+    assert not wh.exists("t") and not files.exists(spark, f"{wh.root}/tables/t") and rows(wh.table("u")) == [(0,), (1,)]
+    put(wh, "t", spark.range(1).withColumnRenamed("id", "k"), "append")
+    assert wh.log.state("t").version == 1 and rows(wh.table("t")) == [(0,)]
